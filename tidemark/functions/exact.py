@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 
 
 def div_half_away(num: Column, den: Column) -> Column:
-    """num / den as a whole number, halves rounded away from zero; NULL when den is 0."""
+    """num / den as a whole number, halves rounded away from zero; NULL when den is 0.
+
+    Half of den is added on the side of num's sign, and `div` cuts towards zero.
+    """
     size = F.abs(den)
-    magnitude = F.call_function(
-        "div", F.abs(num) * 2 + size, F.nullif(size * 2, F.lit(0).cast("bigint"))
-    )
-    return F.when((num < 0) != (den < 0), -magnitude).otherwise(magnitude)
+    rounded = num * 2 + F.when(num < 0, -size).otherwise(size)
+    return F.call_function("div", rounded, F.nullif(den * 2, F.lit(0).cast("bigint")))
 
 
 def from_units(units: Column, scale: int) -> Column:

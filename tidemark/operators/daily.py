@@ -41,8 +41,12 @@ def dense_daily(fact: DataFrame, last_day: DataFrame | None = None) -> DataFrame
         F.date_sub(F.lead("date_day").over(by_entity), 1),
         F.greatest(F.col("date_day"), F.col("last_day")),
     )
+    # The grid outgrows the rollup, by as much as there are gaps, so the number of partitions is
+    # the session's and not one that adaptive execution would derive from the rollup's bytes.
+    partitions = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     stretched = (
         daily_rollup(fact)
+        .repartition(partitions, "app_id")
         .withColumn("last_day", last_day.scalar())
         .withColumn("until", end)
         .select(
@@ -71,23 +75,27 @@ def trends(daily: DataFrame, days: int = 7) -> DataFrame:
     as a null neighbour. Unobserved days are left out of the trailing mean, not counted as 0.
     """
     by_entity = Window.partitionBy("app_id").orderBy("date_day")
-    trailing = by_entity.rowsBetween(-(days - 1), Window.currentRow)
     so_far = by_entity.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
+    # A trailing sum is the running sum less the running sum `days` rows earlier. Both are exact
+    # in whole tenths, and neither adds a row up more than once.
     tenths = to_units(F.col("avg_player_count"), 1)
-    support = F.count("avg_player_count").over(trailing)
-    widened = daily.withColumns(
+    running = daily.withColumns(
         {
             "now": tenths,
             "before": F.lag(tenths).over(by_entity),
-            "mean": div_half_away(F.sum(tenths).over(trailing), support),
-            f"observed_days_{days}d": support.cast("int"),
+            "total": F.coalesce(F.sum(tenths).over(so_far), F.lit(0)),
+            "seen": F.count("avg_player_count").over(so_far),
             "peak_player_count_record": F.max("peak_player_count").over(so_far),
         }
     )
     is_record = F.col("peak_player_count") == F.col("peak_player_count_record")
-    anchored = widened.withColumn(
-        "last_record_day", F.max(F.when(is_record, F.col("date_day"))).over(so_far)
+    anchored = running.withColumns(
+        {
+            "frame_total": F.col("total") - F.lag("total", days, 0).over(by_entity),
+            "frame_seen": F.col("seen") - F.lag("seen", days, 0).over(by_entity),
+            "last_record_day": F.max(F.when(is_record, F.col("date_day"))).over(so_far),
+        }
     )
     change = F.col("now") - F.col("before")
     return anchored.select(
@@ -101,8 +109,10 @@ def trends(daily: DataFrame, days: int = 7) -> DataFrame:
         from_units(div_half_away(change * 10_000, F.col("before")), 4).alias(
             "avg_player_count_change_rate"
         ),
-        from_units(F.col("mean"), 1).alias(f"avg_player_count_{days}d"),
-        f"observed_days_{days}d",
+        from_units(div_half_away(F.col("frame_total"), F.col("frame_seen")), 1).alias(
+            f"avg_player_count_{days}d"
+        ),
+        F.col("frame_seen").cast("int").alias(f"observed_days_{days}d"),
         "peak_player_count_record",
         F.datediff("date_day", "last_record_day").alias("days_since_peak"),
         "last_record_day",

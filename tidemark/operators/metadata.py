@@ -21,21 +21,22 @@ DOCUMENT_ID = "steam_appid"
 def unwrap_details(details: DataFrame) -> DataFrame:
     """(app_id, success, data) from envelopes that are keyed by the id as text.
 
-    A missing key, or an entry that does not report success, has no data.
+    A missing key, or an entry that does not report success, has no data. The envelope is
+    unfolded by a generator, so that a filter on `success` cannot make it be parsed again.
     """
     envelope = F.from_json(
         "envelope", T.MapType(T.StringType(), T.StructType.fromDDL("success boolean, data variant"))
     )
     entry = F.try_element_at(envelope, F.col("app_id").cast("string"))
-    opened = details.select("app_id", entry.alias("entry"))
+    opened = details.select("app_id", F.explode(F.array(entry)).alias("entry"))
     ok = F.coalesce(F.col("entry.success"), F.lit(False)) & F.col("entry.data").isNotNull()
     return opened.select(
-        "app_id", ok.alias("success"), F.when(ok, F.to_json("entry.data")).alias("data")
+        "app_id", ok.alias("success"), F.when(ok, F.col("entry.data")).alias("data")
     )
 
 
 def extract_metadata(metadata: DataFrame) -> DataFrame:
-    """One typed column per field in use; `data` is JSON text or a variant.
+    """One typed column per field in use; `data` is a variant, or JSON text.
 
     Absent is NULL, except that no achievements block means none. An unreleased entity, or one
     that does not say whether it is, has no release date. A value of the wrong type is NULL.

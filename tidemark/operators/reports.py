@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,12 +12,20 @@ from tidemark.operators.observations import latest_per_entity
 from tidemark.operators.ranking import top_k, with_dense_ranks
 
 
-def leaderboard(dim: DataFrame, fact: DataFrame, trends: DataFrame) -> DataFrame:
+def leaderboard(
+    dim: DataFrame,
+    fact: DataFrame,
+    trends: DataFrame,
+    settle: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Active entities with an observation, ranked by their own latest value and 7-day mean.
 
     The trend row is the one for the day of each entity's latest hour. That day is compared
     beside the entity key and not as a second key, so trends keep the partitioning by entity
     which their windows already gave them.
+
+    Ranking reads the joined rows, one per entity, several times. `settle` may write them out
+    and return what was written, so that the history behind them is worked through once.
     """
     latest = latest_per_entity(fact).select(
         "app_id",
@@ -29,7 +37,9 @@ def leaderboard(dim: DataFrame, fact: DataFrame, trends: DataFrame) -> DataFrame
         "tracked_source",
     )
     same_day = F.datediff(F.to_date("current_hour"), "date_day") == 0
-    current = trends.join(latest, "app_id").filter(same_day).join(games, "app_id")
+    current = latest.join(games, "app_id").join(trends, "app_id").filter(same_day)
+    if settle is not None:
+        current = settle(current)
     ranked = with_dense_ranks(
         current, {"current_player_count": "current_rank", "avg_player_count_7d": "rank_7d"}
     )

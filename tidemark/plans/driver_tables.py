@@ -15,7 +15,7 @@ from tidemark.operators.daily import dense_daily, trends
 from tidemark.operators.ledger import hour_ledger, normalize_runs
 from tidemark.operators.metadata import extract_metadata, unwrap_details
 from tidemark.operators.observations import fact_native, normalize_observations
-from tidemark.operators.registry import dim_entity, listed_ids, normalize_registry
+from tidemark.operators.registry import dim_entity, normalize_registry
 from tidemark.sources.landing import player_counts_key
 from tidemark.sources.tables import read_parquet_utc
 
@@ -218,11 +218,20 @@ def entity_dim(spark: SparkSession, sf_dir: str, n: int = 2) -> DataFrame:
 
 
 def board_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The dimension with the hourly runs' own id lists as evidence."""
-    runs = runs_raw(spark, sf_dir)
-    return dim_entity(
-        normalize_registry(registry_raw(spark, sf_dir)),
-        metadata(spark, sf_dir),
-        normalize_runs(runs),
-        listed_ids(runs),
+    """The dimension as a board reads it: the registry with attributes already typed."""
+    described = table(spark, sf_dir, "part").filter("p_partkey % 10 <> 9").selectExpr(
+        "p_partkey AS app_id",
+        "p_name AS described_name",
+        """CASE WHEN p_partkey % 11 <> 0 AND p_partkey % 13 <> 0 AND p_partkey % 5 <= 2
+           THEN date_add(DATE '2015-01-01', CAST(p_partkey % 4000 AS INT)) END AS release_date""",
+        "CASE WHEN p_partkey % 6 > 1 THEN split(p_name, ' ') END AS genre_names",
+        "p_partkey % 2 = 0 AS is_free",
+        """CASE WHEN p_partkey % 2 = 1 THEN CAST((CAST(round(p_retailprice * 100) AS BIGINT)
+           - p_partkey % 100) / 100 AS DECIMAL(18, 2)) END AS price_final_usd""",
+    )
+    members = normalize_registry(registry_raw(spark, sf_dir))
+    return (
+        members.join(described, "app_id", "left")
+        .withColumn("app_name", F.coalesce("described_name", "app_name"))
+        .drop("described_name")
     )

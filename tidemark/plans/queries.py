@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
+from tidemark.functions.documents import text_at, value_at
 from tidemark.operators import audit, checks, ledger, merge, registry, reports
 from tidemark.operators.daily import daily_rollup, dense_daily, trends
+from tidemark.operators.metadata import unwrap_details
 from tidemark.operators.observations import (
     classify_responses,
     fact_native,
@@ -24,7 +26,7 @@ from tidemark.plans import driver_tables as given
 from tidemark.plans.oracle import compose
 from tidemark.session import prepare, scratch_dir
 from tidemark.sources import landing, spines, tables
-from tidemark.sources.sinks import insert_player_counts, write_version
+from tidemark.sources.sinks import insert_player_counts, settled, write_version
 from tidemark.streaming import observations as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -514,7 +516,10 @@ BOARD_COLUMNS = """app_id, app_name, current_rank, current_player_count,
 
 def board(spark: SparkSession, sf: str) -> DataFrame:
     return reports.leaderboard(
-        given.board_dim(spark, sf), given.fact(spark, sf), given.trend(spark, sf)
+        given.board_dim(spark, sf),
+        given.fact(spark, sf),
+        given.trend(spark, sf),
+        lambda current: settled(current, "board"),
     )
 
 
@@ -781,8 +786,6 @@ def metadata_extract(spark, sf):
       CAST(json_extract_string(props, '$.missing.deeper') AS VARCHAR) AS missing FROM events""",
 )
 def json_props(spark, sf):
-    from tidemark.functions.documents import text_at, value_at
-
     doc = given.table(spark, sf, "events").select("event_id", F.parse_json("props").alias("doc"))
     return doc.select(
         "event_id",
@@ -829,8 +832,6 @@ def chart(spark: SparkSession, sf: str) -> DataFrame:
 )
 def chart_per_year(spark, sf):
     """The top hundred of every year; the rank limit is applied before the shuffle too."""
-    from pyspark.sql import Window
-
     totals = (
         given.table(spark, sf, "orders")
         .groupBy(F.year("o_orderdate").alias("year"), "o_custkey")
@@ -922,13 +923,11 @@ def part_chart(spark: SparkSession, sf: str) -> DataFrame:
 
 def described(spark: SparkSession, sf: str) -> registry.MetadataStep:
     """Parts: half have older metadata, a tenth have no details any more."""
-    from tidemark.operators.metadata import unwrap_details
-
     parts = given.table(spark, sf, "part").select(F.col("p_partkey").alias("app_id"), "p_name")
     earlier = F.lit(datetime(2024, 1, 1)).cast("timestamp")
     stored = parts.filter("app_id % 2 = 0").select(
         "app_id",
-        F.lit('{"name":"old"}').alias("data"),
+        F.parse_json(F.lit('{"name":"old"}')).alias("data"),
         earlier.alias("first_loaded_at"),
         earlier.alias("updated_at"),
     )
@@ -956,9 +955,8 @@ def described(spark: SparkSession, sf: str) -> registry.MetadataStep:
 def metadata_step(spark, sf):
     state = described(spark, sf).metadata
     return state.select(
-        "app_id", F.get_json_object("data", "$.name").alias("name"), "first_loaded_at",
-        "updated_at",
-    )
+        "app_id", text_at("data", "$.name").alias("name"), "first_loaded_at", "updated_at"
+    )
 
 
 @query(
@@ -1140,7 +1138,7 @@ def hourly_bundles(spark: SparkSession, sf: str, max_rows: int = 50_000) -> Data
 def land(bundles: DataFrame, root: str) -> None:
     """Land bundles by day and hour, so that landing an hour again replaces that hour only."""
     dated = bundles.withColumns({"dt": F.to_date("logical_date"), "hour": F.hour("logical_date")})
-    landing.write_documents(dated, root, landing.PLAYER_COUNTS)
+    landing.write_documents(dated, root, landing.PLAYER_COUNTS, ["dt", "hour"])
 
 
 @query(
@@ -1189,14 +1187,14 @@ def bundle_roundtrip(spark, sf):
     return rows.select("app_id", "player_count", "logical_hour", "latency_ms", "s3_key")
 
 
-def observation_bundles(spark: SparkSession, sf: str) -> DataFrame:
-    """Observations bundled under their own exact times, as manual runs would be."""
+def quarter_bundles(spark: SparkSession, sf: str, observed_at: str) -> DataFrame:
+    """Observations as the answers of one run every quarter of an hour."""
     answers = given.observations(spark, sf).select(
-        F.col("logical_hour").alias("logical_date"),
+        F.window("logical_hour", "15 minutes")["start"].alias("logical_date"),
         "app_id",
         "player_count",
         F.lit(1).alias("api_result"),
-        F.col("logical_hour").alias("observed_at"),
+        F.col(observed_at).alias("observed_at"),
         "latency_ms",
         F.lit("observed").alias("status"),
     )
@@ -1216,7 +1214,7 @@ def observation_bundles(spark: SparkSession, sf: str) -> DataFrame:
 def rebuild_from_landing(spark, sf):
     """The raw table rebuilt from all documents, loaded twice, then the fact on top of it."""
     root = scratch_dir(spark, "rebuild")
-    land(observation_bundles(spark, sf), root)
+    land(quarter_bundles(spark, sf, "logical_hour"), root)
     tables.create_raw_tables(spark, f"{root}/tables")
     path = f"{root}/tables/player_counts"
     rows = (
@@ -1315,32 +1313,26 @@ def stream_latest(spark, sf):
 
 @query(
     "stream_load",
-    compose(
-        """, late_staged AS (
-          SELECT app_id, date_trunc('hour', ts) AS logical_hour, player_count FROM (
-            SELECT user_id AS app_id, ts, CAST(round(value * 100) AS BIGINT) AS player_count,
-              row_number() OVER (
-                PARTITION BY user_id, date_trunc('hour', ts) ORDER BY ts) AS rn
-            FROM late) WHERE rn = 1)
-        SELECT app_id, CAST(logical_hour AS VARCHAR) AS logical_hour, player_count
-        FROM late_staged""",
-        "late",
-    ),
+    """SELECT app_id, CAST(date_trunc('hour', quarter) AS VARCHAR) AS logical_hour, player_count
+    FROM (
+      SELECT *, row_number() OVER (
+        PARTITION BY app_id, date_trunc('hour', quarter) ORDER BY quarter) AS in_hour
+      FROM (
+        SELECT user_id AS app_id, time_bucket(INTERVAL 15 MINUTE, ts) AS quarter,
+          CAST(round(value * 100) AS BIGINT) AS player_count,
+          ts + INTERVAL 1 MINUTE * (event_id % 181) AS observed_at,
+          event_id * 37 % 900000 AS latency_ms,
+          row_number() OVER (PARTITION BY user_id, time_bucket(INTERVAL 15 MINUTE, ts)
+            ORDER BY ts + INTERVAL 1 MINUTE * (event_id % 181)) AS asked
+        FROM events)
+      WHERE asked = 1
+        AND observed_at - INTERVAL 1 MILLISECOND * latency_ms <= quarter + INTERVAL 2 HOUR)
+    WHERE in_hour = 1""",
 )
 def stream_load(spark, sf):
     """Documents landed, streamed into the raw table with late rows refused, then normalized."""
     root = scratch_dir(spark, "load")
-    answers = given.observations(spark, sf).select(
-        F.col("logical_hour").alias("logical_date"),
-        "app_id",
-        "player_count",
-        F.lit(1).alias("api_result"),
-        "observed_at",
-        "latency_ms",
-        F.lit("observed").alias("status"),
-    )
-    tracked = answers.groupBy("logical_date").agg(F.count(F.lit(1)).alias("tracked_count"))
-    land(audit.bundle(answers, tracked), root)
+    land(quarter_bundles(spark, sf, "observed_at"), root)
     tables.create_raw_tables(spark, f"{root}/tables")
     path = f"{root}/tables/player_counts"
     rows = streaming.observation_stream(streaming.bundle_stream(spark, root))

@@ -90,7 +90,7 @@ TRACKED_UNIVERSE = _struct(
 
 APP_METADATA = _struct(
     ("app_id", _long),
-    ("data", _text),
+    ("data", T.VariantType()),
     ("first_loaded_at", _time),
     ("updated_at", _time),
 )

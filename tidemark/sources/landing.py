@@ -6,6 +6,8 @@ carries the path it came from, relative to the landing root, as its key.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -93,15 +95,18 @@ def read_details(spark: SparkSession, root: str) -> DataFrame:
     return read_documents(spark, root, APP_DETAILS, schemas.APP_DETAILS)
 
 
-def write_documents(documents: DataFrame, root: str, kind: str, dt: str = "dt") -> None:
-    """Write one JSON document per row under its day, replacing only the days written.
+def write_documents(
+    documents: DataFrame, root: str, kind: str, interval: Sequence[str] = ("dt",)
+) -> None:
+    """Write one JSON document per row into the folder of its interval.
 
-    The output committer publishes a task's files when the task succeeds, so a lost executor
-    leaves no half-written document behind.
+    An interval that is written again is replaced, the others stay. The output committer
+    publishes a task's files when the task succeeds, so a lost executor leaves nothing behind.
     """
     (
-        documents.write.mode("overwrite")
+        documents.hint("rebalance", *[F.col(c) for c in interval])
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(dt)
+        .partitionBy(*interval)
         .json(f"{root}/{kind}")
     )

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.merge import absent_rows
+from tidemark.session import scratch_dir
 from tidemark.sources.tables import read_player_counts
 
 
@@ -64,3 +65,14 @@ def write_days(fact: DataFrame, path: str, day: str = "date_day", whole: bool =
         .partitionBy(day)
         .parquet(path)
     )
+
+
+def settled(frame: DataFrame, label: str) -> DataFrame:
+    """Write a frame once to the shared scratch folder and return it as read back.
+
+    For a result that is read several times and is small beside the history it came from. The
+    files outlive any executor, so nothing upstream is ever computed again.
+    """
+    path = scratch_dir(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
