@@ -28,42 +28,45 @@ def dense_daily(fact: DataFrame, last_day: DataFrame | None = None) -> DataFrame
     """One row per entity and day from its first observed day to the last day of all.
 
     Days without an observation are rows with null measures and `observed_hours = 0`.
-
-    Each observed day stretches up to the day before the entity's next one and the stretch is
-    unfolded in place. This needs neither the range join between entities and calendar nor an
-    equi join of the grid with the rollup. `last_day` may be given as a one-row frame when it
-    is known more cheaply than from the fact; a raw scan has the same last day.
+    `last_day` may be given as a one-row frame when it is known more cheaply than from the
+    fact; a raw scan has the same last day.
     """
     if last_day is None:
         last_day = fact.agg(F.max("date_day"))
+    return fill_gaps(daily_rollup(fact), last_day)
+
+
+def fill_gaps(days: DataFrame, last_day: DataFrame) -> DataFrame:
+    """Add the missing days of each entity between its rows and after its last one.
+
+    Each row stretches up to the day before the entity's next one and the stretch is unfolded
+    in place. This needs neither the range join between entities and calendar nor an equi join
+    of the grid with the rollup.
+    """
     by_entity = Window.partitionBy("app_id").orderBy("date_day")
     end = F.coalesce(
         F.date_sub(F.lead("date_day").over(by_entity), 1),
         F.greatest(F.col("date_day"), F.col("last_day")),
     )
-    # The grid outgrows the rollup, by as much as there are gaps, so the number of partitions is
-    # the session's and not one that adaptive execution would derive from the rollup's bytes.
-    partitions = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    measures = [c for c in days.columns if c not in ("app_id", "date_day", "observed_hours")]
+    # The grid outgrows its input, by as much as there are gaps, so the number of partitions is
+    # the session's and not one that adaptive execution would derive from the input's bytes.
+    partitions = int(days.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     stretched = (
-        daily_rollup(fact)
-        .repartition(partitions, "app_id")
+        days.repartition(partitions, "app_id")
         .withColumn("last_day", last_day.scalar())
         .withColumn("until", end)
+        .withColumnRenamed("date_day", "seen_day")
         .select(
-            "app_id",
-            F.col("date_day").alias("seen_day"),
-            "avg_player_count",
-            "peak_player_count",
-            "observed_hours",
-            F.explode(F.sequence("date_day", "until", F.expr("interval 1 day"))).alias("date_day"),
+            "*",
+            F.explode(F.sequence("seen_day", "until", F.expr("interval 1 day"))).alias("date_day"),
         )
     )
     seen = F.col("date_day") == F.col("seen_day")
     return stretched.select(
         "app_id",
         "date_day",
-        F.when(seen, F.col("avg_player_count")).alias("avg_player_count"),
-        F.when(seen, F.col("peak_player_count")).alias("peak_player_count"),
+        *[F.when(seen, F.col(c)).alias(c) for c in measures],
         F.when(seen, F.col("observed_hours")).otherwise(0).alias("observed_hours"),
     )
 
@@ -73,7 +76,14 @@ def trends(daily: DataFrame, days: int = 7) -> DataFrame:
 
     `daily` must be dense: then a frame of rows is a frame of calendar days and a gap is seen
     as a null neighbour. Unobserved days are left out of the trailing mean, not counted as 0.
+
+    Rows may carry what is already known as of their day, in `known_record` and
+    `known_record_day`. History before the first row of an entity then need not be read, except
+    for `days` rows.
     """
+    peak, own_day = F.col("peak_player_count"), F.col("date_day")
+    carried = "known_record" in daily.columns
+    best = F.greatest(peak, F.col("known_record")) if carried else peak
     by_entity = Window.partitionBy("app_id").orderBy("date_day")
     so_far = by_entity.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
@@ -86,15 +96,17 @@ def trends(daily: DataFrame, days: int = 7) -> DataFrame:
             "before": F.lag(tenths).over(by_entity),
             "total": F.coalesce(F.sum(tenths).over(so_far), F.lit(0)),
             "seen": F.count("avg_player_count").over(so_far),
-            "peak_player_count_record": F.max("peak_player_count").over(so_far),
+            "peak_player_count_record": F.max(best).over(so_far),
         }
     )
-    is_record = F.col("peak_player_count") == F.col("peak_player_count_record")
+    record_day = F.when(peak == F.col("peak_player_count_record"), own_day)
+    if carried:
+        record_day = F.greatest(record_day, F.col("known_record_day"))
     anchored = running.withColumns(
         {
             "frame_total": F.col("total") - F.lag("total", days, 0).over(by_entity),
             "frame_seen": F.col("seen") - F.lag("seen", days, 0).over(by_entity),
-            "last_record_day": F.max(F.when(is_record, F.col("date_day"))).over(so_far),
+            "last_record_day": F.max(record_day).over(so_far),
         }
     )
     change = F.col("now") - F.col("before")
