@@ -95,8 +95,9 @@ ANSWERS = (
 
 def answers(spark, n, refused=0, latencies=None):
     t = at("2026-09-10T13:00:00")
+    clock = at("2026-09-10T13:00:01.123456")
     found = [
-        (t, i, i, 1, t, latencies[i] if latencies else 10 * i, "observed") for i in range(n)
+        (t, i, i, 1, clock, latencies[i] if latencies else 10 * i, "observed") for i in range(n)
     ] + [(t, 1000 + i, None, None, t, 99_999, "unobservable") for i in range(refused)]
     return spark.createDataFrame(found, ANSWERS)
 
@@ -144,6 +145,8 @@ def test_killed_load_is_finished_by_running_it_again(spark, tmp_path):
     landing.write_documents(dated, str(tmp_path), landing.PLAYER_COUNTS, ["dt", "hour"])
     bundles = landing.read_bundles(spark, str(tmp_path))
     assert bundles.count() == 1
+    columns = ("logical_date", "tracked_count", "observed", "unobservable")
+    assert rows(bundles, *columns) == rows(documents, *columns)
 
     runs = spark.createDataFrame(
         [("r1", at("2026-09-10T13:00:00")), ("r2", at("2026-09-10T14:00:00"))],

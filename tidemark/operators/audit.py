@@ -18,17 +18,15 @@ TRANSITION_COUNTS = ("newly_tracked_count", "reactivated_count", "deactivated_co
 def bundle(rows: DataFrame, tracked: DataFrame, max_rows: int = 50_000) -> DataFrame:
     """One nested document per run: `tracked` is (logical_date, tracked_count), `rows` its answers.
 
-    An entity is asked once per run, so each (logical_date, app_id) is kept once. A run with more
-    than about `max_rows` answers becomes several documents, divided by a hash of the entity, so
-    that no task ever holds a list that grows with the universe. A run without answers still has
-    a document, with empty lists.
+    An entity is asked once per run, so each (logical_date, app_id) is kept once and a run has at
+    most `tracked_count` answers. A run that tracks more than `max_rows` entities becomes several
+    documents, divided by a hash of the entity, so that no task ever holds a list that grows with
+    the universe. A run without answers still has a document, with empty lists.
     """
     asked_once = first_per_key(rows, ["logical_date", "app_id"], "observed_at")
-    sizes = asked_once.groupBy("logical_date").agg(
-        F.ceil(F.count(F.lit(1)) / max_rows).alias("parts")
-    )
-    placed = asked_once.join(sizes, "logical_date").withColumn(
-        "part", F.pmod(F.xxhash64("app_id"), F.col("parts")).cast("int")
+    parts = F.ceil(F.greatest(F.col("tracked_count"), F.lit(1)) / max_rows)
+    placed = asked_once.join(tracked, "logical_date").withColumn(
+        "part", F.pmod(F.xxhash64("app_id"), parts).cast("int")
     )
     seen = F.col("status") == "observed"
 

@@ -68,6 +68,7 @@ def leaderboard(
 
 def board_table(board: DataFrame) -> DataFrame:
     """The board as displayed: names for people, the mean without decimals, the hour as text."""
+    # The headings.
     return board.select(
         F.col("current_rank").alias("Rank"),
         F.col("app_name").alias("Game"),

@@ -19,11 +19,26 @@ from tidemark.operators.registry import dim_entity, normalize_registry
 from tidemark.sources.landing import player_counts_key
 from tidemark.sources.tables import read_parquet_utc
 
+# Schemas are declared and not read from footers, which would be a job per table and query.
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+}
+
 AS_OF = datetime(2024, 1, 30, 23, 0)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_parquet_utc(spark, f"{sf_dir}/{name}.parquet")
+    return read_parquet_utc(spark, f"{sf_dir}/{name}.parquet", SCHEMAS[name])
 
 
 def to_observations(events: DataFrame, entity: str = "user_id") -> DataFrame:

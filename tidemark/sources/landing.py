@@ -20,6 +20,9 @@ APP_LIST = "raw/app-list"
 MOST_PLAYED = "raw/most-played"
 APP_DETAILS = "raw/app-details"
 
+# Fixed value: times in documents keep their microseconds and their offset.
+TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
 
 def _day(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd")
@@ -96,17 +99,25 @@ def read_details(spark: SparkSession, root: str) -> DataFrame:
 
 
 def write_documents(
-    documents: DataFrame, root: str, kind: str, interval: Sequence[str] = ("dt",)
+    documents: DataFrame,
+    root: str,
+    kind: str,
+    interval: Sequence[str] = ("dt",),
+    parts: Sequence[str] = (),
 ) -> None:
     """Write one JSON document per row into the folder of its interval.
 
-    An interval that is written again is replaced, the others stay. The output committer
-    publishes a task's files when the task succeeds, so a lost executor leaves nothing behind.
+    An interval that is written again is replaced, the others stay. Documents are spread over
+    tasks by interval and by `parts`, which divides an interval that has very many of them.
+    The output committer publishes a task's files when the task succeeds, so a lost executor
+    leaves nothing behind.
     """
+    partitions = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        documents.hint("rebalance", *[F.col(c) for c in interval])
+        documents.repartition(partitions, *interval, *parts)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("timestampFormat", TIME_FORMAT)
         .partitionBy(*interval)
         .json(f"{root}/{kind}")
     )

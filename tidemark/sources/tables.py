@@ -9,9 +9,9 @@ from pyspark.sql import types as T
 from tidemark import schemas
 
 
-def read_parquet_utc(spark: SparkSession, path: str) -> DataFrame:
+def read_parquet_utc(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
     """Read Parquet; times without a zone are taken as UTC instants."""
-    df = spark.read.parquet(path)
+    df = spark.read.schema(schema).parquet(path)
     zoneless = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
     return df.withColumns({c: F.col(c).cast("timestamp") for c in zoneless})
 

@@ -85,8 +85,13 @@ def load_player_counts(
     """
 
     def insert(batch: DataFrame, _batch_id: int) -> None:
-        rows = batch.withColumn("loaded_at", F.lit(loaded_at()).cast("timestamp"))
-        insert_player_counts(rows, table, order=["s3_key", "position"])
+        # Read by two jobs. A lost executor only means that its share is read again.
+        batch.persist()
+        try:
+            rows = batch.withColumn("loaded_at", F.lit(loaded_at()).cast("timestamp"))
+            insert_player_counts(rows, table, order=["s3_key", "position"])
+        finally:
+            batch.unpersist()
 
     return (
         observations.writeStream.foreachBatch(insert)
