@@ -13,8 +13,17 @@ from tidemark.operators.merge import absent_rows, flag_changes, set_flag, upsert
 
 
 class Admission(NamedTuple):
-    admitted: DataFrame
-    refused: DataFrame
+    """The candidates, each with a verdict, and the two halves of them."""
+
+    judged: DataFrame
+
+    @property
+    def admitted(self) -> DataFrame:
+        return self.judged.filter("is_admitted").select("app_id", "name", "source")
+
+    @property
+    def refused(self) -> DataFrame:
+        return self.judged.filter(~F.col("is_admitted")).select("app_id")
 
 
 class Step(NamedTuple):
@@ -71,13 +80,15 @@ def admit(seed: DataFrame, chart: DataFrame, app_list: DataFrame) -> Admission:
         .groupBy("app_id")
         .agg(F.max_by(F.struct("name"), "position").alias("listed"))
     )
-    judged = candidates.join(names, "app_id", "left")
-    listed, is_seed = F.col("listed").isNotNull(), F.col("source") == "seed"
+    listed = F.col("listed").isNotNull()
     name = F.when(listed, F.col("listed.name")).otherwise(schemas.UNLISTED_NAME)
-    return Admission(
-        judged.filter(listed | is_seed).select("app_id", name.alias("name"), "source"),
-        judged.filter(~listed & ~is_seed).select("app_id"),
+    judged = candidates.join(names, "app_id", "left").select(
+        "app_id",
+        name.alias("name"),
+        "source",
+        (listed | (F.col("source") == "seed")).alias("is_admitted"),
     )
+    return Admission(judged)
 
 
 def _sorted_ids(ids: DataFrame, name: str) -> Column:
@@ -105,12 +116,19 @@ def registry_step(
         {"tracked_from": F.lit(as_of).cast("timestamp"), "is_active": F.lit(True)}
     )
     grown = registry.unionByName(arrivals.select(*registry.columns))
-    audit = registry.sparkSession.range(1).select(
+    # One pass over the candidates, who are as few as the chart and the seed.
+    known = registry.select("app_id", F.lit(True).alias("known"))
+    admitted = F.col("is_admitted")
+    verdicts = admission.judged.join(known, "app_id", "left").agg(
+        F.array_sort(F.collect_list(F.when(~admitted, F.col("app_id")))).alias("refused"),
+        F.count_if(admitted & F.col("known").isNull()).cast("int").alias("new"),
+    )
+    audit = verdicts.select(
         _count(app_list, "app_list_count", F.count_distinct("app_id")),
         _count(chart, "chart_count"),
-        _sorted_ids(admission.refused, "skipped_chart_app_ids"),
-        _count(arrivals, "newly_tracked_count"),
-        _count(flag_changes(grown, chart, True), "reactivated_count"),
+        F.col("refused").alias("skipped_chart_app_ids"),
+        F.col("new").alias("newly_tracked_count"),
+        _count(flag_changes(registry, chart, True), "reactivated_count"),
     )
     return Step(set_flag(grown, chart, True), audit)
 

@@ -85,7 +85,8 @@ def build(
     fact = settle(
         fact_native(normalize_observations(raw.player_counts, carry=())), "fct_player_counts"
     )
-    last_day = raw.player_counts.agg(F.to_date(F.max("logical_hour")))
+    # A written fact knows its last day from its folders; otherwise a raw column is the cheapest.
+    last_day = None if root else raw.player_counts.agg(F.to_date(F.max("logical_hour")))
     daily = dense_daily(fact, last_day)
     trended = settle(trends(daily), "fct_player_trends_daily")
     if root is not None:

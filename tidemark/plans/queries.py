@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.functions.documents import text_at, value_at
+from tidemark.functions.text import grouped, signed_percent
 from tidemark.operators import audit, checks, ledger, merge, registry, reports
 from tidemark.operators.daily import daily_rollup, dense_daily, trends
 from tidemark.operators.metadata import unwrap_details
@@ -606,6 +607,29 @@ def top_movers(spark, sf):
     return reports.top_movers(trend_table(spark, sf), given.board_dim(spark, sf))
 
 
+@query(
+    "movers_labels",
+    compose(
+        """, moved AS (
+          SELECT t.app_id, CAST(round(t.avg_player_count_change_rate * 10000) AS BIGINT) AS rate
+          FROM trend t WHERE t.avg_player_count_change_rate IS NOT NULL)
+        SELECT app_id, count(*) AS days, min(
+          CASE WHEN rate <= -5 THEN '-' ELSE '+' END || ((abs(rate) + 5) // 10) // 10 || '.'
+            || ((abs(rate) + 5) // 10) % 10 || '%') AS labels
+        FROM moved GROUP BY app_id""",
+        "trend",
+    ),
+)
+def movers_labels(spark, sf):
+    """Every change as its label; per entity their number and the first in text order."""
+    rate = "avg_player_count_change_rate"
+    moved = given.trend(spark, sf).filter(F.col(rate).isNotNull())
+    labelled = moved.select("app_id", signed_percent(F.col(rate)).alias("label"))
+    return labelled.groupBy("app_id").agg(
+        F.count(F.lit(1)).alias("days"), F.min("label").alias("labels")
+    )
+
+
 PANELS = """SELECT b.rank_7d, b.app_id, b.app_name, CAST(t.date_day AS VARCHAR) AS date_day,
   {columns}
   FROM trend t JOIN board b ON b.app_id = t.app_id
@@ -666,6 +690,25 @@ def hour_profile(spark, sf):
     )
 
 
+@query(
+    "hour_profile_labels",
+    compose(
+        """SELECT hour_of_day, format('{:,}', CAST(round_even(avg(players), 0) AS BIGINT)) AS players
+        FROM (
+          SELECT logical_hour, hour_of_day, CAST(sum(player_count) AS BIGINT) AS players
+          FROM kind_fact GROUP BY logical_hour, hour_of_day)
+        GROUP BY hour_of_day""",
+        "kind_fact",
+    ),
+)
+def hour_profile_labels(spark, sf):
+    """Mean totals by hour of day over all days, as labels."""
+    totals = given.fact(spark, sf, "event_type").groupBy("logical_hour", "hour_of_day").agg(
+        F.sum("player_count").alias("players")
+    )
+    return totals.groupBy("hour_of_day").agg(grouped(F.avg("players")).alias("players"))
+
+
 @query(
     "freshness_frontier",
     compose(

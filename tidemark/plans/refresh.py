@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.daily import daily_rollup, fill_gaps, trends
 from tidemark.operators.observations import fact_native, normalize_observations
-from tidemark.sources.sinks import settled, write_days
+from tidemark.sources.sinks import write_days
 
 FACT, TRENDS = "fct_player_counts", "fct_player_trends_daily"
 
@@ -53,6 +53,6 @@ def refresh(
     known = before.unionByName(daily_rollup(changed), allowMissingColumns=True)
     last_day = fact.agg(F.max("date_day"))
     rebuilt = trends(fill_gaps(known, last_day), days).filter(F.col("date_day") >= F.lit(since))
-    # The days written are other days than those read, but they live in one table, so the new
-    # rows are settled before any of its files is replaced.
-    write_days(settled(rebuilt, "refresh"), f"{root}/{TRENDS}")
+    # The days written are not among the days read, and a dynamic overwrite replaces files only
+    # when the whole job has succeeded.
+    write_days(rebuilt, f"{root}/{TRENDS}")
