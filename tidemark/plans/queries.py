@@ -145,7 +145,11 @@ TREND_COLUMNS = """app_id, CAST(date_day AS VARCHAR) AS date_day, avg_player_cou
   CAST(last_record_day AS VARCHAR) AS last_record_day"""
 
 
-@query("trends_full", compose(f"SELECT {TREND_COLUMNS} FROM trend", "trend"), gaps=["peak_player_count"])
+@query(
+    "trends_full",
+    compose(f"SELECT {TREND_COLUMNS} FROM trend", "trend"),
+    gaps=["peak_player_count"],
+)
 def trends_full(spark, sf):
     return given.trend(spark, sf)
 
@@ -336,7 +340,15 @@ LEDGER_COLUMNS = """CAST(logical_hour AS VARCHAR) AS logical_hour, status, has_o
   CAST(recorded_at AS VARCHAR) AS recorded_at"""
 
 
-@query("hour_ledger", compose(f"SELECT {LEDGER_COLUMNS} FROM ledger", "ledger"), gaps=["tracked_count", "observed_count", "unobservable_count", "failed_count", "loaded_count", "snapshot_rows", "latency_p50_ms", "latency_max_ms"],     flags=["is_high_water_mark"])
+@query(
+    "hour_ledger",
+    compose(f"SELECT {LEDGER_COLUMNS} FROM ledger", "ledger"),
+    gaps=[
+        "tracked_count", "observed_count", "unobservable_count", "failed_count", "loaded_count",
+        "snapshot_rows", "latency_p50_ms", "latency_max_ms",
+    ],
+    flags=["is_high_water_mark"],
+)
 def hour_ledger(spark, sf):
     return given.ledger(spark, sf)
 
