@@ -15,16 +15,30 @@ from tidemark.schemas import HOUR_STATUSES
 
 
 class Check(NamedTuple):
+    """Violating rows under a name. A check on single rows also holds its table and predicate."""
+
     name: str
     violations: DataFrame
     severity: str = "error"
+    rule: tuple[DataFrame, str] | None = None
+
+
+def row_check(name: str, table: DataFrame, predicate: str, severity: str = "error") -> Check:
+    """A check that looks at one row at a time; the predicate is true on a violation."""
+    return Check(name, table.filter(predicate), severity, (table, predicate))
 
 
 # ---- families ----
 
 
-def not_null(df: DataFrame, column: str) -> DataFrame:
-    return df.filter(F.col(column).isNull())
+def is_null(column: str) -> str:
+    return f"isnull(`{column}`)"
+
+
+def is_unaccepted(column: str, values: Sequence[str]) -> str:
+    """The value is outside the list; NULL passes."""
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"`{column}` not in ({listed})"
 
 
 def duplicates(df: DataFrame, *key: str) -> DataFrame:
@@ -33,11 +47,6 @@ def duplicates(df: DataFrame, *key: str) -> DataFrame:
     return df.filter(present).groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
-def unaccepted(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
-    """Rows whose value is outside the list; NULL passes."""
-    return df.filter(~F.col(column).isin(*values))
-
-
 def orphans(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
     """Child rows whose non-null reference has no parent.
 
@@ -79,7 +88,7 @@ TRENDS_CONTRACT = {
 }
 
 LEDGER_CONTRACT = {
-    "unknown_status": "status not in ({})".format(", ".join(f"'{s}'" for s in HOUR_STATUSES)),
+    "unknown_status": is_unaccepted("status", HOUR_STATUSES),
     "complete_without_rows": "status = 'complete' and not has_observations",
     "unrecorded_with_rows": "status = 'unrecorded' and has_observations",
     "unaudited_with_run": "status = 'unaudited' and isnotnull(run_id)",
@@ -97,9 +106,13 @@ NON_NEGATIVE = {"negative_count": "player_count < 0"}
 SAME_ID = {"answered_for_another_id": "app_id <> steam_appid"}
 
 
+def any_of(contract: Mapping[str, str]) -> str:
+    return " or ".join(f"({rule})" for rule in contract.values())
+
+
 def breaches(df: DataFrame, contract: Mapping[str, str]) -> DataFrame:
     """Rows that break any predicate of a contract."""
-    return df.filter(" or ".join(f"({rule})" for rule in contract.values()))
+    return df.filter(any_of(contract))
 
 
 def tally(df: DataFrame, contract: Mapping[str, str]) -> DataFrame:
@@ -152,11 +165,28 @@ def unflagged_unobservable(
 
 
 def summarize(checks: Iterable[Check]) -> DataFrame:
-    """(check, severity, violations) for a list of checks."""
-    rows = [
-        check.violations.agg(F.count(F.lit(1)).alias("violations")).select(
-            F.lit(check.name).alias("check"), F.lit(check.severity).alias("severity"), "violations"
+    """(check, severity, violations) for a list of checks.
+
+    Checks on single rows of one table are counted together, in one pass over it.
+    """
+    by_table: dict[int, list[Check]] = {}
+    alone: list[Check] = []
+    for check in checks:
+        if check.rule:
+            by_table.setdefault(id(check.rule[0]), []).append(check)
+        else:
+            alone.append(check)
+
+    def line(check: Check, violations: Column) -> Column:
+        return F.struct(
+            F.lit(check.name).alias("check"),
+            F.lit(check.severity).alias("severity"),
+            violations.alias("violations"),
         )
-        for check in checks
-    ]
-    return reduce(DataFrame.unionByName, rows)
+
+    counted = [check.violations.agg(line(check, F.count(F.lit(1))).alias("l")) for check in alone]
+    for group in by_table.values():
+        table = group[0].rule[0]
+        lines = [line(check, F.count_if(F.expr(check.rule[1]))) for check in group]
+        counted.append(table.agg(F.array(*lines).alias("ls")).select(F.explode("ls").alias("l")))
+    return reduce(DataFrame.unionByName, counted).select("l.*")

@@ -16,6 +16,8 @@ from tidemark.operators.ledger import hour_ledger, normalize_runs
 from tidemark.operators.metadata import extract_metadata, unwrap_details
 from tidemark.operators.observations import fact_native, normalize_observations
 from tidemark.operators.registry import dim_entity, normalize_registry
+from tidemark.plans.model import Raw
+from tidemark.schemas import CATALOG_RUNS
 from tidemark.sources.landing import player_counts_key
 from tidemark.sources.tables import read_parquet_utc
 
@@ -250,3 +252,26 @@ def board_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("app_name", F.coalesce("described_name", "app_name"))
         .drop("described_name")
     )
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> Raw:
+    """The five raw tables of the model."""
+    now = F.lit(AS_OF).cast("timestamp")
+    stored = unwrap_details(details_raw(spark, sf_dir)).filter("success")
+    run = spark.createDataFrame([("scheduled-1",)], "run_id string")
+    lists = [c for c in CATALOG_RUNS.fields if c.name not in ("run_id", "recorded_at")]
+    return Raw(
+        player_counts=observations(spark, sf_dir).select(
+            "app_id", "player_count", "logical_hour", "observed_at", "s3_key", "loaded_at"
+        ),
+        tracked_universe=registry_raw(spark, sf_dir),
+        app_metadata=stored.select(
+            "app_id", "data", now.alias("first_loaded_at"), now.alias("updated_at")
+        ),
+        snapshot_runs=runs_raw(spark, sf_dir),
+        catalog_runs=run.select(
+            "run_id",
+            *[F.lit(None).cast(c.dataType).alias(c.name) for c in lists],
+            now.alias("recorded_at"),
+        ),
+    )

@@ -63,8 +63,8 @@ def build(
     calendar: tuple[date, date] = (CALENDAR_START, CALENDAR_END),
     n: int = schemas.KNOWN_UNOBSERVABLE_HOURS,
 ) -> Model:
-    """Compose the model. With `root`, the two facts that several marts read are written there
-    by day and read back, so that the raw history is scanned and grouped once.
+    """Compose the model. With `root`, the two facts are written there by day, the dimension and
+    the leaderboard beside them, and all are read back: the raw history is worked through once.
 
     The hour ledger stays a view: its end moves with `as_of`.
     """
@@ -74,7 +74,14 @@ def build(
         unobservable = listed_ids(raw.snapshot_runs)
     registry = normalize_registry(raw.tracked_universe)
     metadata = extract_metadata(raw.app_metadata)
-    dim = dim_entity(registry, metadata, runs, unobservable, n)
+
+    def settle_small(frame: DataFrame, name: str) -> DataFrame:
+        if root is None:
+            return frame
+        frame.write.mode("overwrite").parquet(f"{root}/{name}")
+        return spark.read.schema(frame.schema).parquet(f"{root}/{name}")
+
+    dim = settle_small(dim_entity(registry, metadata, runs, unobservable, n), "dim_game")
 
     def settle(frame: DataFrame, name: str) -> DataFrame:
         if root is None:
@@ -92,6 +99,7 @@ def build(
     if root is not None:
         # The daily fact is the first columns of the trends, so it need not be built twice.
         daily = trended.select(*daily.columns)
+    board = settle_small(leaderboard(dim, fact, trended), "game_leaderboard")
     return Model(
         stg_player_counts=normalize_observations(raw.player_counts, LINEAGE),
         stg_tracked_universe=registry,
@@ -104,7 +112,7 @@ def build(
         fct_player_counts_daily=daily,
         fct_player_trends_daily=trended,
         fct_snapshot_hours=hour_ledger(runs, fact, as_of),
-        game_leaderboard=leaderboard(dim, fact, trended),
+        game_leaderboard=board,
     )
 
 
@@ -118,44 +126,59 @@ def model_checks(model: Model, raw: Raw, as_of: datetime) -> list[ck.Check]:
     if unobservable is None:
         unobservable = listed_ids(raw.snapshot_runs)
 
-    def key_of(name: str, df: DataFrame, column: str) -> list[ck.Check]:
-        return [
-            ck.Check(f"{name}.{column}.unique", ck.duplicates(df, column)),
-            ck.Check(f"{name}.{column}.not_null", ck.not_null(df, column)),
-        ]
+    def unique(name: str, df: DataFrame, column: str) -> ck.Check:
+        return ck.Check(f"{name}.{column}.unique", ck.duplicates(df, column))
 
-    def refers(name: str, df: DataFrame, column: str, parent: DataFrame) -> list[ck.Check]:
-        return [
-            ck.Check(f"{name}.{column}.not_null", ck.not_null(df, column)),
-            ck.Check(f"{name}.{column}.known", ck.orphans(df, column, parent, column)),
-        ]
+    def present(name: str, df: DataFrame, column: str) -> ck.Check:
+        return ck.row_check(f"{name}.{column}.not_null", df, ck.is_null(column))
+
+    def known(name: str, df: DataFrame, column: str, parent: DataFrame) -> ck.Check:
+        return ck.Check(f"{name}.{column}.known", ck.orphans(df, column, parent, column))
 
     def accepted(name: str, df: DataFrame, column: str, *values: str) -> ck.Check:
-        return ck.Check(f"{name}.{column}.accepted", ck.unaccepted(df, column, values))
-
-    found = [
-        *key_of("dim_game", dim, "app_id"),
-        *key_of("dim_date", dates, "date_day"),
-        *key_of("fct_snapshot_hours", ledger, "logical_hour"),
-        *key_of("game_leaderboard", board, "app_id"),
-        *key_of("stg_snapshot_runs", runs, "run_id"),
-        *key_of("stg_catalog_runs", model.stg_catalog_runs, "run_id"),
-        ck.Check("game_leaderboard.app_id.known", ck.orphans(board, "app_id", dim, "app_id")),
-        ck.Check("fct_player_counts.logical_hour.not_null", ck.not_null(fact, "logical_hour")),
-        ck.Check("fct_snapshot_hours.status.not_null", ck.not_null(ledger, "status")),
-        ck.Check("stg_app_metadata.steam_appid.not_null", ck.not_null(meta, "steam_appid")),
+        rule = ck.is_unaccepted(column, values)
+        return ck.row_check(f"{name}.{column}.accepted", df, rule)
+
+    def grain(name: str, df: DataFrame, *key: str) -> ck.Check:
+        return ck.Check(f"{name}.grain", ck.duplicates(df, *key))
+
+    def contract(name: str, df: DataFrame, rules: dict[str, str]) -> ck.Check:
+        return ck.row_check(name, df, ck.any_of(rules))
+
+    found: list[ck.Check] = []
+    for name, df, column in (
+        ("dim_game", dim, "app_id"),
+        ("dim_date", dates, "date_day"),
+        ("fct_snapshot_hours", ledger, "logical_hour"),
+        ("game_leaderboard", board, "app_id"),
+        ("stg_snapshot_runs", runs, "run_id"),
+        ("stg_catalog_runs", model.stg_catalog_runs, "run_id"),
+    ):
+        found += [unique(name, df, column), present(name, df, column)]
+    for name, df in (
+        ("fct_player_counts", fact),
+        ("fct_player_counts_daily", daily),
+        ("fct_player_trends_daily", trended),
+    ):
+        found += [present(name, df, "app_id"), known(name, df, "app_id", dim)]
+        found += [present(name, df, "date_day"), known(name, df, "date_day", dates)]
+    found += [
+        known("game_leaderboard", board, "app_id", dim),
+        present("fct_player_counts", fact, "logical_hour"),
+        present("fct_snapshot_hours", ledger, "status"),
+        present("stg_app_metadata", meta, "steam_appid"),
         accepted("fct_snapshot_hours", ledger, "status", *schemas.HOUR_STATUSES),
         accepted("stg_app_metadata", meta, "app_type", "game"),
         accepted("stg_app_metadata", meta, "price_currency", "USD"),
-        ck.Check("fct_player_counts.grain", ck.duplicates(fact, "app_id", "logical_hour")),
-        ck.Check("fct_player_counts_daily.grain", ck.duplicates(daily, "app_id", "date_day")),
-        ck.Check("fct_player_trends_daily.grain", ck.duplicates(trended, "app_id", "date_day")),
-        ck.Check("fct_player_counts.non_negative", ck.breaches(fact, ck.NON_NEGATIVE)),
-        ck.Check("fct_player_counts_daily.contract", ck.breaches(daily, ck.DAILY_CONTRACT)),
-        ck.Check("fct_player_trends_daily.contract", ck.breaches(trended, ck.TRENDS_CONTRACT)),
-        ck.Check("fct_snapshot_hours.contract", ck.breaches(ledger, ck.LEDGER_CONTRACT)),
-        ck.Check("game_leaderboard.contract", ck.breaches(board, ck.BOARD_CONTRACT)),
-        ck.Check("stg_app_metadata.same_id", ck.breaches(meta, ck.SAME_ID)),
+        grain("fct_player_counts", fact, "app_id", "logical_hour"),
+        grain("fct_player_counts_daily", daily, "app_id", "date_day"),
+        grain("fct_player_trends_daily", trended, "app_id", "date_day"),
+        contract("fct_player_counts.non_negative", fact, ck.NON_NEGATIVE),
+        contract("fct_player_counts_daily.contract", daily, ck.DAILY_CONTRACT),
+        contract("fct_player_trends_daily.contract", trended, ck.TRENDS_CONTRACT),
+        contract("fct_snapshot_hours.contract", ledger, ck.LEDGER_CONTRACT),
+        contract("game_leaderboard.contract", board, ck.BOARD_CONTRACT),
+        contract("stg_app_metadata.same_id", meta, ck.SAME_ID),
         ck.Check("fct_snapshot_hours.dense", ck.ledger_not_dense(ledger)),
         ck.Check("game_leaderboard.ranks", ck.ranks_with_holes(board)),
         ck.Check(
@@ -164,12 +187,6 @@ def model_checks(model: Model, raw: Raw, as_of: datetime) -> list[ck.Check]:
             "warn",
         ),
     ]
-    for name, df in (
-        ("fct_player_counts", fact),
-        ("fct_player_counts_daily", daily),
-        ("fct_player_trends_daily", trended),
-    ):
-        found += refers(name, df, "app_id", dim) + refers(name, df, "date_day", dates)
     # How old the newest load may be, in hours.
     for name, table, column, hours in (
         ("player_counts", raw.player_counts, "loaded_at", 2),

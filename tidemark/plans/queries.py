@@ -24,6 +24,7 @@ from tidemark.operators.observations import (
 )
 from tidemark.operators.ranking import top_k, with_dense_ranks
 from tidemark.plans import driver_tables as given
+from tidemark.plans import model
 from tidemark.plans.oracle import compose
 from tidemark.session import prepare, scratch_dir
 from tidemark.sources import landing, spines, tables
@@ -1524,7 +1525,7 @@ def checks_unique(spark, sf):
     compose("SELECT app_id, app_name FROM meta WHERE genre_names IS NULL", "meta"),
 )
 def checks_not_null(spark, sf):
-    return checks.not_null(given.metadata(spark, sf), "genre_names").select("app_id", "app_name")
+    return given.metadata(spark, sf).filter(checks.is_null("genre_names")).select("app_id", "app_name")
 
 
 @query(
@@ -1532,7 +1533,7 @@ def checks_not_null(spark, sf):
     compose("SELECT app_id, app_type FROM meta WHERE app_type NOT IN ('game')", "meta"),
 )
 def checks_accepted(spark, sf):
-    found = checks.unaccepted(given.metadata(spark, sf), "app_type", ["game"])
+    found = given.metadata(spark, sf).filter(checks.is_unaccepted("app_type", ["game"]))
     return found.select("app_id", "app_type")
 
 
@@ -1596,3 +1597,62 @@ def checks_ranks(spark, sf):
 def checks_freshness(spark, sf):
     clicks = given.table(spark, sf, "events").filter("event_type = 'click'")
     return checks.stale(clicks, "ts", datetime(2024, 2, 2), 26)
+
+
+CHECK_NAMES = """dim_game.app_id.unique dim_game.app_id.not_null dim_date.date_day.unique
+  dim_date.date_day.not_null fct_snapshot_hours.logical_hour.unique
+  fct_snapshot_hours.logical_hour.not_null game_leaderboard.app_id.unique
+  game_leaderboard.app_id.not_null stg_snapshot_runs.run_id.unique
+  stg_snapshot_runs.run_id.not_null stg_catalog_runs.run_id.unique
+  stg_catalog_runs.run_id.not_null fct_player_counts.app_id.not_null
+  fct_player_counts.app_id.known fct_player_counts.date_day.not_null
+  fct_player_counts.date_day.known fct_player_counts_daily.app_id.not_null
+  fct_player_counts_daily.app_id.known fct_player_counts_daily.date_day.not_null
+  fct_player_counts_daily.date_day.known fct_player_trends_daily.app_id.not_null
+  fct_player_trends_daily.app_id.known fct_player_trends_daily.date_day.not_null
+  fct_player_trends_daily.date_day.known game_leaderboard.app_id.known
+  fct_player_counts.logical_hour.not_null fct_snapshot_hours.status.not_null
+  stg_app_metadata.steam_appid.not_null fct_snapshot_hours.status.accepted
+  stg_app_metadata.app_type.accepted stg_app_metadata.price_currency.accepted
+  fct_player_counts.grain fct_player_counts_daily.grain fct_player_trends_daily.grain
+  fct_player_counts.non_negative fct_player_counts_daily.contract
+  fct_player_trends_daily.contract fct_snapshot_hours.contract game_leaderboard.contract
+  stg_app_metadata.same_id fct_snapshot_hours.dense game_leaderboard.ranks
+  dim_game.knows_every_unobservable player_counts.fresh snapshot_runs.fresh
+  app_metadata.fresh catalog_runs.fresh""".split()
+
+
+@query(
+    "model_checks",
+    compose(
+        f"""SELECT name AS "check",
+          CASE WHEN name LIKE '%.fresh' OR name LIKE '%unobservable' THEN 'warn' ELSE 'error' END
+            AS severity,
+          CASE name
+            WHEN 'stg_app_metadata.app_type.accepted' THEN
+              (SELECT count(*) FROM meta WHERE app_type <> 'game')
+            WHEN 'stg_app_metadata.same_id' THEN
+              (SELECT count(*) FROM meta WHERE app_id <> steam_appid)
+            WHEN 'fct_player_counts.app_id.known' THEN
+              (SELECT count(*) FROM obs_staged WHERE app_id NOT IN (SELECT app_id FROM registry))
+            WHEN 'fct_player_counts_daily.app_id.known' THEN
+              (SELECT count(*) FROM obs_dense WHERE app_id NOT IN (SELECT app_id FROM registry))
+            WHEN 'fct_player_trends_daily.app_id.known' THEN
+              (SELECT count(*) FROM obs_dense WHERE app_id NOT IN (SELECT app_id FROM registry))
+            WHEN 'fct_snapshot_hours.dense' THEN
+              (SELECT CAST(count(*) = 0 AS BIGINT) FROM runs
+               WHERE attempt = 1 AND failed = 0 AND bought > 0)
+            ELSE 0 END AS violations
+        FROM (SELECT unnest({CHECK_NAMES!r}) AS name)""",
+        "meta",
+        "registry",
+        "obs_dense",
+        "runs",
+    ),
+)
+def model_checks_query(spark, sf):
+    """The whole model built from the given tables, written, and every check on it."""
+    raw = given.raw_tables(spark, sf)
+    calendar = (date(2023, 1, 1), date(2025, 12, 31))
+    built = model.build(spark, raw, given.AS_OF, scratch_dir(spark, "model"), calendar)
+    return checks.summarize(model.model_checks(built, raw, given.AS_OF))
