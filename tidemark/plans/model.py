@@ -16,7 +16,7 @@ from tidemark.operators.metadata import extract_metadata
 from tidemark.operators.observations import LINEAGE, fact_native, normalize_observations
 from tidemark.operators.registry import dim_entity, listed_ids, normalize_registry
 from tidemark.operators.reports import leaderboard
-from tidemark.sources.sinks import write_days
+from tidemark.sources.sinks import settled, write_days
 from tidemark.sources.spines import CALENDAR_END, CALENDAR_START, dim_date
 
 
@@ -99,7 +99,8 @@ def build(
     if root is not None:
         # The daily fact is the first columns of the trends, so it need not be built twice.
         daily = trended.select(*daily.columns)
-    board = settle_small(leaderboard(dim, fact, trended), "game_leaderboard")
+    rows_once = (lambda frame: settled(frame, "board")) if root else None
+    board = settle_small(leaderboard(dim, fact, trended, rows_once), "game_leaderboard")
     return Model(
         stg_player_counts=normalize_observations(raw.player_counts, LINEAGE),
         stg_tracked_universe=registry,

@@ -139,8 +139,8 @@ part(
     (),
     """
     SELECT c_custkey AS app_id, c_name AS name,
-      CASE WHEN c_custkey % 10 = 0 THEN 'seed' ELSE 'chart' END AS source,
-      c_custkey % 7 <> 0 AS is_active
+      CASE WHEN c_nationkey = 0 THEN 'seed' ELSE 'chart' END AS source,
+      c_mktsegment <> 'HOUSEHOLD' AS is_active
     FROM customer""",
 )
 part(
@@ -169,7 +169,7 @@ part(
         THEN CAST(round(p_retailprice * 100) AS BIGINT) END AS initial_cents,
       CASE WHEN p_partkey % 2 = 1
         THEN CAST(round(p_retailprice * 100) AS BIGINT) - p_partkey % 100 END AS final_cents
-    FROM part WHERE p_partkey % 10 <> 9""",
+    FROM part WHERE p_brand <> 'Brand#9'""",
 )
 part(
     "day_flagged",
@@ -220,7 +220,7 @@ part(
         count(*) FILTER (WHERE event_type = 'error') AS failed
       FROM events WHERE event_type IN ('purchase', 'error') GROUP BY 1
     ) CROSS JOIN (VALUES (0), (1)) a(attempt)
-    WHERE extract(hour FROM h) % 6 <> 0""",
+    WHERE bought > 0""",
 )
 part(
     "judged",
@@ -276,9 +276,9 @@ part(
     "app_list",
     (),
     """
-    SELECT c_custkey AS app_id, CASE WHEN c_custkey % 8 = 0 THEN 'renamed ' || c_name
+    SELECT c_custkey AS app_id, CASE WHEN c_nationkey = 12 THEN 'renamed ' || c_name
       ELSE c_name END AS name
-    FROM customer WHERE c_custkey % 9 <> 0""",
+    FROM customer WHERE c_nationkey <> 2""",
 )
 part(
     "chart",
@@ -311,8 +311,9 @@ part(
     "known",
     (),
     """
-    SELECT c_custkey AS app_id, c_name AS name, 'chart' AS source, c_custkey % 5 <> 0 AS is_active
-    FROM customer WHERE c_custkey % 4 <> 0""",
+    SELECT c_custkey AS app_id, c_name AS name, 'chart' AS source,
+      c_mktsegment <> 'BUILDING' AS is_active
+    FROM customer WHERE c_acctbal >= 0""",
 )
 part(
     "part_chart",

@@ -862,14 +862,13 @@ def seed(spark: SparkSession) -> DataFrame:
 
 
 def app_list(spark: SparkSession, sf: str) -> DataFrame:
-    """Customers as the app list; every eighth is listed twice and the later name stands."""
-    listed = given.table(spark, sf, "customer").filter("c_custkey % 9 <> 0")
-    once = listed.select(
-        F.col("c_custkey").alias("app_id"), F.col("c_name").alias("name"), F.lit(0).alias("position")
-    )
-    again = once.filter("app_id % 8 = 0").select(
-        "app_id", F.concat(F.lit("renamed "), "name").alias("name"), F.lit(1).alias("position")
-    )
+    """Customers of all nations but one as the app list; another nation's are listed twice, and
+    the later name stands."""
+    listed = given.table(spark, sf, "customer").filter("c_nationkey <> 2")
+    key = F.col("c_custkey").alias("app_id")
+    once = listed.select(key, F.col("c_name").alias("name"), F.lit(0).alias("position"))
+    renamed = F.concat(F.lit("renamed "), "c_name").alias("name")
+    again = listed.filter("c_nationkey = 12").select(key, renamed, F.lit(1).alias("position"))
     return once.unionByName(again)
 
 
@@ -920,8 +919,13 @@ def admit_refused(spark, sf):
 
 
 def known(spark: SparkSession, sf: str) -> DataFrame:
-    return given.registry_raw(spark, sf).filter("app_id % 4 <> 0").withColumns(
-        {"source": F.lit("chart"), "is_active": F.col("app_id") % 5 != 0}
+    """Customers without debts as the registry so far, one segment of them inactive."""
+    return given.table(spark, sf, "customer").filter("c_acctbal >= 0").select(
+        F.col("c_custkey").alias("app_id"),
+        F.col("c_name").alias("name"),
+        F.lit("chart").alias("source"),
+        F.lit(datetime(2024, 1, 1)).cast("timestamp").alias("tracked_from"),
+        (F.col("c_mktsegment") != "BUILDING").alias("is_active"),
     )
 
 
@@ -985,10 +989,10 @@ def part_chart(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def described(spark: SparkSession, sf: str) -> registry.MetadataStep:
-    """Parts: half have older metadata, a tenth have no details any more."""
-    parts = given.table(spark, sf, "part").select(F.col("p_partkey").alias("app_id"), "p_name")
+    """Parts: the smaller ones have older metadata, one brand has no details any more."""
+    parts = given.table(spark, sf, "part").withColumnRenamed("p_partkey", "app_id")
     earlier = F.lit(datetime(2024, 1, 1)).cast("timestamp")
-    stored = parts.filter("app_id % 2 = 0").select(
+    stored = parts.filter("p_size <= 25").select(
         "app_id",
         F.parse_json(F.lit('{"name":"old"}')).alias("data"),
         earlier.alias("first_loaded_at"),
@@ -999,7 +1003,7 @@ def described(spark: SparkSession, sf: str) -> registry.MetadataStep:
         F.col("p_name").alias("name"),
         F.lit("chart").alias("source"),
         earlier.alias("tracked_from"),
-        (F.col("app_id") % 19 != 0).alias("is_active"),
+        (F.col("p_type") != "PROMO").alias("is_active"),
     )
     details = unwrap_details(given.details_raw(spark, sf))
     return registry.metadata_step(stored, members, details, part_chart(spark, sf), given.AS_OF)
@@ -1008,12 +1012,12 @@ def described(spark: SparkSession, sf: str) -> registry.MetadataStep:
 @query(
     "metadata_step",
     """SELECT p_partkey AS app_id,
-      CASE WHEN p_partkey % 10 <> 9 THEN p_name ELSE 'old' END AS name,
-      CASE WHEN p_partkey % 2 = 0 THEN '2024-01-01 00:00:00' ELSE '2024-01-30 23:00:00' END
+      CASE WHEN p_brand <> 'Brand#9' THEN p_name ELSE 'old' END AS name,
+      CASE WHEN p_size <= 25 THEN '2024-01-01 00:00:00' ELSE '2024-01-30 23:00:00' END
         AS first_loaded_at,
-      CASE WHEN p_partkey % 10 <> 9 THEN '2024-01-30 23:00:00' ELSE '2024-01-01 00:00:00' END
+      CASE WHEN p_brand <> 'Brand#9' THEN '2024-01-30 23:00:00' ELSE '2024-01-01 00:00:00' END
         AS updated_at
-    FROM part WHERE p_partkey % 2 = 0 OR p_partkey % 10 <> 9""",
+    FROM part WHERE p_size <= 25 OR p_brand <> 'Brand#9'""",
 )
 def metadata_step(spark, sf):
     state = described(spark, sf).metadata
@@ -1025,8 +1029,8 @@ def metadata_step(spark, sf):
 @query(
     "metadata_step_registry",
     compose(
-        """SELECT p_partkey AS app_id, p_partkey % 19 <> 0 AND NOT (
-            p_partkey % 10 = 9 AND p_partkey NOT IN (SELECT app_id FROM part_chart)) AS is_active
+        """SELECT p_partkey AS app_id, p_type <> 'PROMO' AND NOT (
+            p_brand = 'Brand#9' AND p_partkey NOT IN (SELECT app_id FROM part_chart)) AS is_active
         FROM part""",
         "part_chart",
     ),
@@ -1043,10 +1047,10 @@ def metadata_step_registry(spark, sf):
           (SELECT count(*) FROM chart) AS chart_count,
           (SELECT count(*) FROM admitted WHERE app_id NOT IN (SELECT app_id FROM known))
             AS newly_tracked_count,
-          (SELECT count(*) FROM part WHERE p_partkey % 10 <> 9) AS metadata_upserted_count,
+          (SELECT count(*) FROM part WHERE p_brand <> 'Brand#9') AS metadata_upserted_count,
           (SELECT coalesce(string_agg(CAST(app_id AS VARCHAR), '|' ORDER BY app_id), '')
-           FROM part_chart WHERE app_id % 10 = 9) AS no_metadata_app_ids,
-          (SELECT count(*) FROM part WHERE p_partkey % 10 = 9 AND p_partkey % 19 <> 0
+           FROM part_chart JOIN part ON p_partkey = app_id WHERE p_brand = 'Brand#9') AS no_metadata_app_ids,
+          (SELECT count(*) FROM part WHERE p_brand = 'Brand#9' AND p_type <> 'PROMO'
              AND p_partkey NOT IN (SELECT app_id FROM part_chart)) AS deactivated_count""",
         "known",
         "admitted",
@@ -1073,25 +1077,28 @@ def catalog_audit(spark, sf):
 
 
 def order_sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """A target of even keys and an incoming side of every third, with other values."""
+    """Orders up to 1998 as the target, those from 1997 on as the incoming side with new values."""
     orders = given.table(spark, sf, "orders").select(
         "o_orderkey",
         F.col("o_orderstatus").alias("status"),
         F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"),
-        F.when(F.col("o_orderkey") % 4 == 0, F.col("o_custkey")).alias("counter"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_custkey")).alias("counter"),
+        "o_orderdate",
     )
-    incoming = orders.filter("o_orderkey % 3 = 0").select(
+    incoming = orders.filter("o_orderdate >= '1997-01-01'").select(
         "o_orderkey",
         F.lit("new").alias("status"),
         (F.col("cents") + 1).alias("cents"),
         F.lit(-1).cast("bigint").alias("counter"),
     )
-    return orders.filter("o_orderkey % 2 = 0"), incoming
+    target = orders.filter("o_orderdate < '1999-01-01'").drop("o_orderdate")
+    return target, incoming
 
 
 ORDER_TARGET = """target AS (
   SELECT o_orderkey, o_orderstatus AS status, CAST(round(o_totalprice * 100) AS BIGINT) AS cents,
-    CASE WHEN o_orderkey % 4 = 0 THEN o_custkey END AS counter FROM orders WHERE o_orderkey % 2 = 0)"""
+    CASE WHEN o_orderpriority = '1-URGENT' THEN o_custkey END AS counter
+  FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01')"""
 
 
 @query(
@@ -1100,7 +1107,7 @@ ORDER_TARGET = """target AS (
     SELECT * FROM target
     UNION ALL
     SELECT o_orderkey, 'first', CAST(round(o_totalprice * 100) AS BIGINT) + 1, -1
-    FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey % 2 <> 0""",
+    FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND NOT o_orderdate < TIMESTAMP '1999-01-01'""",
     gaps=["counter"],
 )
 def insert_if_absent(spark, sf):
@@ -1117,11 +1124,12 @@ def insert_if_absent(spark, sf):
     "upsert_replace",
     f"""WITH {ORDER_TARGET}
     SELECT o_orderkey,
-      CASE WHEN o_orderkey % 3 = 0 THEN 'new' ELSE o_orderstatus END AS status,
+      CASE WHEN o_orderdate >= TIMESTAMP '1997-01-01' THEN 'new' ELSE o_orderstatus END AS status,
       CAST(round(o_totalprice * 100) AS BIGINT)
-        + CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS cents,
-      CASE WHEN o_orderkey % 3 = 0 THEN -1 WHEN o_orderkey % 4 = 0 THEN o_custkey END AS counter
-    FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0""",
+        + CASE WHEN o_orderdate >= TIMESTAMP '1997-01-01' THEN 1 ELSE 0 END AS cents,
+      CASE WHEN o_orderdate >= TIMESTAMP '1997-01-01' THEN -1
+        WHEN o_orderpriority = '1-URGENT' THEN o_custkey END AS counter
+    FROM orders""",
     gaps=["counter"],
 )
 def upsert_replace(spark, sf):
@@ -1136,11 +1144,12 @@ def upsert_replace(spark, sf):
 @query(
     "upsert_first_non_null",
     """SELECT o_orderkey,
-      CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus ELSE 'new' END AS status,
+      CASE WHEN o_orderdate < TIMESTAMP '1999-01-01' THEN o_orderstatus ELSE 'new' END AS status,
       CAST(round(o_totalprice * 100) AS BIGINT)
-        + CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS cents,
-      CASE WHEN o_orderkey % 4 = 0 THEN o_custkey WHEN o_orderkey % 3 = 0 THEN -1 END AS counter
-    FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0""",
+        + CASE WHEN o_orderdate >= TIMESTAMP '1997-01-01' THEN 1 ELSE 0 END AS cents,
+      CASE WHEN o_orderdate < TIMESTAMP '1999-01-01' AND o_orderpriority = '1-URGENT' THEN o_custkey
+        WHEN o_orderdate >= TIMESTAMP '1997-01-01' THEN -1 END AS counter
+    FROM orders""",
     gaps=["counter"],
 )
 def upsert_first_non_null(spark, sf):
@@ -1153,7 +1162,7 @@ def upsert_first_non_null(spark, sf):
 @query(
     "set_flag",
     """SELECT c_custkey AS app_id,
-      c_custkey % 7 <> 0 AND c_custkey NOT IN (
+      c_mktsegment <> 'HOUSEHOLD' AND c_custkey NOT IN (
         SELECT o_custkey FROM orders WHERE o_orderstatus = 'F') AS is_active FROM customer""",
 )
 def set_flag(spark, sf):
@@ -1166,7 +1175,7 @@ def set_flag(spark, sf):
 @query(
     "flag_changes",
     """SELECT c_custkey AS app_id FROM customer
-    WHERE c_custkey % 7 <> 0 AND c_custkey IN (
+    WHERE c_mktsegment <> 'HOUSEHOLD' AND c_custkey IN (
       SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')""",
 )
 def flag_changes(spark, sf):
@@ -1296,7 +1305,7 @@ def rebuild_from_landing(spark, sf):
       CASE WHEN landed THEN tracked END AS tracked_count,
       CASE WHEN landed THEN seen END AS observed_count,
       CASE WHEN landed THEN refused END AS unobservable_count,
-      CASE WHEN landed AND extract(hour FROM h) % 3 <> 0 THEN seen ELSE 0 END AS loaded_count,
+      CASE WHEN landed AND extract(hour FROM h) < 18 THEN seen ELSE 0 END AS loaded_count,
       CASE WHEN landed THEN 'raw/player-counts/dt=' || strftime(h, '%Y-%m-%d') || '/'
         || strftime(h, '%H') || '-snapshot.json' END AS s3_key
     FROM (
@@ -1307,9 +1316,9 @@ def rebuild_from_landing(spark, sf):
     gaps=["tracked_count", "observed_count", "unobservable_count"],
 )
 def snapshot_audit(spark, sf):
-    """Every hour has a run; hour 7 never landed, and every third hour was never loaded."""
+    """Every hour has a run; hour 7 never landed, and the evenings were never loaded."""
     bundles = hourly_bundles(spark, sf).filter(F.hour("logical_date") != 7)
-    held = audit.bundle_rows(bundles).filter(F.hour("logical_hour") % 3 != 0)
+    held = audit.bundle_rows(bundles).filter(F.hour("logical_hour") < 18)
     hours = given.observations(spark, sf).select(
         F.date_trunc("hour", "logical_hour").alias("logical_hour")
     )
@@ -1324,9 +1333,9 @@ def snapshot_audit(spark, sf):
 @query(
     "metadata_versions",
     """SELECT p_partkey AS app_id,
-      CASE WHEN p_partkey % 10 <> 9 THEN '2024-01-30 23:00:00' ELSE '2024-01-01 00:00:00' END
+      CASE WHEN p_brand <> 'Brand#9' THEN '2024-01-30 23:00:00' ELSE '2024-01-01 00:00:00' END
         AS updated_at
-    FROM part WHERE p_partkey % 2 = 0 OR p_partkey % 10 <> 9""",
+    FROM part WHERE p_size <= 25 OR p_brand <> 'Brand#9'""",
 )
 def metadata_versions(spark, sf):
     """The stepped metadata written as a new version and read back from it."""
