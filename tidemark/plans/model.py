@@ -118,9 +118,12 @@ def build(
 
 
 def model_checks(model: Model, raw: Raw, as_of: datetime) -> list[ck.Check]:
-    """Every declared check, as frames of violating rows. Nothing runs until they are read."""
+    """Every declared check, as frames of violating rows that run when they are read.
+
+    The ledger is a view, so it is settled first: one row per hour, read by several checks.
+    """
     fact, daily = model.fct_player_counts, model.fct_player_counts_daily
-    trended, ledger = model.fct_player_trends_daily, model.fct_snapshot_hours
+    trended, ledger = model.fct_player_trends_daily, settled(model.fct_snapshot_hours, "ledger")
     board, dim, dates = model.game_leaderboard, model.dim_game, model.dim_date
     runs, meta = model.stg_snapshot_runs, model.stg_app_metadata
     unobservable = raw.unobservable

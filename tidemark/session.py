@@ -19,6 +19,8 @@ TUNING_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # A model build has more stages than the default number of compiled ones that are kept.
+    "spark.sql.codegen.cache.maxEntries": "1000",
     # Streaming state outgrows the heap with the number of entities.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
