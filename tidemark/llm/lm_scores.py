@@ -1,0 +1,163 @@
+"""Stupid-backoff scores of documents, computed relationally.
+
+The model's unit is the byte of lower-cased text: a byte's score is its count after the four
+bytes before it over their count, or 0.4 times the score after three, and so on; a gram seen
+fewer than MIN_COUNT times counts as unseen. Byte grams need no vocabulary, hold any language, and
+fit a long, so every shorter gram and every context is a shift or a mask of the longest one, and
+the count tables of all orders are aggregates of one.
+
+Scale. Texts are dealt into buckets of about BUCKET_BYTES; a bucket's grams are counted in place,
+so the tables see one row per distinct gram and bucket and not one per byte. Counts are summed and
+joined to their shorter grams in tables partitioned by hash. Each bucket gets the scores of its
+own grams back and sums them per document. Nothing is broadcast or collected, and what is gathered
+grows with the corpus.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.llm.common import Workspace
+from tidemark.llm.text_arrays import LOWER, chunks, longs, utf8
+
+ORDER = 5
+BACKOFF = 0.4
+MIN_COUNT = 2
+BUCKET_BYTES = 16 << 20
+
+RESULT = "doc_id long, n_bytes long, log_score double, score double"
+
+# Bytes below the space count as spaces; zero stands for what is before a text.
+PLAIN = np.where(LOWER < 32, 32, LOWER).astype(np.uint8)
+
+
+def codes_of(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The gram that ends at each byte, of ORDER bytes in one number."""
+    value = PLAIN[data].astype(np.uint64)
+    place = np.arange(len(data)) - np.repeat(offsets[:-1], np.diff(offsets))
+    out = value.copy()
+    for k in range(1, ORDER):
+        before = np.zeros(len(value), np.uint64)
+        before[k:] = value[:-k] if k < len(value) else 0
+        before[place < k] = 0
+        out |= before << np.uint64(8 * k)
+    return out
+
+
+def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of distinct grams by bucket, from rows sorted by bucket."""
+    open_bucket, held = None, []
+
+    def fold() -> tuple[np.ndarray, np.ndarray]:
+        code, at = np.unique(np.concatenate([c for c, _ in held]), return_inverse=True)
+        return code, np.bincount(at, np.concatenate([n for _, n in held])).astype(np.int64)
+
+    def batch_of() -> pa.RecordBatch:
+        code, n = fold()
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(code), open_bucket, np.int32)), longs(code), longs(n)],
+            names=["bucket", "gram", "n"],
+        )
+
+    for batch in batches:
+        bucket = np.asarray(batch.column(0))
+        data, offsets = utf8(batch.column(1))
+        cuts = np.r_[0, np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, len(bucket)]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if a == b:
+                continue
+            if open_bucket is not None and bucket[a] != open_bucket and held:
+                yield batch_of()
+                held = []
+            open_bucket = bucket[a]
+            at = offsets[a : b + 1]
+            for low, high in chunks(at):
+                code = codes_of(data[at[low] : at[high]], at[low : high + 1] - at[low])
+                if len(code):
+                    held.append(np.unique(code, return_counts=True))
+                if len(held) > 8:
+                    held = [fold()]
+    if held:
+        yield batch_of()
+
+
+def gram_scores(counts: DataFrame) -> DataFrame:
+    """`gram`, `score`: log of the stupid-backoff score of each gram's last byte."""
+    total = counts.agg(F.sum("n")).first()[0] or 1
+    whole = counts.groupBy("gram").agg(F.sum("n").alias("n"))
+    scored = whole.withColumn("found", F.lit(None).cast("double"))
+    for order in range(ORDER, 0, -1):
+        mask = (1 << (8 * order)) - 1
+        tail = F.col("gram").bitwiseAND(F.lit(mask))
+        level = whole.groupBy(tail.alias("tail")).agg(F.sum("n").alias("here"))
+        context = F.shiftrightunsigned("tail", 8)
+        after = level.groupBy(context.alias("context")).agg(F.sum("here").alias("all"))
+        level = level.where(F.col("here") >= MIN_COUNT).join(after, context == F.col("context"))
+        level = level.select(
+            "tail",
+            (F.log(F.col("here") / F.col("all")) + (ORDER - order) * math.log(BACKOFF)).alias("s"),
+        )
+        scored = scored.join(level, tail == F.col("tail"), "left").select(
+            "gram", "n", F.coalesce("found", "s").alias("found")
+        )
+    unseen = ORDER * math.log(BACKOFF) - math.log(total)
+    return scored.select("gram", F.coalesce("found", F.lit(unseen)).alias("score"))
+
+
+def _sum_up(texts: pa.Table, table: pa.Table) -> pa.Table:
+    """Scores of a bucket's documents from the scores of its grams."""
+    texts, table = texts.combine_chunks(), table.combine_chunks()
+    gram = np.asarray(table.column("gram")).view(np.uint64)
+    value = np.asarray(table.column("score"))
+    order = np.argsort(gram)
+    gram, value = gram[order], value[order]
+    ids = texts.column("doc_id").combine_chunks()
+    column = texts.column("text").combine_chunks()
+    data, offsets = utf8(column)
+    out = np.zeros(len(ids))
+    for low, high in chunks(offsets):
+        at = offsets[low : high + 1] - offsets[low]
+        code = codes_of(data[offsets[low] : offsets[high]], at)
+        if len(code):
+            sums = np.r_[0.0, np.cumsum(value[np.searchsorted(gram, code)])]
+            out[low:high] = sums[at[1:]] - sums[at[:-1]]
+    size = np.diff(offsets)
+    return pa.table(
+        {
+            "doc_id": ids,
+            "n_bytes": longs(size),
+            "log_score": pa.array(out),
+            "score": pa.array(out / np.maximum(size, 1)),
+        }
+    )
+
+
+def lm_scores(docs: DataFrame, ws: Workspace | None = None) -> DataFrame:
+    """Stupid-backoff scores under a model of all documents.
+
+    Columns `doc_id`, `n_bytes`, `log_score` (sum of the natural logs of each byte's score) and
+    `score` (its mean per byte, higher for more usual text). A byte whose gram occurs in no other
+    place falls back to shorter ones.
+
+    One row per input row. A null text is empty and scores 0; a null doc_id stays null; repeated
+    rows count and are scored as often as they occur.
+    """
+    ws = ws or Workspace(docs.sparkSession, "lm")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(1, math.ceil(size / BUCKET_BYTES))
+    bucket = F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).cast("int")
+    texts = texts.withColumn("bucket", bucket)
+    dealt = texts.select("bucket", "text").repartition("bucket").sortWithinPartitions("bucket")
+    counts = ws.save(dealt.mapInArrow(_grams, "bucket int, gram long, n long"), "grams")
+    scores = ws.save(gram_scores(counts.select("gram", "n")), "scores")
+    asked = counts.select("bucket", "gram").join(scores, "gram")
+    return (
+        texts.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(_sum_up, RESULT)
+    )
