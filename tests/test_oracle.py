@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from tests.harness import connect, difference
+from tidemark.plans.queries import ORACLE, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -14,13 +15,13 @@ def con(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, con, sf_dir, name):
-    got = queries()[name](spark, sf_dir).toPandas()
-    want = con.execute(oracle_sql()[name]).df()
+    got = QUERIES[name](spark, sf_dir).toPandas()
+    want = con.execute(ORACLE[name]).df()
     assert difference(got, want) is None
 
 
