@@ -170,12 +170,12 @@ def mix_sources(
     supply = {
         r.pattern: (r.words, json.loads(r.pattern)) for r in sums.collect() if r.pattern is not None
     }
-    if len(supply) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
     sizes: dict = {}
     for words, names in supply.values():
         for s in names:
             sizes[s] = sizes.get(s, 0) + words
+    if len(supply) > MAX_PATTERNS or len(sizes) > MAX_PATTERNS:
+        raise ValueError(f"more than {MAX_PATTERNS} membership patterns or sources")
     ranked = sorted(sizes, key=lambda s: (s is None, s or ""))
     if weights is None:
         weights = {s: WEIGHTS[i % len(WEIGHTS)] for i, s in enumerate(ranked)}
@@ -192,6 +192,7 @@ def mix_sources(
         [(s, sizes[s], aims[s]) for s in ranked],
         "named string, source_size long, target double",
     )
+    plan, aim = F.broadcast(plan), F.broadcast(aim)  # no more rows than MAX_PATTERNS allows
     # The bucket in which a pattern's last words are taken, and the words before it.
     buckets = sized.groupBy("pattern", "bucket").agg(F.sum("size").alias("n")).join(plan, "pattern")
     upto = F.sum("n").over(
@@ -203,7 +204,7 @@ def mix_sources(
         .groupBy("pattern")
         .agg(F.min("bucket").alias("edge"), F.min_by(F.expr("upto - n"), "bucket").alias("before"))
     )
-    placed = sized.join(plan, "pattern", "left").join(edge, "pattern", "left")
+    placed = sized.join(plan, "pattern", "left").join(F.broadcast(edge), "pattern", "left")
     placed = placed.withColumn("cut", F.col("bucket") == F.col("edge"))
     inside = placed.where("cut")
     order = Window.partitionBy("pattern").orderBy("order", "doc_id", "size")
