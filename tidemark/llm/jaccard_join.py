@@ -41,10 +41,10 @@ from tidemark.llm.text_arrays import (
     word_spans,
 )
 
-GROWTH = 1.5  # of band limits
-BACKGROUND = 0.03  # share of shingles that unlike documents are expected to have in common
-PAIR_COST = 5.0  # of verifying a false candidate, in signature rows
-RISK = 1e-7  # of a document having more empty segments than the slack allows for
+GROWTH = 1.5  # of band limits, at least; wider where partners may differ more in size
+BACKGROUND = 0.001  # share of shingles that unlike documents are expected to have in common
+PAIR_COST = 0.2  # of verifying a false candidate, in signature rows
+RISK = 1e-4  # of a document having more empty segments than the slack allows for
 CELL_SHINGLES = 400_000  # of a verification cell
 
 SKETCH = "doc_id long, n_shingles long, h1 long, h2 long, sigs array<long>, near array<long>"
@@ -66,15 +66,24 @@ def units(size, num: int, den: int):
     return size * (den - num) // num + 1
 
 
-def _slack(exact: int, low: int, deletable: int) -> int:
-    """Extra exact segments, so that empty ones, which are not indexed, cannot hide a match."""
+def _slack(exact: int, used: list[tuple[int, int]], deletable: int) -> int:
+    """Extra exact segments, so that empty ones, which are not indexed, cannot hide a match.
+
+    `used` has, for some sizes of the band, how many exact segments they use beside the extra
+    ones; how many of those are empty is close to a Poisson count.
+    """
     if exact == 0 or exact + deletable == 1:
         return 0
     extra = 0
     while extra < exact:
-        mean = (exact + extra) * math.exp(-low / (exact + extra + deletable))
-        over = extra + 1  # Chernoff's bound on a Poisson count reaching this
-        if over > mean and over - mean + over * math.log(mean / over) < math.log(RISK):
+        segments = exact + extra + deletable
+        mean = max((n + extra) * math.exp(-size / segments) for size, n in used) + 1e-12
+        if mean > 50:
+            tail = 0.5 * math.erfc((extra + 0.5 - mean) / math.sqrt(2 * mean))
+        else:
+            tail = 1 - sum(math.exp(k * math.log(mean) - mean - math.lgamma(k + 1))
+                           for k in range(extra + 1))
+        if tail < RISK:
             return extra
         extra += max(1, extra // 16)
     return exact
@@ -86,7 +95,9 @@ def allocate(low: int, high: int, n_docs: int, num: int, den: int) -> Band:
     best = None
     for deletable in sorted({*range(min(12, need // 2) + 1), (need + 1) // 2}):
         exact = max(0, need - 2 * deletable)
-        slack = _slack(exact, low, deletable)
+        sizes = (low, (low + high) // 2, high)
+        used = [(x, max(0, units(x, num, den) - 2 * deletable)) for x in sizes]
+        slack = _slack(exact, used, deletable)
         segments = exact + slack + deletable
         if not segments:
             continue
@@ -108,9 +119,10 @@ def plan_bands(n_docs: int, num: int, den: int) -> list[Band]:
     while first > 1 and units(first, num, den) > 1:
         first -= 1
     out = [Band(1, max(first, 1), 1, 0, 0)]
+    growth = max(GROWTH, (den / num) ** 3)
     while out[-1].high < 1 << 31:
         low = out[-1].high + 1
-        high = max(low, int(low * GROWTH))
+        high = max(low, int(low * growth))
         out.append(allocate(low, high, max(1, n_docs // 4), num, den))
     return out
 
