@@ -48,6 +48,16 @@ def maybe_broadcast(frame: DataFrame, size: int, limit: int = BROADCAST_BYTES) -
     return F.broadcast(frame) if size <= limit else frame
 
 
+def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Documents whose doc_id is not among the distinct long `doc_id`s of `rejected`.
+
+    `rejected` is counted first, so it should be a settled table.
+    """
+    bad = rejected.select(F.col("doc_id").alias("__rejected"))
+    bad = maybe_broadcast(bad, 48 * bad.count())
+    return docs.join(bad, F.col("doc_id") == F.col("__rejected"), "left_anti")
+
+
 def components(ws: Workspace, edges: DataFrame, name: str) -> DataFrame:
     """Smallest reachable id of every vertex of an undirected graph: columns `v`, `root`.
 

@@ -27,7 +27,7 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(documents(spark, sf_dir)).drop("spans", "kept_text")
+    return remove_repeats(documents(spark, sf_dir)).drop("spans", "kept_text", "carried")
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,15 +118,19 @@ JOIN (SELECT v, min(r) AS component_id FROM reach GROUP BY v) ON v = doc_id
 ORACLE["op3_suffix_dedup"] = """
 WITH bytes AS (
   SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), blocks AS (
+  SELECT doc_id, b, substr(h, 200 * b + 1, 300) AS c
+  FROM (SELECT doc_id, h, unnest(range(0, (len(h) // 2 + 99) // 100)) AS b FROM bytes)
 ), places AS (
-  SELECT doc_id, h, unnest(range(0, len(h) // 2)) AS p FROM bytes
+  SELECT doc_id, 100 * b + o AS p, substr(c, 2 * o + 1, 100) AS s
+  FROM (SELECT *, unnest(range(0, 100)) AS o FROM blocks) WHERE 2 * o < len(c)
 ), starts AS (
-  SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS s FROM places WHERE 2 * p + 100 <= len(h)
+  SELECT doc_id, p, s FROM places WHERE len(s) = 100
 ), firsts AS (SELECT s, min(doc_id) AS first FROM starts GROUP BY s),
 hits AS (
   SELECT doc_id, p FROM starts JOIN firsts USING (s) WHERE first < doc_id
 ), marked AS (
-  SELECT doc_id, p, substr(h, 2 * p + 1, 2) AS c, last_hit >= p - 49 AS gone FROM (
+  SELECT doc_id, p, substr(s, 1, 2) AS c, last_hit >= p - 49 AS gone FROM (
     SELECT places.*, max(CASE WHEN hits.p IS NOT NULL THEN places.p END) OVER (
       PARTITION BY places.doc_id ORDER BY places.p) AS last_hit
     FROM places LEFT JOIN hits ON hits.doc_id = places.doc_id AND hits.p = places.p)
