@@ -4,8 +4,11 @@ Every possible shingle hashes to one of a band's segments, so a document is cut
 subsets. Two sets that differ in at most D shingles agree on one of any D + 1 segments, or differ
 by one shingle in a segment that is counted twice. A band of sizes has its own number of segments
 and its own share of segments that are indexed with their one-deletion neighbourhoods; both come
-from a cost model. Documents that meet under any signature are candidates, and candidates are
-verified exactly.
+from a cost model. Of the other segments a document indexes the first D + 1 that are worth it: not
+empty, and not made of shingles alone that a sample shows to be frequent. Whether a segment is
+worth it depends on its content only, so of two similar documents the one that gets by with fewer
+segments has one among them that both index. A document with too few such segments indexes all.
+Documents that meet under any signature are candidates, and candidates are verified exactly.
 
 Scale. A document sends about one signature per nine shingles (at 0.9) and no shingle at all.
 Equal signatures within an Arrow batch are folded before the shuffle, so a signature that a third
@@ -44,7 +47,10 @@ from tidemark.llm.text_arrays import (
 GROWTH = 1.5  # of band limits, at least; wider where partners may differ more in size
 BACKGROUND = 0.001  # share of shingles that unlike documents are expected to have in common
 PAIR_COST = 0.2  # of verifying a false candidate, in signature rows
-RISK = 1e-4  # of a document having more empty segments than the slack allows for
+RISK = 1e-3  # of a document having too few segments worth indexing
+SAMPLE_DOCS = 10_000  # documents that frequent shingles are looked for in, about
+FREQUENT = 3  # of them that a frequent shingle is in
+MAX_FREQUENT = 200_000  # frequent shingles that are kept; any set of them gives the same result
 CELL_SHINGLES = 400_000  # of a verification cell
 
 SKETCH = "doc_id long, n_shingles long, h1 long, h2 long, sigs array<long>, near array<long>"
@@ -57,7 +63,6 @@ class Band(NamedTuple):
     high: int
     segments: int
     deletable: int
-    slack: int
 
 
 def units(size, num: int, den: int):
@@ -67,10 +72,10 @@ def units(size, num: int, den: int):
 
 
 def _slack(exact: int, used: list[tuple[int, int]], deletable: int) -> int:
-    """Extra exact segments, so that empty ones, which are not indexed, cannot hide a match.
+    """Extra exact segments, in place of the empty ones.
 
-    `used` has, for some sizes of the band, how many exact segments they use beside the extra
-    ones; how many of those are empty is close to a Poisson count.
+    `used` has, for some sizes of the band, how many exact segments they need; how many of those
+    and the extra ones are empty is close to a Poisson count.
     """
     if exact == 0 or exact + deletable == 1:
         return 0
@@ -105,11 +110,11 @@ def allocate(low: int, high: int, n_docs: int, num: int, den: int) -> Band:
         apart = 2 * share * (1 - BACKGROUND)
         same = math.exp(-apart) - math.exp(-2 * share) if exact else 0.0
         near = (1 + apart) * math.exp(-apart)
-        rows = exact + slack + deletable * (1 + (low + high) / 2 / segments)
-        false = n_docs * ((exact + slack) * same + deletable * near)
+        rows = exact + deletable * (1 + (low + high) / 2 / segments)
+        false = n_docs * (exact * same + deletable * near)
         cost = rows + PAIR_COST * false
         if best is None or cost < best[0]:
-            best = (cost, Band(low, high, segments, deletable, slack))
+            best = (cost, Band(low, high, segments, deletable))
     return best[1]
 
 
@@ -118,7 +123,7 @@ def plan_bands(n_docs: int, num: int, den: int) -> list[Band]:
     first = num // (den - num) if den > num else 1 << 31
     while first > 1 and units(first, num, den) > 1:
         first -= 1
-    out = [Band(1, max(first, 1), 1, 0, 0)]
+    out = [Band(1, max(first, 1), 1, 0)]
     growth = max(GROWTH, (den / num) ** 3)
     while out[-1].high < 1 << 31:
         low = out[-1].high + 1
@@ -147,27 +152,31 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int):
 
 
 class Signer:
-    """Signatures of sets under a list of bands."""
+    """Signatures of sets under a list of bands and a sorted array of frequent shingles."""
 
-    def __init__(self, bands: list[Band], num: int, den: int):
+    def __init__(self, bands: list[Band], frequent: np.ndarray, num: int, den: int):
         self.num, self.den = num, den
+        self.frequent = frequent
         self.low = np.array([b.low for b in bands], np.int64)
         self.segments = np.array([b.segments for b in bands], np.int64)
         self.deletable = np.array([b.deletable for b in bands], np.int64)
-        self.slack = np.array([b.slack for b in bands], np.int64)
 
     def sign(self, flat: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Signatures and the rows they belong to. A set is indexed in its own band, and looks
         for larger partners in the bands above that a partner can fall into."""
         own = np.searchsorted(self.low, counts, "right") - 1
         top = np.searchsorted(self.low, counts * self.den // self.num, "right") - 1
+        rare = np.ones(len(flat), bool)
+        if len(self.frequent):
+            at = np.searchsorted(self.frequent, flat)
+            rare = self.frequent[np.minimum(at, len(self.frequent) - 1)] != flat
         found, rows = [], []
         step = 0
         while True:
             docs = np.flatnonzero((counts > 0) & (own + step <= top))
             if not len(docs):
                 break
-            sigs, of = self._sign(flat, counts, docs, own[docs] + step)
+            sigs, of = self._sign(flat, rare, counts, docs, own[docs] + step)
             found.append(sigs)
             rows.append(of)
             step += 1
@@ -175,17 +184,16 @@ class Signer:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
         return np.concatenate(found), np.concatenate(rows)
 
-    def _sign(self, flat, counts, docs, band):
+    def _sign(self, flat, rare, counts, docs, band):
         size = counts[docs]
         begin = (np.cumsum(counts) - counts)[docs]
-        value = flat[ranges(begin, size)]
+        take = ranges(begin, size)
+        value = flat[take]
         doc = np.repeat(np.arange(len(docs)), size)
-        m = self.segments[band]
+        m, deletable = self.segments[band], self.deletable[band]
         need = units(size, self.num, self.den)
-        dels = np.minimum(self.deletable[band], (need + 1) // 2)
+        dels = np.minimum(deletable, (need + 1) // 2)
         rest = np.maximum(0, need - 2 * dels)
-        exact = np.where(rest > 0, rest + self.slack[band], 0)
-        exact = np.minimum(exact, m - self.deletable[band])
         # A segment is a range of hash values, so it is a run of the sorted set.
         seg = ((value >> np.uint64(32)) * m[doc].astype(np.uint64)) >> np.uint64(32)
         seg = seg.astype(np.int64)
@@ -193,9 +201,15 @@ class Signer:
         part = mix(value ^ constant(4))
         sums = np.add.reduceat(part, new)
         gdoc, gseg = doc[new], seg[new]
-        d0 = self.deletable[band][gdoc]
         is_del = gseg < dels[gdoc]
-        is_exact = (gseg >= d0) & (gseg < d0 + exact[gdoc])
+        exact = gseg >= deletable[gdoc]
+        # The first segments that are worth it, as many as needed; all where there are too few.
+        worth = exact & (np.add.reduceat(rare[take].astype(np.int64), new) > 0)
+        so_far = np.cumsum(worth)
+        first = np.searchsorted(gdoc, np.arange(len(docs)))
+        rank = so_far - (so_far[first] - worth[first])[gdoc]
+        poor = np.bincount(gdoc[worth], minlength=len(docs)) < rest
+        is_exact = (worth & (rank <= rest[gdoc])) | (exact & poor[gdoc])
 
         def key(total, segment, which):
             place = segment.astype(np.uint64) * constant(5) + band[which].astype(np.uint64)
@@ -210,27 +224,44 @@ class Signer:
             group = np.repeat(np.flatnonzero(is_del), length)
             sigs.append(key(sums[group] - part[at], gseg[group], gdoc[group]))
             rows.append(docs[gdoc[group]])
-        # Empty subsets are shared by chance. Deletable ones must be indexed; exact ones only by
-        # a set with more of them than the slack, as two sets share no more than the lesser has.
-        full_del = np.bincount(gdoc[is_del], minlength=len(docs))
-        full_exact = np.bincount(gdoc[is_exact], minlength=len(docs))
-        sparse = (full_del < dels) | (exact - full_exact > self.slack[band])
-        for i in np.flatnonzero(sparse):
-            mine = gseg[gdoc == i]
-            wanted = [np.arange(dels[i])] if full_del[i] < dels[i] else []
-            if exact[i] - full_exact[i] > self.slack[band[i]]:
-                d = self.deletable[band[i]]
-                wanted.append(np.arange(d, d + exact[i]))
-            empty = np.setdiff1d(np.concatenate(wanted), mine)
+        # Empty subsets: of deletable segments, and of all segments of a poor set.
+        lacking = poor | (np.bincount(gdoc[is_del], minlength=len(docs)) < dels)
+        for i in np.flatnonzero(lacking):
+            wanted = np.arange(dels[i])
+            if poor[i]:
+                wanted = np.r_[wanted, np.arange(deletable[i], m[i])]
+            empty = np.setdiff1d(wanted, gseg[gdoc == i])
             which = np.full(len(empty), i)
             sigs.append(key(np.zeros(len(empty), np.uint64), empty, which))
             rows.append(docs[which])
         return np.concatenate(sigs), np.concatenate(rows)
 
 
-def _sketcher(bands: list[Band], width: int, num: int, den: int):
+def _shingles(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        signer = Signer(bands, num, den)
+        for batch in batches:
+            data, offsets = utf8(batch.column(0))
+            for a, b in chunks(offsets):
+                at = offsets[a : b + 1] - offsets[a]
+                flat, _ = shingle_sets(data[offsets[a] : offsets[b]], at, width)
+                yield pa.RecordBatch.from_arrays([longs(flat)], names=["gram"])
+
+    return run
+
+
+def frequent_shingles(docs: DataFrame, n_docs: int, width: int) -> np.ndarray:
+    """Shingles of several documents of a sample, at most MAX_FREQUENT, the most frequent first."""
+    share = min(1.0, SAMPLE_DOCS / max(1, n_docs))
+    drawn = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1_000_000)) < int(share * 1_000_000)
+    grams = docs.where(drawn).select("text").mapInArrow(_shingles(width), "gram long")
+    often = grams.groupBy("gram").count().where(F.col("count") >= FREQUENT)
+    rows = often.orderBy(F.desc("count"), "gram").limit(MAX_FREQUENT).select("gram").toArrow()
+    return np.sort(np.asarray(rows.column(0).combine_chunks()).view(np.uint64))
+
+
+def _sketcher(bands: list[Band], frequent: np.ndarray, width: int, num: int, den: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        signer = Signer(bands, frequent, num, den)
         for batch in batches:
             ids = batch.column(0)
             known = np.asarray(ids.is_valid())
@@ -398,9 +429,11 @@ def jaccard_components(
     spark = docs.sparkSession
     ws = ws or Workspace(spark, "jaccard")
     params = (width, num, den)
-    bands = plan_bands(docs.count(), num, den)
+    n_docs = docs.count()
+    bands = plan_bands(n_docs, num, den)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketch = ws.save(texts.mapInArrow(_sketcher(bands, *params), SKETCH), "sketch")
+    frequent = frequent_shingles(texts, n_docs, width)
+    sketch = ws.save(texts.mapInArrow(_sketcher(bands, frequent, *params), SKETCH), "sketch")
 
     by_sig = sketch.select("doc_id", F.explode("sigs").alias("sig"))
     by_sig = by_sig.withColumn("a", F.min("doc_id").over(Window.partitionBy("sig")))
