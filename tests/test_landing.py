@@ -29,7 +29,8 @@ def seen(app_id, count, latency=100, **more):
 
 
 def test_old_documents_read_with_nulls(spark, tmp_path):
-    old = {"logical_date": HOUR, "observed": [{"app_id": 1, "player_count": 5}]}
+    earlier = HOUR.replace("T13", "T12")
+    old = {"logical_date": earlier, "observed": [{"app_id": 1, "player_count": 5}]}
     new = {"logical_date": HOUR, "tracked_count": 1, "observed": [seen(2, 6)], "unobservable": []}
     land(tmp_path, landing.PLAYER_COUNTS, "2026-09-10", "12-snapshot.json", old)
     land(tmp_path, landing.PLAYER_COUNTS, "2026-09-10", "13-snapshot.json", new)

@@ -133,6 +133,26 @@ def test_refresh_equals_a_full_build(spark, raw, tmp_path, split):
         assert rows(held) == rows(whole), name
 
 
+@pytest.mark.parametrize("gap", [1, 3, 9])
+def test_refresh_after_an_outage_of_whole_days(spark, raw, tmp_path, gap):
+    """Days without any row, and an entity that never returns, are in the refreshed facts."""
+    root = str(tmp_path / "facts")
+    hour = raw.player_counts.logical_hour
+    back = START + timedelta(days=3 + gap)
+    before = raw.player_counts.filter(hour < START + timedelta(days=3))
+    gone = before.select("app_id").distinct().orderBy("app_id").first()[0]
+    after = raw.player_counts.filter((hour >= back) & (raw.player_counts.app_id != gone))
+    others = (raw.tracked_universe, raw.app_metadata, raw.snapshot_runs, raw.catalog_runs)
+    build(spark, Raw(before, *others), LAST, root, CALENDAR)
+    landed = before.unionByName(after)
+    refresh(spark, landed, root, back.date())
+    full = build(spark, Raw(landed, *others), LAST, str(tmp_path / "full"), CALENDAR)
+    for name in ("fct_player_counts", "fct_player_trends_daily"):
+        whole = getattr(full, name)
+        held = spark.read.schema(whole.schema).parquet(f"{root}/{name}").select(*whole.columns)
+        assert rows(held) == rows(whole), name
+
+
 def test_plans_have_no_nested_loops(spark, raw):
     lazy = build(spark, raw, LAST, None, CALENDAR)
     for name in ("fct_player_trends_daily", "fct_snapshot_hours", "game_leaderboard", "dim_game"):

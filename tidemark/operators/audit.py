@@ -18,14 +18,22 @@ TRANSITION_COUNTS = ("newly_tracked_count", "reactivated_count", "deactivated_co
 def bundle(rows: DataFrame, tracked: DataFrame, max_rows: int = 50_000) -> DataFrame:
     """One nested document per run: `tracked` is (logical_date, tracked_count), `rows` its answers.
 
-    An entity is asked once per run, so each (logical_date, app_id) is kept once and a run has at
-    most `tracked_count` answers. A run that tracks more than `max_rows` entities becomes several
-    documents, divided by a hash of the entity, so that no task ever holds a list that grows with
-    the universe. A run without answers still has a document, with empty lists.
+    An entity is asked once per run, so each (logical_date, app_id) is kept once. A run with more
+    than `max_rows` answers, counted and not as reported, becomes several documents, divided by a
+    hash of the entity, so that no task ever holds a list that grows with the universe. A run
+    without answers still has a document, with empty lists; answers of a run that is not in
+    `tracked` raise, as they would be lost.
     """
     asked_once = first_per_key(rows, ["logical_date", "app_id"], "observed_at")
-    parts = F.ceil(F.greatest(F.col("tracked_count"), F.lit(1)) / max_rows)
-    placed = asked_once.join(tracked, "logical_date").withColumn(
+    answers = asked_once.groupBy("logical_date").agg(F.count(F.lit(1)).alias("answers"))
+    sized = answers.join(
+        tracked.select("logical_date", F.lit(True).alias("known")), "logical_date", "left"
+    )
+    unknown = F.concat(F.lit("answers of an untracked run: "), F.col("logical_date").cast("string"))
+    parts = F.when(F.col("known"), F.ceil(F.col("answers") / max_rows)).otherwise(
+        F.raise_error(unknown).cast("long")
+    )
+    placed = asked_once.join(sized, "logical_date").withColumn(
         "part", F.pmod(F.xxhash64("app_id"), parts).cast("int")
     )
     seen = F.col("status") == "observed"
@@ -83,15 +91,17 @@ def unobservable_rows(bundles: DataFrame) -> DataFrame:
 
 
 def document_summary(bundles: DataFrame) -> DataFrame:
-    """What one document says, without opening it into rows.
+    """What the documents of a run say together, without opening them into rows.
 
-    A document that says nothing about unobservable entities has a NULL list, not an empty one.
+    A run that says nothing about unobservable entities has a NULL list, not an empty one.
     """
-    return bundles.select(
-        "logical_date",
-        "tracked_count",
-        F.size("observed").alias("observed_count"),
-        F.transform("unobservable", lambda row: row["app_id"]).alias("unobservable_app_ids"),
+    ids = F.transform("unobservable", lambda row: row["app_id"])
+    return bundles.groupBy("logical_date").agg(
+        F.max("tracked_count").alias("tracked_count"),
+        F.sum(F.size("observed")).cast("int").alias("observed_count"),
+        F.when(F.count("unobservable") > 0, F.flatten(F.collect_list(ids))).alias(
+            "unobservable_app_ids"
+        ),
     )
 
 

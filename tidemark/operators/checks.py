@@ -32,7 +32,7 @@ def row_check(name: str, table: DataFrame, predicate: str, severity: str = "erro
 
 
 def is_null(column: str) -> str:
-    return f"isnull(`{column}`)"
+    return f"`{column}` is null"
 
 
 def is_unaccepted(column: str, values: Sequence[str]) -> str:
@@ -64,26 +64,27 @@ def stale(table: DataFrame, column: str, as_of: datetime, hours: int) -> DataFra
     return newest.filter(F.col("newest").isNull() | (age > hours * 3_600_000_000))
 
 
-# ---- row contracts, as named SQL predicates that are true on a violation ----
+# ---- row contracts: fixed rules, as named SQL predicates that are true on a violation ----
 
 # Both measures exist exactly on the days that were observed.
 DAILY_CONTRACT = {
     "hours_out_of_range": "observed_hours not between 0 and 24",
-    "mean_and_hours_disagree": "isnull(avg_player_count) <> (observed_hours = 0)",
-    "peak_and_hours_disagree": "isnull(peak_player_count) <> (observed_hours = 0)",
+    "mean_and_hours_disagree": "(avg_player_count is null) <> (observed_hours = 0)",
+    "peak_and_hours_disagree": "(peak_player_count is null) <> (observed_hours = 0)",
     "peak_below_mean": "peak_player_count < avg_player_count",
 }
 
 # A rate exists exactly where there is a change and something to divide it by.
 TRENDS_CONTRACT = {
-    "change_is_not_the_difference": "not (avg_player_count_change <=> "
-    "cast(avg_player_count - avg_player_count_prev_day as decimal(18, 1)))",
-    "rate_and_basis_disagree": "isnull(avg_player_count_change_rate) <> "
-    "isnull(avg_player_count + nullif(avg_player_count_prev_day, 0))",
+    "change_is_not_the_difference": "avg_player_count_change is distinct from "
+    "cast(avg_player_count - avg_player_count_prev_day as decimal(18, 1))",
+    "rate_and_basis_disagree": "(avg_player_count_change_rate is null) <> "
+    "(avg_player_count is null or avg_player_count_prev_day is null "
+    "or avg_player_count_prev_day = 0)",
     "support_out_of_range": "observed_days_7d not between 0 and 7",
-    "mean_and_support_disagree": "isnull(avg_player_count_7d) <> (observed_days_7d = 0)",
+    "mean_and_support_disagree": "(avg_player_count_7d is null) <> (observed_days_7d = 0)",
     "peak_above_record": "peak_player_count > peak_player_count_record",
-    "record_in_the_future": "datediff(date_day, last_record_day) < 0",
+    "record_in_the_future": "last_record_day > date_day",
     "negative_days_since_peak": "days_since_peak < 0",
 }
 
@@ -91,13 +92,13 @@ LEDGER_CONTRACT = {
     "unknown_status": is_unaccepted("status", HOUR_STATUSES),
     "complete_without_rows": "status = 'complete' and not has_observations",
     "unrecorded_with_rows": "status = 'unrecorded' and has_observations",
-    "unaudited_with_run": "status = 'unaudited' and isnotnull(run_id)",
-    "high_water_not_complete": "is_high_water_mark and status <> 'complete'",
+    "unaudited_with_run": "status = 'unaudited' and run_id is not null",
+    "high_water_not_complete": "status <> 'complete' and is_high_water_mark",
 }
 
 BOARD_CONTRACT = {
-    "peaks_out_of_order": "not (current_player_count <= peak_player_count_current_day "
-    "and peak_player_count_current_day <= peak_player_count_record)",
+    "current_above_day_peak": "current_player_count > peak_player_count_current_day",
+    "day_peak_above_record": "peak_player_count_current_day > peak_player_count_record",
     "hours_out_of_range": "observed_hours_current_day not between 1 and 24",
 }
 

@@ -21,11 +21,14 @@ DOCUMENT_ID = "steam_appid"
 def unwrap_details(details: DataFrame) -> DataFrame:
     """(app_id, success, data) from envelopes that are keyed by the id as text.
 
-    A missing key, or an entry that does not report success, has no data. The envelope is
+    A missing key, or an entry that does not report success, has no data. A document that cannot
+    be parsed stops the step: it must not pass as an answer without success. The envelope is
     unfolded by a generator, so that a filter on `success` cannot make it be parsed again.
     """
     envelope = F.from_json(
-        "envelope", T.MapType(T.StringType(), T.StructType.fromDDL("success boolean, data variant"))
+        "envelope",
+        T.MapType(T.StringType(), T.StructType.fromDDL("success boolean, data variant")),
+        {"mode": "FAILFAST"},
     )
     entry = F.try_element_at(envelope, F.col("app_id").cast("string"))
     opened = details.select("app_id", F.explode(F.array(entry)).alias("entry"))

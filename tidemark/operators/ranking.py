@@ -13,10 +13,19 @@ SLICES_PER_DOUBLING = 64
 
 
 def _slice(value: Column) -> Column:
-    """An order-preserving slice number: equal values share one, larger ones never sink."""
+    """An order-preserving slice number: equal values share one, larger ones never sink.
+
+    Infinite values lie outside all others, and NaN, the largest value there is, beside them.
+    """
     size = value.cast("double")
+    edge = 2048 * SLICES_PER_DOUBLING
     height = F.floor(F.log2(F.abs(size) + 1.0) * SLICES_PER_DOUBLING)
-    return F.when(size < 0, -height - 1).otherwise(height)
+    return (
+        F.when(F.isnan(size) | (size == float("inf")), edge)
+        .when(size == float("-inf"), -edge - 1)
+        .when(size < 0, -height - 1)
+        .otherwise(height)
+    )
 
 
 def dense_ranks(df: DataFrame, value: str, name: str) -> DataFrame:

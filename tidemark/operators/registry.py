@@ -143,13 +143,18 @@ def metadata_step(
     """Store what the details calls brought; `details` is (app_id, success, data).
 
     A failed entity is deactivated only if it is also off the chart; one still charting stays
-    active and is listed. `first_loaded_at` survives an update.
+    active and is listed. `first_loaded_at` survives an update. Of several answers for an id one
+    is stored, the first by its text, and an id with an answer has not failed.
     """
     now = F.lit(as_of).cast("timestamp")
-    answered = details.filter("success").select(
-        "app_id", "data", now.alias("first_loaded_at"), now.alias("updated_at")
+    answered = (
+        details.filter("success")
+        .groupBy("app_id")
+        .agg(F.min_by("data", F.col("data").cast("string")).alias("data"))
+        .select("app_id", "data", now.alias("first_loaded_at"), now.alias("updated_at"))
     )
-    failed = details.filter(~F.col("success")).select("app_id").distinct()
+    outcome = details.groupBy("app_id").agg(F.bool_or("success").alias("success"))
+    failed = outcome.filter(~F.col("success")).select("app_id")
     charting = failed.join(chart.select("app_id"), "app_id", "left_semi")
     gone = failed.join(chart.select("app_id"), "app_id", "left_anti")
     audit = metadata.sparkSession.range(1).select(

@@ -303,7 +303,9 @@ def dim_date(spark, sf):
     """The calendar joined to the days that orders fall on, with the orders of each."""
     days = given.table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("date_day"))
     per_day = days.groupBy("date_day").agg(F.count(F.lit(1)).alias("orders"))
-    calendar = spines.dim_date(spark, date(1990, 1, 1), date(2010, 12, 31))
+    first, last = per_day.agg(F.min("date_day"), F.max("date_day")).first()
+    nowhere = date(1970, 1, 1)
+    calendar = spines.dim_date(spark, first or nowhere, last or nowhere)
     return calendar.join(per_day, "date_day")
 
 
@@ -1499,8 +1501,8 @@ tally_query(
         "current_player_count", F.col("current_player_count") * 2
     ),
     {
-        "peaks_out_of_order": """current_player_count * 2 > peak_player_count_current_day
-          OR peak_player_count_current_day > peak_player_count_record""",
+        "current_above_day_peak": "current_player_count * 2 > peak_player_count_current_day",
+        "day_peak_above_record": "peak_player_count_current_day > peak_player_count_record",
         "hours_out_of_range": "observed_hours_current_day NOT BETWEEN 1 AND 24",
     },
     "board",

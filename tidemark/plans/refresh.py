@@ -1,8 +1,8 @@
 """Bring the written facts up to date by rebuilding only the days that changed.
 
-A full build reads all history on every run. Here the cost follows the days from `since` on,
-plus the week before them: the dense fact of the day before `since` holds one row for every
-entity known by then, with its record so far.
+A full build reads all history on every run. Here the cost follows the days that are rebuilt,
+plus the week before them: the last dense day before them holds one row for every entity known by
+then, with its record so far. After an outage the rebuilt days begin where the dense fact ends.
 """
 
 from __future__ import annotations
@@ -25,7 +25,9 @@ def refresh(
     """Rebuild both facts under `root` from `since` on; it is the earliest day that new rows
     touch. `player_counts` has its `dt` partition column, so earlier days are not read.
 
-    The two facts must exist and reach at least the day before `since`.
+    Whole days without rows before `since` are filled in as well: the dense fact is rebuilt from
+    the day after its last one, however long ago that is. Raises if the dense fact is empty while
+    the hourly fact has days before `since`, as nothing says what was known by then.
     """
     fact_schema = spark.read.parquet(f"{root}/{FACT}").schema
     trend_schema = spark.read.parquet(f"{root}/{TRENDS}").schema
@@ -34,12 +36,15 @@ def refresh(
     write_days(fresh, f"{root}/{FACT}")
 
     fact = spark.read.schema(fact_schema).parquet(f"{root}/{FACT}")
-    changed = fact.filter(F.col("date_day") >= F.lit(since))
-    first_kept = F.lit(since - timedelta(days=days))
+    dense = spark.read.schema(trend_schema).parquet(f"{root}/{TRENDS}")
+    reached = dense.agg(F.max("date_day")).first()[0]
+    if reached is None and not fact.filter(F.col("date_day") < F.lit(since)).isEmpty():
+        raise ValueError(f"{TRENDS} is empty but {FACT} has days before {since}")
+    start = since if reached is None else min(since, reached + timedelta(days=1))
+    changed = fact.filter(F.col("date_day") >= F.lit(start))
+    first_kept = F.lit(start - timedelta(days=days))
     before = (
-        spark.read.schema(trend_schema)
-        .parquet(f"{root}/{TRENDS}")
-        .filter(F.col("date_day").between(first_kept, F.lit(since - timedelta(days=1))))
+        dense.filter(F.col("date_day").between(first_kept, F.lit(start - timedelta(days=1))))
         .select(
             "app_id",
             "date_day",
@@ -52,7 +57,7 @@ def refresh(
     )
     known = before.unionByName(daily_rollup(changed), allowMissingColumns=True)
     last_day = fact.agg(F.max("date_day"))
-    rebuilt = trends(fill_gaps(known, last_day), days).filter(F.col("date_day") >= F.lit(since))
+    rebuilt = trends(fill_gaps(known, last_day), days).filter(F.col("date_day") >= F.lit(start))
     # The days written are not among the days read, and a dynamic overwrite replaces files only
     # when the whole job has succeeded.
     write_days(rebuilt, f"{root}/{TRENDS}")

@@ -102,13 +102,15 @@ def write_documents(
     documents: DataFrame,
     root: str,
     kind: str,
-    interval: Sequence[str] = ("dt",),
+    interval: Sequence[str],
     parts: Sequence[str] = (),
 ) -> None:
     """Write one JSON document per row into the folder of its interval.
 
-    An interval that is written again is replaced, the others stay. Documents are spread over
-    tasks by interval and by `parts`, which divides an interval that has very many of them.
+    An interval that is written again is replaced, the others stay, so the caller names it: a
+    kind that lands hourly must have the hour among its columns, or one hour would replace the
+    rest of its day. Documents are spread over tasks by interval and by `parts`, which divides an
+    interval that has very many of them.
     The output committer publishes a task's files when the task succeeds, so a lost executor
     leaves nothing behind.
     """
