@@ -53,10 +53,12 @@ def prepare(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder under the cluster's shared checkpoint folder.
 
-    Executors write here and others read it back, so a machine-local folder is only
-    right where the setting is absent, which is the single-machine case.
+    Executors write here and others read it back, so a machine-local folder is only right on a
+    local master; elsewhere the setting must be there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
         root = tempfile.mkdtemp(prefix="tidemark-")
     return f"{root.rstrip('/')}/tidemark-{label}-{uuid.uuid4().hex}"
