@@ -5,14 +5,15 @@ from __future__ import annotations
 import random
 from datetime import timedelta
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tests.support import at, plan_of, rows
-from tidemark.operators import checks, reports
+from tidemark.operators import checks, registry, reports
 from tidemark.operators.daily import dense_daily, trends
 from tidemark.operators.observations import fact_native
-from tidemark.operators.ranking import dense_ranks, with_dense_ranks
+from tidemark.operators.ranking import dense_ranks, pieces, with_dense_ranks
 
 DIM = (
     "app_id bigint, app_name string, release_date date, genre_names array<string>, "
@@ -117,3 +118,30 @@ def test_profile_uses_only_full_days(spark):
     dim, fact, trended = world(spark, {1: start_at_noon + [5] * 24 + [100] * 3})
     got = reports.hour_of_day_profile(fact, trended)
     assert rows(got) == sorted(((h, 5.0) for h in range(24)), key=repr)
+
+
+def test_a_narrow_range_is_ranked_in_pieces(spark):
+    """A million values within a thousandth of their size: the plan cuts their slice."""
+    n = 1_000_000
+    df = spark.range(0, n, 1, 8).selectExpr("1000000000 + id as v")
+    got = dense_ranks(df, "v", "r")
+    wrong = got.filter(f"r <> 1000000000 + {n} - v").count()
+    assert (got.count(), wrong) == (n, 0)
+    sizes = pieces(df, "v").groupBy("slice", "piece").count()
+    assert sizes.agg({"count": "max"}).first()[0] < n / 5
+
+
+def test_an_unknown_status_stops_the_grid(spark):
+    hour = at("2026-09-10T13:00:00")
+    ledger = spark.createDataFrame(
+        [(hour, "odd", "r", 1, 1)],
+        "logical_hour timestamp, status string, run_id string, observed_count int, tracked_count int",
+    )
+    with pytest.raises(Exception, match="unknown status odd"):
+        reports.status_grid(ledger).collect()
+
+
+def test_an_empty_registry_raises(spark):
+    empty = spark.createDataFrame([], "app_id bigint, is_active boolean")
+    with pytest.raises(Exception):
+        registry.active_ids(empty)

@@ -7,6 +7,7 @@ import json
 import pytest
 
 from tests.support import at, rows
+from tidemark import schemas
 from tidemark.operators import audit, merge
 from tidemark.operators.ledger import normalize_runs
 from tidemark.sources import landing, sinks, tables
@@ -164,11 +165,17 @@ def test_killed_load_is_finished_by_running_it_again(spark, tmp_path):
         )
         return sinks.insert_player_counts(loaded, path, ["s3_key", "position"])
 
-    columns = ("run_id", "tracked_count", "observed_count", "unobservable_count", "loaded_count")
+    columns = ("run_id", "tracked_count", "observed_count", "unobservable_app_ids", "loaded_count")
     before = record("2026-09-10T13:01:00")
-    assert rows(before, *columns) == [("r1", 106, 105, 1, 0), ("r2", None, None, None, 0)]
+    assert before.schema.names == schemas.SNAPSHOT_RUNS.names
+    gone = rows(audit.unobservable_rows(bundles), "app_id")[0][0]
+    assert rows(before, *columns) == [("r1", 106, 105, [gone], 0), ("r2", None, None, None, 0)]
+    assert rows(before, "s3_key")[0] == rows(bundles, "s3_key")[0]
     assert [load(), load()] == [105, 0]
     after = record("2026-09-10T13:05:00")
-    held = merge.upsert(before, after, ["run_id"])
-    assert rows(held, *columns) == [("r1", 106, 105, 1, 105), ("r2", None, None, None, 0)]
+    created = spark.read.schema(schemas.SNAPSHOT_RUNS).parquet(
+        str(tmp_path / "tables" / "snapshot_runs")
+    )
+    held = merge.upsert(merge.upsert(created, before, ["run_id"]), after, ["run_id"])
+    assert rows(held, *columns) == [("r1", 106, 105, [gone], 105), ("r2", None, None, None, 0)]
     assert rows(normalize_runs(held), "run_id", "failed_count") == [("r1", 0), ("r2", None)]

@@ -59,13 +59,22 @@ def bundle(rows: DataFrame, tracked: DataFrame, max_rows: int = 50_000) -> DataF
     )
 
 
+def document_key(bundles: DataFrame) -> Column:
+    """Where a document is, as far as the frame knows it."""
+    return F.col("s3_key") if "s3_key" in bundles.columns else player_counts_key(
+        F.col("logical_date")
+    )
+
+
 def bundle_rows(bundles: DataFrame) -> DataFrame:
     """The observed rows of bundles, as rows of the hourly raw table plus their position.
 
-    A row without a count stops the load: it must never pass as zero or vanish.
+    Bundles that were read from the landing zone hand on the path of their document; bundles that
+    have not landed get the key of their interval. A row without a count stops the load: it must
+    never pass as zero or vanish.
     """
     observed = bundles.select(
-        player_counts_key(F.col("logical_date")).alias("s3_key"),
+        document_key(bundles).alias("s3_key"),
         F.posexplode("observed").alias("position", "row"),
     )
     count = F.coalesce(
@@ -99,9 +108,10 @@ def document_summary(bundles: DataFrame) -> DataFrame:
     return bundles.groupBy("logical_date").agg(
         F.max("tracked_count").alias("tracked_count"),
         F.sum(F.size("observed")).cast("int").alias("observed_count"),
-        F.when(F.count("unobservable") > 0, F.flatten(F.collect_list(ids))).alias(
+        F.when(F.count("unobservable") > 0, F.array_sort(F.flatten(F.collect_list(ids)))).alias(
             "unobservable_app_ids"
         ),
+        F.min(document_key(bundles)).alias("s3_key"),
     )
 
 
@@ -131,21 +141,27 @@ def run_measures(bundles: DataFrame) -> DataFrame:
 def audit_snapshot_runs(
     runs: DataFrame, bundles: DataFrame, player_counts: DataFrame, as_of: datetime
 ) -> DataFrame:
-    """One record per run in `runs` (run_id, logical_hour), whatever became of the run.
+    """One row of `schemas.SNAPSHOT_RUNS` per run in `runs` (run_id, logical_hour), whatever
+    became of the run.
 
     `loaded_count` is counted from the table at the run's exact time, not taken from the load.
-    A run without a document keeps its identity and that count, and NULL for the rest.
-    Who was unobservable stays in rows (`unobservable_rows`); the record holds their number.
+    A run without a document keeps its identity and that count, and NULL for the rest. Who was
+    unobservable is a list in the table's row, NULL where the documents do not say and empty where
+    there was nobody; `unobservable_rows` has the same ids as rows. The key is that of the run's
+    document, the first by name if there are several.
     """
     loaded = (
         player_counts.join(runs.select("logical_hour").distinct(), "logical_hour", "left_semi")
         .groupBy("logical_hour")
         .agg(F.count(F.lit(1)).cast("int").alias("loaded_count"))
     )
-    measured = run_measures(bundles).withColumnRenamed("logical_date", "logical_hour")
-    found = F.col("observed_count").isNotNull()
+    measured = run_measures(bundles).select(
+        F.col("logical_date").alias("logical_hour"), "latency_p50_ms", "latency_max_ms"
+    )
+    said = document_summary(bundles).withColumnRenamed("logical_date", "logical_hour")
     return (
         runs.select("run_id", "logical_hour")
+        .join(said, "logical_hour", "left")
         .join(measured, "logical_hour", "left")
         .join(loaded, "logical_hour", "left")
         .select(
@@ -153,11 +169,11 @@ def audit_snapshot_runs(
             "logical_hour",
             "tracked_count",
             "observed_count",
-            "unobservable_count",
+            "unobservable_app_ids",
             F.coalesce("loaded_count", F.lit(0)).alias("loaded_count"),
             "latency_p50_ms",
             "latency_max_ms",
-            F.when(found, player_counts_key(F.col("logical_hour"))).alias("s3_key"),
+            "s3_key",
             F.lit(as_of).cast("timestamp").alias("recorded_at"),
         )
     )

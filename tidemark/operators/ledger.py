@@ -19,11 +19,9 @@ def normalize_runs(runs: DataFrame) -> DataFrame:
     """Truncate the hour and derive what the record does not store.
 
     A run that recorded nothing about who was missing has a NULL list, and both derived counts
-    are then NULL. Records written by `audit_snapshot_runs` hold the count in place of the list.
+    are then NULL.
     """
-    if "unobservable_app_ids" in runs.columns:
-        runs = runs.withColumn("unobservable_count", _length("unobservable_app_ids"))
-    return runs.withColumns(
+    return runs.withColumn("unobservable_count", _length("unobservable_app_ids")).withColumns(
         {
             "logical_hour": F.date_trunc("hour", "logical_hour"),
             "failed_count": F.col("tracked_count")

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 # of slices is bounded by the width of the value type, never by the rows.
 SLICES_PER_DOUBLING = 64
 
+# A slice with more distinct values than this is cut into pieces of equal width.
+PIECE_ROWS = 100_000
+
 
 def _slice(value: Column) -> Column:
     """An order-preserving slice number: equal values share one, larger ones never sink.
@@ -28,27 +31,45 @@ def _slice(value: Column) -> Column:
     )
 
 
+def pieces(df: DataFrame, value: str) -> DataFrame:
+    """Every distinct non-null value with its slice and the piece of that slice, both in order."""
+    values = df.select(value).filter(F.col(value).isNotNull()).distinct()
+    sliced = values.withColumn("slice", _slice(F.col(value)))
+    size = F.col(value).cast("double")
+    spans = sliced.groupBy("slice").agg(
+        F.min(size).alias("least"),
+        F.max(size).alias("most"),
+        F.ceil(F.count(F.lit(1)) / PIECE_ROWS).alias("cuts"),
+    )
+    share = (size - F.col("least")) / (F.col("most") - F.col("least"))
+    wide = (F.col("cuts") > 1) & (F.col("most") > F.col("least"))
+    piece = F.when(wide, F.floor(share * F.col("cuts"))).otherwise(0)
+    return sliced.join(spans, "slice").select(value, "slice", piece.alias("piece"))
+
+
 def dense_ranks(df: DataFrame, value: str, name: str) -> DataFrame:
     """(value, rank) for every distinct non-null value, 1 for the largest, no holes.
 
     A window ordered over the whole table would sort it in one task. Here equal values are
-    folded first, each slice of the value range is ranked by itself, and the number of values
-    in the slices above is added. Slices depend on the value alone, so the plan is the same
-    on every attempt and nothing is sampled.
+    folded first, each piece of the value range is ranked by itself, and the number of values
+    in the pieces above is added. A slice of the range that holds many values is cut further,
+    between its least and its largest value. Pieces depend on the values alone, so the plan is
+    the same on every attempt and nothing is sampled.
     """
-    values = df.select(value).filter(F.col(value).isNotNull()).distinct()
-    sliced = values.withColumn("slice", _slice(F.col(value)))
-    within = Window.partitionBy("slice").orderBy(F.col(value).desc())
-    # One row per slice, a few thousand at most, so one task may order them.
-    above = Window.orderBy(F.col("slice").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    cut = pieces(df, value)
+    within = Window.partitionBy("slice", "piece").orderBy(F.col(value).desc())
+    # One row per piece, so one task may order them.
+    above = Window.orderBy(F.col("slice").desc(), F.col("piece").desc()).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
     offsets = (
-        sliced.groupBy("slice")
+        cut.groupBy("slice", "piece")
         .agg(F.count(F.lit(1)).alias("n"))
-        .select("slice", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("offset"))
+        .select("slice", "piece", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("offset"))
     )
     return (
-        sliced.withColumn("place", F.row_number().over(within))
-        .join(offsets, "slice")
+        cut.withColumn("place", F.row_number().over(within))
+        .join(offsets, ["slice", "piece"])
         .select(value, (F.col("place") + F.col("offset")).cast("int").alias(name))
     )
 

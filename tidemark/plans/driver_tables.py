@@ -6,9 +6,9 @@ parts carry the storefront documents, orders rank the chart. Every frame covers
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.daily import dense_daily, trends
@@ -141,9 +141,26 @@ def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_metadata(unwrap_details(details_raw(spark, sf_dir)).filter("success"))
 
 
-def click_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clicks = table(spark, sf_dir, "events").filter("event_type = 'click'")
-    return normalize_observations(to_observations(clicks), carry=())
+# Two sides of an hour: these events are what a run says of itself, all others what it observed.
+RUN_EVENTS = ("purchase", "error")
+
+
+def side_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seen = table(spark, sf_dir, "events").filter(~F.col("event_type").isin(*RUN_EVENTS))
+    return normalize_observations(to_observations(seen), carry=())
+
+
+def event_days(spark: SparkSession, sf_dir: str) -> tuple[date, date]:
+    """The first and the last day of the events."""
+    day = F.to_date("ts")
+    first, last = table(spark, sf_dir, "events").agg(F.min(day), F.max(day)).first()
+    return first or AS_OF.date(), last or AS_OF.date()
+
+
+def day_after(spark: SparkSession, sf_dir: str) -> Column:
+    """A day after the last event: the time at which the ledger is read."""
+    last = table(spark, sf_dir, "events").agg(F.max("ts") + F.expr("interval 24 hours"))
+    return last.scalar()
 
 
 def runs_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,7 +172,7 @@ def runs_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
     per_hour = (
         table(spark, sf_dir, "events")
-        .filter(kind.isin("purchase", "error"))
+        .filter(kind.isin(*RUN_EVENTS))
         .groupBy(F.date_trunc("hour", "ts").alias("hour"))
         .agg(
             F.count_if(kind == "purchase").cast("int").alias("bought"),
@@ -185,7 +202,8 @@ def runs_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = normalize_runs(runs_raw(spark, sf_dir))
-    return hour_ledger(runs, click_observations(spark, sf_dir), AS_OF)
+    observed = side_observations(spark, sf_dir)
+    return hour_ledger(runs, observed, day_after(spark, sf_dir))
 
 
 def day_evidence(daily_fact: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -82,34 +82,30 @@ staged("obs", "events")
 dense("obs")
 staged("kind", "events", entity="event_type")
 dense("kind")
-staged("click", "events", where="event_type = 'click'")
+staged("side", "events", where="event_type NOT IN ('purchase', 'error')")
 
-part(
-    "windowed",
-    ("obs_dense",),
-    """
+def trended(source: str, prefix: str = "") -> None:
+    """Part `<prefix>trend` over `<source>_dense`, and what it needs."""
+    part(f"{prefix}windowed", (f"{source}_dense",), WINDOWED.format(dense=f"{source}_dense"))
+    part(f"{prefix}anchored", (f"{prefix}windowed",), ANCHORED.format(rows=f"{prefix}windowed"))
+    part(f"{prefix}trend", (f"{prefix}anchored",), TREND.format(rows=f"{prefix}anchored"))
+
+
+WINDOWED = """
     SELECT *,
       lag(tenths) OVER w AS prev,
       sum(tenths) OVER week AS s7,
       count(tenths) OVER week AS n7,
       max(peak) OVER so_far AS record
-    FROM obs_dense
+    FROM {dense}
     WINDOW w AS (PARTITION BY app_id ORDER BY date_day),
       week AS (PARTITION BY app_id ORDER BY date_day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW),
-      so_far AS (PARTITION BY app_id ORDER BY date_day ROWS UNBOUNDED PRECEDING)""",
-)
-part(
-    "anchored",
-    ("windowed",),
-    """
+      so_far AS (PARTITION BY app_id ORDER BY date_day ROWS UNBOUNDED PRECEDING)"""
+ANCHORED = """
     SELECT *, max(date_day) FILTER (WHERE coalesce(peak = record, false)) OVER (
       PARTITION BY app_id ORDER BY date_day ROWS UNBOUNDED PRECEDING) AS last_record_day
-    FROM windowed""",
-)
-part(
-    "trend",
-    ("anchored",),
-    """
+    FROM {rows}"""
+TREND = """
     SELECT app_id, date_day,
       CAST(tenths AS DOUBLE) / 10 AS avg_player_count,
       peak AS peak_player_count,
@@ -124,8 +120,20 @@ part(
       record AS peak_player_count_record,
       CAST(date_day - last_record_day AS BIGINT) AS days_since_peak,
       last_record_day
-    FROM anchored""",
-)
+    FROM {rows}"""
+trended("obs")
+
+# The events with an outage after the middle of their days: what comes later is some days later.
+OUTAGES = (3, 40)
+for gap in OUTAGES:
+    staged(
+        f"gap{gap}",
+        f"""(SELECT * REPLACE (CASE WHEN CAST(ts AS DATE) >= back THEN ts + INTERVAL {gap} DAY
+          ELSE ts END AS ts) FROM events, (SELECT CAST(min(ts) AS DATE)
+          + CAST((CAST(max(ts) AS DATE) - CAST(min(ts) AS DATE)) // 2 AS INTEGER) AS back FROM events))""",
+    )
+    dense(f"gap{gap}")
+    trended(f"gap{gap}", f"gap{gap}_")
 part(
     "latest",
     ("obs_fact",),
@@ -224,7 +232,7 @@ part(
 )
 part(
     "judged",
-    ("runs", "click_staged"),
+    ("runs", "side_staged"),
     """
     SELECT s.logical_hour, c.snapshot_rows, c.snapshot_rows IS NOT NULL AS has_observations,
       d.run_id, d.recorded_at, d.tracked_count, d.observed_count, d.unobservable_count,
@@ -236,9 +244,10 @@ part(
         WHEN d.tracked_count - d.observed_count - d.unobservable_count = 0
           AND d.loaded_count = d.observed_count AND d.observed_count > 0 THEN 'complete'
         ELSE 'ran_short' END AS status
-    FROM (SELECT unnest(generate_series((SELECT min(logical_hour) FROM click_staged),
-            TIMESTAMP '2024-01-30 23:00:00', INTERVAL 1 HOUR)) AS logical_hour) s
-    LEFT JOIN (SELECT logical_hour, count(*) AS snapshot_rows FROM click_staged GROUP BY 1) c
+    FROM (SELECT unnest(generate_series((SELECT min(logical_hour) FROM side_staged),
+            (SELECT date_trunc('hour', max(ts)) + INTERVAL 24 HOUR FROM events),
+            INTERVAL 1 HOUR)) AS logical_hour) s
+    LEFT JOIN (SELECT logical_hour, count(*) AS snapshot_rows FROM side_staged GROUP BY 1) c
       ON c.logical_hour = s.logical_hour
     LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (
             PARTITION BY logical_hour ORDER BY recorded_at DESC) AS rn FROM runs)
@@ -285,8 +294,7 @@ part(
     (),
     """
     SELECT o_custkey AS app_id
-    FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1998-01-01'
-    GROUP BY o_custkey ORDER BY sum(CAST(round(o_totalprice * 100) AS BIGINT)) DESC, o_custkey
+    FROM orders GROUP BY o_custkey ORDER BY sum(CAST(round(o_totalprice * 100) AS BIGINT)) DESC, o_custkey
     LIMIT 100""",
 )
 part("seed", (), "SELECT unnest([-2, -1, 0, 5, 9, 10, 18, 20, 50, 80, 90, 100, 110]) AS app_id")
@@ -312,8 +320,8 @@ part(
     (),
     """
     SELECT c_custkey AS app_id, c_name AS name, 'chart' AS source,
-      c_mktsegment <> 'BUILDING' AS is_active
-    FROM customer WHERE c_acctbal >= 0""",
+      c_mktsegment <> 'BUILDING' AND c_acctbal >= 0 AS is_active
+    FROM customer""",
 )
 part(
     "part_chart",

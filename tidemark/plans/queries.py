@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from datetime import date, datetime
+from dataclasses import replace
+from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ from tidemark.functions.documents import text_at, value_at
 from tidemark.functions.text import grouped, signed_percent
 from tidemark.operators import audit, checks, ledger, merge, registry, reports
 from tidemark.operators.daily import daily_rollup, dense_daily, trends
-from tidemark.operators.metadata import unwrap_details
+from tidemark.operators.metadata import extract_metadata, unwrap_details
 from tidemark.operators.observations import (
     classify_responses,
     fact_native,
@@ -25,10 +27,11 @@ from tidemark.operators.observations import (
 from tidemark.operators.ranking import top_k, with_dense_ranks
 from tidemark.plans import driver_tables as given
 from tidemark.plans import model
-from tidemark.plans.oracle import compose
+from tidemark.plans.oracle import OUTAGES, compose
+from tidemark.plans.refresh import FACT, TRENDS, refresh
 from tidemark.session import prepare, scratch_dir
 from tidemark.sources import landing, spines, tables
-from tidemark.sources.sinks import insert_player_counts, settled, write_version
+from tidemark.sources.sinks import insert_player_counts, settled, write_days, write_version
 from tidemark.streaming import observations as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -155,6 +158,39 @@ def trends_full(spark, sf):
     return given.trend(spark, sf)
 
 
+@query(
+    "refresh_after_outage",
+    compose(
+        " UNION ALL ".join(
+            f"SELECT {gap} AS gap, {TREND_COLUMNS} FROM gap{gap}_trend" for gap in OUTAGES
+        ),
+        *[f"gap{gap}_trend" for gap in OUTAGES],
+    ),
+    gaps=["peak_player_count"],
+)
+def refresh_after_outage(spark, sf):
+    """Facts written up to the middle day, then an outage of whole days, then a refresh. What was
+    observed after the middle is moved behind the outage."""
+    first, last = given.event_days(spark, sf)
+    back = first + (last - first) // 2
+    refreshed = []
+    for gap in OUTAGES:
+        hour, root = F.col("logical_hour"), scratch_dir(spark, f"outage-{gap}")
+        later = hour + F.expr(f"interval {gap} days")
+        landed = given.observations(spark, sf).withColumn(
+            "logical_hour", F.when(F.to_date(hour) >= F.lit(back), later).otherwise(hour)
+        ).withColumn("dt", F.to_date("logical_hour"))
+        early = landed.filter(F.col("dt") < F.lit(back))
+        fact = fact_native(normalize_observations(early, carry=()))
+        trend = trends(dense_daily(fact))
+        write_days(fact, f"{root}/{FACT}")
+        write_days(trend, f"{root}/{TRENDS}")
+        refresh(spark, landed, root, back + timedelta(days=gap))
+        held = spark.read.schema(trend.schema).parquet(f"{root}/{TRENDS}")
+        refreshed.append(held.select(F.lit(gap).alias("gap"), *trend.columns))
+    return reduce(DataFrame.unionAll, refreshed)
+
+
 @query(
     "trend_lag_change",
     compose(
@@ -875,13 +911,11 @@ def app_list(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def chart(spark: SparkSession, sf: str) -> DataFrame:
-    """The hundred best customers of a year."""
-    year = given.table(spark, sf, "orders").filter(
-        (F.col("o_orderdate") >= F.lit(datetime(1997, 1, 1)))
-        & (F.col("o_orderdate") < F.lit(datetime(1998, 1, 1)))
-    )
-    totals = year.groupBy(F.col("o_custkey").alias("app_id")).agg(
-        F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("total")
+    """The hundred best customers."""
+    totals = (
+        given.table(spark, sf, "orders")
+        .groupBy(F.col("o_custkey").alias("app_id"))
+        .agg(F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("total"))
     )
     return top_k(totals, 100, F.desc("total"), F.asc("app_id")).select("app_id")
 
@@ -921,13 +955,13 @@ def admit_refused(spark, sf):
 
 
 def known(spark: SparkSession, sf: str) -> DataFrame:
-    """Customers without debts as the registry so far, one segment of them inactive."""
-    return given.table(spark, sf, "customer").filter("c_acctbal >= 0").select(
+    """Customers as the registry so far; those with debts and one segment are inactive."""
+    return given.table(spark, sf, "customer").select(
         F.col("c_custkey").alias("app_id"),
         F.col("c_name").alias("name"),
         F.lit("chart").alias("source"),
         F.lit(datetime(2024, 1, 1)).cast("timestamp").alias("tracked_from"),
-        (F.col("c_mktsegment") != "BUILDING").alias("is_active"),
+        F.expr("c_mktsegment <> 'BUILDING' AND c_acctbal >= 0").alias("is_active"),
     )
 
 
@@ -1060,19 +1094,23 @@ def metadata_step_registry(spark, sf):
     ),
 )
 def catalog_audit(spark, sf):
+    return catalog_record(spark, sf).select(
+        "run_id", "logical_date", "app_list_count", "chart_count", "newly_tracked_count",
+        "metadata_upserted_count", "no_metadata_app_ids", "deactivated_count",
+    )
+
+
+def catalog_record(spark: SparkSession, sf: str) -> DataFrame:
+    """The audit record of one catalog run over the given tables."""
     run = spark.range(1).select(
         F.lit("scheduled-1").alias("run_id"),
         F.lit(given.AS_OF).cast("timestamp").alias("logical_date"),
         landing.app_list_key(F.lit(given.AS_OF)).alias("app_list_key"),
         landing.most_played_key(F.lit(given.AS_OF)).alias("most_played_key"),
     )
-    record = audit.audit_catalog_run(
+    return audit.audit_catalog_run(
         run, stepped(spark, sf).audit, described(spark, sf).audit, given.AS_OF
     )
-    return record.select(
-        "run_id", "logical_date", "app_list_count", "chart_count", "newly_tracked_count",
-        "metadata_upserted_count", "no_metadata_app_ids", "deactivated_count",
-    )
 
 
 # ---- key-aware loads, on orders ----
@@ -1242,15 +1280,16 @@ def latency_stats(spark, sf):
     FROM events GROUP BY 1""",
 )
 def document_summary(spark, sf):
-    return audit.document_summary(hourly_bundles(spark, sf))
+    """What documents say together; a run is spread over several."""
+    return audit.document_summary(hourly_bundles(spark, sf, max_rows=5)).drop("s3_key")
 
 
 @query(
     "bundle_roundtrip",
     """SELECT event_id AS app_id, CAST(round(value * 100) AS BIGINT) AS player_count,
       CAST(date_trunc('hour', ts) AS VARCHAR) AS logical_hour, event_id * 37 % 900000 AS latency_ms,
-      'raw/player-counts/dt=' || strftime(ts, '%Y-%m-%d') || '/' || strftime(ts, '%H')
-        || '-snapshot.json' AS s3_key
+      'raw/player-counts/dt=' || strftime(ts, '%Y-%m-%d') || '/hour=' || extract(hour FROM ts)
+        AS folder
     FROM events WHERE event_type <> 'error'""",
 )
 def bundle_roundtrip(spark, sf):
@@ -1258,7 +1297,8 @@ def bundle_roundtrip(spark, sf):
     root = scratch_dir(spark, "roundtrip")
     land(hourly_bundles(spark, sf), root)
     rows = audit.bundle_rows(landing.read_bundles(spark, root))
-    return rows.select("app_id", "player_count", "logical_hour", "latency_ms", "s3_key")
+    folder = F.regexp_extract("s3_key", "^(.*)/part-[^/]*[.]json$", 1).alias("folder")
+    return rows.select("app_id", "player_count", "logical_hour", "latency_ms", folder)
 
 
 def quarter_bundles(spark: SparkSession, sf: str, observed_at: str) -> DataFrame:
@@ -1306,16 +1346,17 @@ def rebuild_from_landing(spark, sf):
     """SELECT 'run-' || strftime(h, '%Y%m%d%H') AS run_id, CAST(h AS VARCHAR) AS logical_hour,
       CASE WHEN landed THEN tracked END AS tracked_count,
       CASE WHEN landed THEN seen END AS observed_count,
-      CASE WHEN landed THEN refused END AS unobservable_count,
+      CASE WHEN landed THEN coalesce(refused, '') END AS unobservable_app_ids,
       CASE WHEN landed AND extract(hour FROM h) < 18 THEN seen ELSE 0 END AS loaded_count,
       CASE WHEN landed THEN 'raw/player-counts/dt=' || strftime(h, '%Y-%m-%d') || '/'
         || strftime(h, '%H') || '-snapshot.json' END AS s3_key
     FROM (
       SELECT date_trunc('hour', ts) AS h, extract(hour FROM date_trunc('hour', ts)) <> 7 AS landed,
         count(*) + 2 AS tracked, count(*) FILTER (WHERE event_type <> 'error') AS seen,
-        count(*) FILTER (WHERE event_type = 'error') AS refused
+        string_agg(CAST(event_id AS VARCHAR), '|' ORDER BY event_id)
+          FILTER (WHERE event_type = 'error') AS refused
       FROM events GROUP BY 1, 2)""",
-    gaps=["tracked_count", "observed_count", "unobservable_count"],
+    gaps=["tracked_count", "observed_count"],
 )
 def snapshot_audit(spark, sf):
     """Every hour has a run; hour 7 never landed, and the evenings were never loaded."""
@@ -1332,6 +1373,124 @@ def snapshot_audit(spark, sf):
     )
 
 
+@query(
+    "hourly_run_end_to_end",
+    """SELECT CAST(h AS VARCHAR) AS logical_hour,
+      CASE WHEN seen > 0 AND n IS NULL THEN 'unaudited' WHEN n IS NULL THEN 'unrecorded'
+        WHEN extract(hour FROM h) % 3 > 0 AND seen > 0 THEN 'complete' ELSE 'ran_short' END
+        AS status,
+      n + CASE WHEN extract(hour FROM h) % 3 = 0 THEN 2 ELSE 0 END AS tracked_count,
+      seen AS observed_count, n - seen AS unobservable_count,
+      seen AS loaded_count, nullif(seen, 0) AS snapshot_rows
+    FROM (SELECT unnest(generate_series(
+        (SELECT date_trunc('hour', min(ts)) FROM events WHERE event_type <> 'error'),
+        (SELECT date_trunc('hour', max(ts)) + INTERVAL 24 HOUR FROM events),
+        INTERVAL 1 HOUR)) AS h)
+    LEFT JOIN (SELECT date_trunc('hour', ts) AS h, count(*) AS n,
+        count(*) FILTER (WHERE event_type <> 'error') AS seen FROM events GROUP BY 1) USING (h)""",
+    gaps=["tracked_count", "observed_count", "unobservable_count", "loaded_count", "snapshot_rows"],
+)
+def hourly_run_end_to_end(spark, sf):
+    """Answers landed, loaded into the created tables and audited, all of it twice, and the ledger
+    on those tables. Every third hour of the day two entities gave no answer at all."""
+    root = scratch_dir(spark, "hourly")
+    answers = hourly_answers(spark, sf)
+    silent = F.when(F.hour("logical_date") % 3 == 0, 2).otherwise(0)
+    tracked = answers.groupBy("logical_date").agg(F.count(F.lit(1)).alias("n")).select(
+        "logical_date", (F.col("n") + silent).alias("tracked_count")
+    )
+    land(audit.bundle(answers, tracked), root)
+    tables.create_raw_tables(spark, f"{root}/tables")
+    counts, runs_path = f"{root}/tables/player_counts", f"{root}/tables/snapshot_runs"
+    runs = tracked.select(
+        F.date_format("logical_date", "yyyyMMddHH").alias("run_id"),
+        F.col("logical_date").alias("logical_hour"),
+    )
+    for attempt in ("first", "second"):
+        bundles = landing.read_bundles(spark, root)
+        rows = audit.bundle_rows(bundles).withColumn(
+            "loaded_at", F.lit(given.AS_OF).cast("timestamp")
+        )
+        insert_player_counts(rows, counts, ["s3_key", "position"])
+        held = tables.read_player_counts(spark, counts)
+        record = audit.audit_snapshot_runs(runs, bundles, held, given.AS_OF)
+        table = spark.read.schema(schemas.SNAPSHOT_RUNS).parquet(runs_path)
+        state = merge.upsert(table, record, ["run_id"])
+        runs_path = write_version(state, f"{root}/runs", attempt)
+    recorded = ledger.normalize_runs(spark.read.schema(schemas.SNAPSHOT_RUNS).parquet(runs_path))
+    observed = normalize_observations(held, carry=())
+    return ledger.hour_ledger(recorded, observed, given.day_after(spark, sf)).select(
+        "logical_hour", "status", "tracked_count", "observed_count", "unobservable_count",
+        "loaded_count", "snapshot_rows",
+    )
+
+
+@query(
+    "admit_from_landing",
+    compose("SELECT app_id, name, source FROM admitted", "admitted"),
+)
+def admit_from_landing(spark, sf):
+    """The app list landed in pages and the chart as one document, read back and judged."""
+    root, day = scratch_dir(spark, "catalog"), F.lit(given.AS_OF.date()).alias("dt")
+    stamped = [F.lit(given.AS_OF).cast("timestamp").alias(c) for c in ("logical_date", "fetched_at")]
+    listed = app_list(spark, sf).withColumn("page", (F.col("app_id") / 500).cast("int"))
+    entry = F.struct("position", F.col("app_id").alias("appid"), "name")
+    pages = listed.groupBy("page").agg(F.array_sort(F.collect_list(entry)).alias("apps"))
+    landing.write_documents(
+        pages.select(day, "page", *stamped, "apps"), root, landing.APP_LIST, ["dt"], ["page"]
+    )
+    places = chart(spark, sf).agg(
+        F.collect_list(F.struct(F.col("app_id").alias("appid"))).alias("most_played")
+    )
+    landing.write_documents(places.select(day, *stamped, "*"), root, landing.MOST_PLAYED, ["dt"])
+    names, charted = landing.read_app_list(spark, root), landing.read_chart(spark, root)
+    return registry.admit(seed(spark), charted, names).admitted
+
+
+@query(
+    "details_from_landing",
+    compose(
+        """SELECT app_id, steam_appid, app_name, app_type, genre_names IS NULL AS no_genres
+        FROM meta""",
+        "meta",
+    ),
+)
+def details_from_landing(spark, sf):
+    """Storefront answers landed one document each, read back and opened."""
+    root = scratch_dir(spark, "details")
+    documents = given.details_raw(spark, sf).select(
+        F.lit(given.AS_OF.date()).alias("dt"),
+        "app_id",
+        F.lit(given.AS_OF).cast("timestamp").alias("logical_date"),
+        "envelope",
+    )
+    landing.write_documents(documents, root, landing.APP_DETAILS, ["dt"], ["app_id"])
+    opened = unwrap_details(landing.read_details(spark, root)).filter("success")
+    return extract_metadata(opened).select(
+        "app_id", "steam_appid", "app_name", "app_type",
+        F.col("genre_names").isNull().alias("no_genres"),
+    )
+
+
+@query(
+    "model_views",
+    compose(
+        """SELECT CAST(date_day AS VARCHAR) AS date_day, count(*) AS n,
+          count(DISTINCT app_id) AS entities
+        FROM obs_fact JOIN registry USING (app_id) GROUP BY 1""",
+        "obs_fact",
+        "registry",
+    ),
+)
+def model_views(spark, sf):
+    """The model as views under their names, asked by plain SQL."""
+    model.build(spark, given.raw_tables(spark, sf), given.AS_OF).register()
+    return spark.sql(
+        """SELECT date_day, count(*) AS n, count(DISTINCT app_id) AS entities
+        FROM fct_player_counts JOIN dim_game USING (app_id) GROUP BY date_day"""
+    )
+
+
 @query(
     "metadata_versions",
     """SELECT p_partkey AS app_id,
@@ -1602,12 +1761,10 @@ def checks_ranks(spark, sf):
 @query(
     "checks_freshness",
     """SELECT CAST(max(date_trunc('second', ts)) AS VARCHAR) AS newest FROM events
-    WHERE event_type = 'click'
     HAVING max(ts) < TIMESTAMP '2024-02-02 00:00:00' - INTERVAL 26 HOUR""",
 )
 def checks_freshness(spark, sf):
-    clicks = given.table(spark, sf, "events").filter("event_type = 'click'")
-    return checks.stale(clicks, "ts", datetime(2024, 2, 2), 26)
+    return checks.stale(given.table(spark, sf, "events"), "ts", datetime(2024, 2, 2), 26)
 
 
 CHECK_NAMES = """dim_game.app_id.unique dim_game.app_id.not_null dim_date.date_day.unique
@@ -1653,17 +1810,55 @@ CHECK_NAMES = """dim_game.app_id.unique dim_game.app_id.not_null dim_date.date_d
             WHEN 'fct_snapshot_hours.dense' THEN
               (SELECT CAST(count(*) = 0 AS BIGINT) FROM runs
                WHERE attempt = 1 AND failed = 0 AND bought > 0)
+            WHEN 'stg_snapshot_runs.run_id.unique' THEN
+              (SELECT count(*) FROM (SELECT run_id FROM runs GROUP BY 1 HAVING count(*) > 1))
+            WHEN 'game_leaderboard.app_id.known' THEN
+              (SELECT count(*) FROM board WHERE app_id NOT IN (SELECT app_id FROM registry))
+            WHEN 'game_leaderboard.app_id.unique' THEN
+              (SELECT count(*) FROM (SELECT app_id FROM board GROUP BY 1 HAVING count(*) > 1))
+            WHEN 'fct_player_counts.grain' THEN
+              (SELECT count(*) FROM (SELECT 1 FROM obs_staged GROUP BY app_id, logical_hour
+                HAVING count(*) > 1))
+            WHEN 'fct_player_counts_daily.grain' THEN
+              (SELECT count(*) FROM (SELECT 1 FROM obs_dense GROUP BY app_id, date_day
+                HAVING count(*) > 1))
+            WHEN 'fct_player_trends_daily.grain' THEN
+              (SELECT count(*) FROM (SELECT 1 FROM trend GROUP BY app_id, date_day
+                HAVING count(*) > 1))
+            WHEN 'fct_player_counts.non_negative' THEN
+              (SELECT count(*) FROM obs_staged WHERE player_count < 0)
+            WHEN 'fct_player_counts_daily.contract' THEN
+              (SELECT count(*) FROM obs_dense WHERE n NOT BETWEEN 0 AND 24
+                OR (tenths IS NULL) <> (n = 0) OR (peak IS NULL) <> (n = 0) OR 10 * peak < tenths)
+            WHEN 'fct_player_trends_daily.contract' THEN
+              (SELECT count(*) FROM trend WHERE observed_days_7d NOT BETWEEN 0 AND 7
+                OR (avg_player_count_7d IS NULL) <> (observed_days_7d = 0)
+                OR peak_player_count > peak_player_count_record OR last_record_day > date_day
+                OR days_since_peak < 0)
+            WHEN 'game_leaderboard.contract' THEN
+              (SELECT count(*) FROM board WHERE current_player_count > peak_player_count_current_day
+                OR peak_player_count_current_day > peak_player_count_record
+                OR observed_hours_current_day NOT BETWEEN 1 AND 24)
+            WHEN 'stg_app_metadata.steam_appid.not_null' THEN
+              (SELECT count(*) FROM meta WHERE steam_appid IS NULL)
+            WHEN 'stg_app_metadata.price_currency.accepted' THEN
+              (SELECT count(*) FROM meta WHERE price_currency <> 'USD')
+            WHEN 'game_leaderboard.ranks' THEN
+              (SELECT CAST(max(current_rank) <> count(DISTINCT current_rank) AS BIGINT)
+                + CAST(max(rank_7d) <> count(DISTINCT rank_7d) AS BIGINT) FROM board)
             ELSE 0 END AS violations
         FROM (SELECT unnest({CHECK_NAMES!r}) AS name)""",
         "meta",
         "registry",
         "obs_dense",
         "runs",
+        "trend",
+        "board",
     ),
 )
 def model_checks_query(spark, sf):
     """The whole model built from the given tables, written, and every check on it."""
-    raw = given.raw_tables(spark, sf)
-    calendar = (date(2023, 1, 1), date(2025, 12, 31))
+    calendar = given.event_days(spark, sf)
+    raw = replace(given.raw_tables(spark, sf), catalog_runs=settled(catalog_record(spark, sf), "catalog"))
     built = model.build(spark, raw, given.AS_OF, scratch_dir(spark, "model"), calendar)
     return checks.summarize(model.model_checks(built, raw, given.AS_OF))

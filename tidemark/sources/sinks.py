@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,25 +16,26 @@ def insert_player_counts(
     rows: DataFrame,
     path: str,
     order: Sequence[str] = ("s3_key",),
-    days: tuple[date, date] | None = None,
+    days: Collection[date] | None = None,
 ) -> int:
     """Append the rows whose (app_id, logical_hour) the table lacks; returns how many.
 
-    Only the days between the first and the last incoming one are read back; `days` names them
-    where the caller knows them, or else the rows are scanned for them. A load that died
+    Only the days of incoming rows are read back; `days` names them where the caller knows them,
+    or else the rows are scanned for them (a value per calendar day, not per row). A load that died
     half-way is finished by running it again: whatever it had published is found and skipped.
     The number is counted in the table before and after, which reads file footers only. One
     writer at a time.
     """
     spark = rows.sparkSession
     rows = rows.withColumn("dt", F.to_date("logical_hour"))
-    first, last = days or rows.agg(F.min("dt"), F.max("dt")).first()
-    if first is None:
+    if days is None:
+        days = [row["dt"] for row in rows.select("dt").dropna().distinct().collect()]
+    if not days:
         return 0
 
     def held() -> DataFrame:
         table = read_player_counts(spark, path)
-        return table.filter(F.col("dt").between(first, last))
+        return table.filter(F.col("dt").isin(*days))
 
     before = held()
     fresh = absent_rows(rows, before, ["app_id", "logical_hour"], order)

@@ -25,9 +25,9 @@ STALENESS = "2 hours"
 
 
 def bundle_stream(
-    spark: SparkSession, root: str, max_files: int | None = None
+    spark: SparkSession, root: str, max_files: int | None = 1_000
 ) -> DataFrame:
-    """Documents as they land. `max_files` bounds one micro-batch."""
+    """Documents as they land. `max_files` bounds one micro-batch, also after a pause."""
     schema = T.StructType([*schemas.BUNDLE.fields, T.StructField("dt", T.DateType())])
     reader = spark.readStream.schema(schema)
     if max_files:
