@@ -7,8 +7,8 @@ with logistic loss. The class prior pi is estimated from positives and unlabelle
 first model ranks them, and pi is the ratio of how many unlabelled and how many positive rows
 score above a bar, at the bar where its upper confidence bound is smallest.
 
-Scale. At most FIT_ROWS rows of either kind, drawn by a hash of their ids, are brought to the
-driver, as a dozen numbers each. Scoring is one pass over all texts without a shuffle.
+Scale. About FIT_ROWS ids of either kind, drawn by a hash, are brought to the driver, as one row
+of a dozen numbers each. Scoring is one pass over all texts without a shuffle.
 """
 
 from __future__ import annotations
@@ -196,13 +196,15 @@ def learn(texts: DataFrame, marks: DataFrame, n_docs: int) -> Additive | None:
     joined = joined.where("good is null or good = 1").select(
         "doc_id", F.col("good").isNotNull().alias("positive"), "text"
     )
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1e6
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)
     bar = F.when(F.col("positive"), FIT_ROWS / max(1, total[True])).otherwise(
         FIT_ROWS / total[False]
     )
     drawn = joined.where(draw < bar).mapInArrow(
         _collect, "doc_id long, positive boolean, stats array<double>"
     )
+    # One row an id, so that an id with any share of the rows stays one of about FIT_ROWS.
+    drawn = drawn.groupBy("doc_id", "positive").agg(F.min("stats").alias("stats"))
     rows = drawn.toPandas().sort_values(["doc_id"], kind="stable")
     if not rows["positive"].any() or rows["positive"].all():
         return None
