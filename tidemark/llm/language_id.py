@@ -5,8 +5,8 @@ profile is compared with each by the out-of-place distance: the sum, over the do
 of how far their ranks lie apart, or the profile's length for one it lacks. The nearest language
 is predicted.
 
-Scale. Profiles are learned from at most TRAIN_DOCS documents per language, drawn by a hash of
-their ids; n-grams are counted per batch before the shuffle, and only the profiles (PROFILE rows a
+Scale. Profiles are learned from about TRAIN_DOCS documents per language, drawn by a hash of
+ids and texts; n-grams are counted per batch before the shuffle, and only the profiles (PROFILE rows a
 language) reach the driver. Prediction is one pass without a shuffle.
 """
 
@@ -98,8 +98,8 @@ def learn(labelled: DataFrame) -> dict[str, list[int]]:
     """Profiles from rows (doc_id, text, lang)."""
     known = labelled.where("lang is not null and text is not null")
     sizes = known.groupBy("lang").agg(F.count("*").alias("docs"))
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-    part = F.broadcast(sizes.select("lang", (F.lit(TRAIN_DOCS * 1e6) / F.col("docs")).alias("part")))
+    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) / float(1 << 40)
+    part = F.broadcast(sizes.select("lang", (F.lit(TRAIN_DOCS) / F.col("docs")).alias("part")))
     drawn = known.join(part, "lang").where(draw < F.col("part"))
     counts = drawn.select(F.col("lang").cast("string").alias("lang"), "text").mapInArrow(
         _count, "lang string, gram long, n long"
