@@ -95,3 +95,12 @@ def test_expressions():
         {"gpl", "mit"}, 1.0
     )
     assert evaluate([]) == (set(), None)
+
+
+def test_license_expression_goes_to_the_end_of_its_line():
+    from tidemark.llm.license_scan import _automaton, scan
+
+    text = "SPDX-License-Identifier: " + "MIT OR " * 100 + "ISC\nMPL-2.0"
+    assert scan(text.encode(), _automaton())[5] == "isc,mit"
+    twice = "SPDX-License-Identifier: MIT */ SPDX-License-Identifier: ISC"
+    assert scan(twice.encode(), _automaton())[5] == "isc,mit"

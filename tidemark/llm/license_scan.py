@@ -9,7 +9,7 @@ once. Only texts with a tag are read again for the expression.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -60,7 +60,7 @@ FREEDOM = {
     "cc": 0.6, "mpl": 0.5, "epl": 0.5, "lgpl": 0.4, "gpl": 0.2, "agpl": 0.1, "proprietary": 0.0,
 }
 TAG = "spdx license identifier"
-TAG_TEXT = re.compile(r"spdx[^0-9a-z\x80-\xff]+license[^0-9a-z\x80-\xff]+identifier\s*:?([^\n]{0,300})")
+TAG_TEXT = re.compile(r"spdx[^0-9a-z\x80-\xff]+license[^0-9a-z\x80-\xff]+identifier\s*:?")
 TOKEN = re.compile(r"\(|\)|[0-9a-z][0-9a-z.+-]*")
 BINDS = {"with": 3, "and": 2, "or": 1}
 
@@ -76,7 +76,7 @@ def identifier_label(name: str) -> str:
     return IDENTIFIERS[max(known, key=len)] if known else name.rstrip("+.-")
 
 
-def to_postfix(tokens: list[str]) -> list[str]:
+def to_postfix(tokens: Iterable[str]) -> list[str]:
     """Dijkstra's shunting yard over identifiers, and / or / with, and parentheses.
 
     Reading stops at the first token that cannot continue the expression, so prose after an
@@ -114,7 +114,7 @@ def to_postfix(tokens: list[str]) -> list[str]:
     return out
 
 
-def evaluate(tokens: list[str]) -> tuple[set[str], float | None]:
+def evaluate(tokens: Iterable[str]) -> tuple[set[str], float | None]:
     """Labels named in an expression and the freedom it grants: the best of `or`, the worst of
     `and`; an exception after `with` leaves the licence as it is."""
     stack: list[tuple[set[str], float]] = []
@@ -170,8 +170,13 @@ def scan(text: bytes, automaton) -> tuple:
             places.append(counted)
             base.append(label)
     if tagged:
-        for found in TAG_TEXT.finditer(text.translate(bytes(LOWER)).decode("latin-1")):
-            named, value = evaluate(TOKEN.findall(found[1]))
+        lowered = text.translate(bytes(LOWER)).decode("latin-1")
+        tags = list(TAG_TEXT.finditer(lowered))
+        # An expression goes to the end of its line, or to the next tag there.
+        for tag, stop in zip(tags, [*(x.start() for x in tags[1:]), len(lowered)]):
+            line = lowered.find("\n", tag.end(), stop)
+            rest = TOKEN.finditer(lowered, tag.end(), stop if line < 0 else line)
+            named, value = evaluate(x[0] for x in rest)
             labels |= named
             if value is not None:
                 freedom.append(value)
