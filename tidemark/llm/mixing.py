@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ REPEATS = 3  # most copies of a document
 COSTS = (1, 2, 4)  # of a word's first, second and third copy
 WEIGHTS = (5, 2, 1)
 MAX_PATTERNS = 100_000
-BUCKETS = 12  # bits of the hash that name a bucket
+BUCKETS = 12  # bits of the hash that name a bucket, at least
 
 WORD_COUNT = "size(regexp_extract_all(coalesce(text, ''), '([^ \\\\t\\\\n\\\\x0B\\\\f\\\\r]+)', 1))"
 
@@ -163,8 +164,10 @@ def mix_sources(
         members[0].alias("source"),
     )
     sized = sized.withColumn("order", F.xxhash64("doc_id", F.lit(seed)))
-    sized = sized.withColumn("bucket", F.shiftrightunsigned("order", 64 - BUCKETS).cast("int"))
     sized = ws.save(sized, "sized")
+    # About as many buckets as one bucket has rows, so that neither outgrows a task.
+    bits = max(BUCKETS, math.ceil(math.log2(sized.count() + 1) / 2))
+    sized = sized.withColumn("bucket", F.shiftrightunsigned("order", 64 - bits).cast("int"))
 
     sums = sized.groupBy("pattern").agg(F.sum("size").alias("words")).limit(MAX_PATTERNS + 1)
     supply = {
