@@ -252,7 +252,7 @@ def _shingles(width: int):
 def frequent_shingles(docs: DataFrame, n_docs: int, width: int) -> np.ndarray:
     """Shingles of several documents of a sample, at most MAX_FREQUENT, the most frequent first."""
     share = min(1.0, SAMPLE_DOCS / max(1, n_docs))
-    drawn = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1_000_000)) < int(share * 1_000_000)
+    drawn = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 40)) < int(share * (1 << 40))
     grams = docs.where(drawn).select("text").mapInArrow(_shingles(width), "gram long")
     often = grams.groupBy("gram").count().where(F.col("count") >= FREQUENT)
     rows = often.orderBy(F.desc("count"), "gram").limit(MAX_FREQUENT).select("gram").toArrow()
