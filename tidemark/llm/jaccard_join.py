@@ -14,7 +14,8 @@ Scale. A document sends about one signature per nine shingles (at 0.9) and no sh
 Equal signatures within an Arrow batch are folded before the shuffle, so a signature that a third
 of all rows carries is one row per batch. Candidates are stars around the smallest id, never pairs
 within a group. Verification moves each candidate's text once, into cells of bounded size; it
-counts overlaps inside the cell and emits a spanning forest of the links, not the links.
+counts overlaps inside the cell and emits a spanning forest of the links, not the links. Components
+of several cells are first cut by signatures under other hash families.
 """
 
 from __future__ import annotations
@@ -52,6 +53,7 @@ SAMPLE_DOCS = 10_000  # documents that frequent shingles are looked for in, abou
 FREQUENT = 3  # of them that a frequent shingle is in
 MAX_FREQUENT = 200_000  # frequent shingles that are kept; any set of them gives the same result
 CELL_SHINGLES = 400_000  # of a verification cell
+FAMILIES = 4  # hash families that components of several cells are cut by, at most, with the first
 
 SKETCH = "doc_id long, n_shingles long, h1 long, h2 long, sigs array<long>, near array<long>"
 
@@ -259,13 +261,29 @@ def frequent_shingles(docs: DataFrame, n_docs: int, width: int) -> np.ndarray:
     return np.sort(np.asarray(rows.column(0).combine_chunks()).view(np.uint64))
 
 
-def _sketcher(bands: list[Band], frequent: np.ndarray, width: int, num: int, den: int):
+def recode(flat: np.ndarray, counts: np.ndarray, family: int) -> np.ndarray:
+    """The sets under another hash family, sorted within each row; family 0 leaves them."""
+    if not family:
+        return flat
+    value = mix(flat ^ constant(40 + family))
+    return value[np.lexsort((value, np.repeat(np.arange(len(counts)), counts)))]
+
+
+def _sketcher(
+    bands: list[Band], frequent: np.ndarray, width: int, num: int, den: int, family: int = 0
+):
+    """Rows (doc_id, text) into SKETCH. Under a family over 0 a third column names a row's
+    component, and only rows of one component share signatures."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        signer = Signer(bands, frequent, num, den)
+        signer = Signer(
+            bands, recode(frequent, np.array([len(frequent)]), family), num, den
+        )
         for batch in batches:
             ids = batch.column(0)
             known = np.asarray(ids.is_valid())
             doc = np.asarray(ids.fill_null(0))
+            group = np.asarray(batch.column(2)).astype(np.uint64) if family else None
             data, offsets = utf8(batch.column(1))
             sizes, h1, h2 = (np.zeros(len(ids), t) for t in (np.int64, np.uint64, np.uint64))
             sigs, rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
@@ -280,7 +298,9 @@ def _sketcher(bands: list[Band], frequent: np.ndarray, width: int, num: int, den
                 counts = np.where(known[low:high], counts, 0)
                 if not known[low:high].all():
                     flat, _ = shingle_sets(*_blanked(data, offsets, known, low, high), width)
-                found, of = signer.sign(flat, counts)
+                found, of = signer.sign(recode(flat, counts, family), counts)
+                if family:
+                    found = mix(found ^ mix(group[of + low]))
                 sigs.append(found)
                 rows.append(of + low)
             sig, row = np.concatenate(sigs), np.concatenate(rows)
@@ -412,6 +432,53 @@ def _verify(ws, placed: DataFrame, docs: DataFrame, params, name: str) -> DataFr
     return ws.save(found, f"{name}-links")
 
 
+def _candidates(ws: Workspace, sketch: DataFrame, name: str) -> DataFrame:
+    """Components `root` of documents `v` that meet under any signature."""
+    by_sig = sketch.select("doc_id", F.explode("sigs").alias("sig"))
+    by_sig = by_sig.withColumn("a", F.min("doc_id").over(Window.partitionBy("sig")))
+    met = by_sig.where("a <> doc_id").select("a", F.col("doc_id").alias("b"))
+    met = met.unionByName(sketch.select(F.explode("near").alias("a"), F.col("doc_id").alias("b")))
+    return components(ws, met, name)
+
+
+def _refine(ws: Workspace, classes: DataFrame, docs: DataFrame, params) -> DataFrame:
+    """`classes` (cc, rep, n_shingles) with components of several cells cut where no signature of
+    another hash family meets.
+
+    Similar documents meet under every family, so no link is lost. The frequent shingles are those
+    of the component's own documents, which tells passages apart that are rare in the whole table
+    but chain the documents here. Rounds end when they no longer cut the load by a quarter.
+    """
+    width, num, den = params
+    before = None
+    for family in range(1, FAMILIES):
+        load = classes.groupBy("cc").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("load"))
+        large = load.where((F.col("n") > 1) & (F.col("load") > CELL_SHINGLES))
+        large = ws.save(large.select("cc", "n", "load"), f"large-{family}")
+        size = large.agg(F.count("*").alias("ccs"), F.sum("n").alias("n"), F.sum("load").alias("load"))
+        size = size.first()
+        if not size.ccs or (before is not None and 4 * size.load > 3 * before):
+            break
+        before = size.load
+        few = maybe_broadcast(large.select("cc"), 32 * size.ccs)
+        members = classes.join(few, "cc").select(F.col("rep").alias("doc_id"), "cc").distinct()
+        members = ws.save(members, f"members-{family}")
+        texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        texts = texts.join(maybe_broadcast(members, 48 * size.n), "doc_id")
+        texts = texts.select("doc_id", "text", "cc")
+        frequent = frequent_shingles(texts, size.n, width)
+        sign = _sketcher(plan_bands(size.n, num, den), frequent, *params, family)
+        sketch = ws.save(texts.mapInArrow(sign, SKETCH), f"sketch-{family}")
+        found = members.join(
+            _candidates(ws, sketch, f"met-{family}"), F.col("doc_id") == F.col("v"), "left"
+        ).select(F.col("doc_id").alias("rep"), F.coalesce("root", "doc_id").alias("finer"))
+        classes = classes.join(found, "rep", "left").select(
+            F.coalesce("finer", "cc").alias("cc"), "rep", "n_shingles"
+        )
+        classes = ws.save(classes, f"classes-{family}")
+    return classes
+
+
 def jaccard_components(
     docs: DataFrame, width: int = 3, num: int = 90, den: int = 100, ws: Workspace | None = None
 ) -> DataFrame:
@@ -435,11 +502,7 @@ def jaccard_components(
     frequent = frequent_shingles(texts, n_docs, width)
     sketch = ws.save(texts.mapInArrow(_sketcher(bands, frequent, *params), SKETCH), "sketch")
 
-    by_sig = sketch.select("doc_id", F.explode("sigs").alias("sig"))
-    by_sig = by_sig.withColumn("a", F.min("doc_id").over(Window.partitionBy("sig")))
-    met = by_sig.where("a <> doc_id").select("a", F.col("doc_id").alias("b"))
-    met = met.unionByName(sketch.select(F.explode("near").alias("a"), F.col("doc_id").alias("b")))
-    candidates = components(ws, met, "met").withColumnRenamed("root", "cc")
+    candidates = _candidates(ws, sketch, "met").withColumnRenamed("root", "cc")
     candidates = candidates.withColumnRenamed("v", "doc_id")
 
     # Equal sets are one class; its smallest id stands for it.
@@ -451,6 +514,7 @@ def jaccard_components(
     copies = sets.join(classes, key).where("rep <> doc_id")
     copies = copies.select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
 
+    classes = _refine(ws, classes.select("cc", "rep", "n_shingles"), docs, params)
     load = classes.groupBy("cc").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("load"))
     load = load.where("n > 1").select(
         "cc", F.ceil(F.col("load") / CELL_SHINGLES).cast("int").alias("blocks")
