@@ -10,12 +10,12 @@ from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.language_id import identify
 from tidemark.llm.license_scan import license_scan
-from tidemark.llm.lm_scores import lm_scores
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.pu_quality import quality_scores
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.suffix_dedup import remove_repeats
 from tidemark.llm.token_counts import token_counts
+from tidemark.llm.word_scores import word_scores
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +59,7 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scores(documents(spark, sf_dir))
+    return word_scores(documents(spark, sf_dir))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
