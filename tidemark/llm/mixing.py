@@ -6,7 +6,9 @@ target, and the cheapest flow says how many words each pattern gives to each sou
 are then selected in a seeded order until their pattern's words are taken.
 
 Scale. Only pattern sums reach the driver, at most MAX_PATTERNS rows; the flow falls apart into
-the connected parts of patterns and sources. The seeded order is found by bucket sums: all but
+the connected parts of patterns and sources. Where every document has one source, patterns do not
+overlap and a source's flow is its target, so more sources than that are settled as tables. What
+remains is a limit of MAX_PATTERNS patterns, and sources, where an array names them. The seeded order is found by bucket sums: all but
 one bucket per pattern are taken or left whole, and only that one is put in order.
 """
 
@@ -19,7 +21,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Workspace
+from tidemark.llm.common import Workspace, maybe_broadcast
 
 REPEATS = 3  # most copies of a document
 COSTS = (1, 2, 4)  # of a word's first, second and third copy
@@ -134,6 +136,63 @@ def _solve(supply: dict, demand: dict) -> dict[str, int]:
     return {name: sum(edges[e ^ 1][1] for e in found) for name, found in layers.items()}
 
 
+def _in_tables(ws: Workspace, sized: DataFrame, weights: dict | None) -> DataFrame:
+    """What `targets` and the flow give where each pattern is one source, at any number of them:
+    `pattern`, `named`, `source_size`, `target` and the words `given`, one row per source."""
+    spark = sized.sparkSession
+    found = sized.groupBy("pattern", F.col("source").alias("named")).agg(
+        F.sum("size").alias("source_size")
+    )
+    if weights is None:
+        # The rank of a source: its place in its task after the rows of the tasks before.
+        ranked = found.orderBy(F.col("named").asc_nulls_last())
+        ranked = ws.save(ranked.withColumn("at", F.monotonically_increasing_id()), "ranked")
+        task = F.shiftright("at", 33)
+        rows = ranked.groupBy(task.alias("task")).count().orderBy("task").collect()
+        before, low = {}, 0
+        for r in rows:
+            before[r.task], low = low, low + r["count"]
+        start = spark.createDataFrame(list(before.items()), "task long, low long")
+        rank = F.col("low") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+        turns = F.array(*map(F.lit, WEIGHTS))
+        found = ranked.join(F.broadcast(start), task == F.col("task")).withColumn(
+            "weight", F.get(turns, (rank % len(WEIGHTS)).cast("int"))
+        )
+    else:
+        held = [(s, float(w)) for s, w in weights.items()]
+        held = spark.createDataFrame(held, "key string, weight double")
+        found = found.join(held, F.col("named").eqNullSafe(F.col("key")), "left")
+    found = found.select("pattern", "named", "source_size", "weight", F.lit(False).alias("over"))
+    found = ws.save(found, "weighed")
+    lost = found.where("weight is null").first()
+    if lost is not None:
+        raise KeyError(lost.named)
+    # A source that is over its most stays so, as what is left to a weight only grows.
+    budget = float(found.agg(F.sum("source_size")).first()[0])
+    most = (F.col("source_size") * REPEATS).cast("double")
+    over, turn = F.col("over"), 0
+    while True:
+        turn += 1
+        now = found.agg(
+            F.sum(F.when(over, most).otherwise(0.0)),
+            F.sum(F.when(~over, F.col("weight")).otherwise(0)),
+            F.sum(over.cast("long")),
+        ).first()
+        left, total = budget - now[0], float(now[1])
+        share = F.lit(left) * F.col("weight") / F.lit(total or 1.0)
+        beyond = over | (share > most)
+        following = found.agg(F.sum(beyond.cast("long"))).first()[0]
+        if following == now[2]:
+            break
+        # Settled by table, so that the expression does not grow with the rounds.
+        found = ws.save(found.withColumn("over", beyond), f"over-{turn}")
+    target = F.when(over, most).otherwise(share)
+    return found.select(
+        "pattern", "named", "source_size", target.alias("target"),
+        F.least(F.rint(target).cast("long"), F.col("source_size") * REPEATS).alias("given"),
+    )
+
+
 def mix_sources(
     docs: DataFrame,
     sources: str | None = None,
@@ -151,7 +210,9 @@ def mix_sources(
 
     A source's words come within half a document of its target. One row per input row; a null
     text has size 0; a null source is a source; a document of no source is not taken. Equal
-    doc_ids are ordered by size, and reruns agree. An empty table gives an empty result.
+    doc_ids are ordered by size, and reruns agree. An empty table gives an empty result. Without
+    `sources` any number of sources will do; with it, more than MAX_PATTERNS membership patterns
+    or sources raise a ValueError.
     """
     spark = docs.sparkSession
     ws = ws or Workspace(spark, "mix")
@@ -170,32 +231,44 @@ def mix_sources(
     sized = sized.withColumn("bucket", F.shiftrightunsigned("order", 64 - bits).cast("int"))
 
     sums = sized.groupBy("pattern").agg(F.sum("size").alias("words")).limit(MAX_PATTERNS + 1)
-    supply = {
-        r.pattern: (r.words, json.loads(r.pattern)) for r in sums.collect() if r.pattern is not None
-    }
-    sizes: dict = {}
-    for words, names in supply.values():
-        for s in names:
-            sizes[s] = sizes.get(s, 0) + words
-    if len(supply) > MAX_PATTERNS or len(sizes) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns or sources")
-    ranked = sorted(sizes, key=lambda s: (s is None, s or ""))
-    if weights is None:
-        weights = {s: WEIGHTS[i % len(WEIGHTS)] for i, s in enumerate(ranked)}
-    total = sum(words for words, _ in supply.values())
-    aims = targets(sizes, weights, float(total))
-    given = min_cost_flow(supply, {s: round(aims[s]) for s in aims})
-
-    plan = spark.createDataFrame(
-        [(p, words, given[p] // words if words else 0, given[p] % words if words else 0)
-         for p, (words, _) in supply.items()],
-        "pattern string, words long, copies long, rest long",
-    )
-    aim = spark.createDataFrame(
-        [(s, sizes[s], aims[s]) for s in ranked],
-        "named string, source_size long, target double",
-    )
-    plan, aim = F.broadcast(plan), F.broadcast(aim)  # no more rows than MAX_PATTERNS allows
+    held = sums.collect()
+    if len(held) > MAX_PATTERNS and not sources:
+        whole = ws.save(_in_tables(ws, sized, weights), "whole")
+        words = F.col("source_size")
+        plan = whole.select(
+            "pattern",
+            words.alias("words"),
+            F.when(words > 0, F.expr("given div source_size")).otherwise(0).alias("copies"),
+            F.when(words > 0, F.expr("given % source_size")).otherwise(0).alias("rest"),
+        )
+        aim = whole.select("named", "source_size", "target")
+        bytes_ = whole.agg(F.sum(F.octet_length("pattern") + 64)).first()[0]
+    else:
+        supply = {r.pattern: (r.words, json.loads(r.pattern)) for r in held if r.pattern is not None}
+        sizes: dict = {}
+        for words, names in supply.values():
+            for s in names:
+                sizes[s] = sizes.get(s, 0) + words
+        if len(supply) > MAX_PATTERNS or len(sizes) > MAX_PATTERNS:
+            raise ValueError(f"more than {MAX_PATTERNS} membership patterns or sources")
+        ranked = sorted(sizes, key=lambda s: (s is None, s or ""))
+        if weights is None:
+            weights = {s: WEIGHTS[i % len(WEIGHTS)] for i, s in enumerate(ranked)}
+        total = sum(words for words, _ in supply.values())
+        aims = targets(sizes, weights, float(total))
+        given = min_cost_flow(supply, {s: round(aims[s]) for s in aims})
+
+        plan = spark.createDataFrame(
+            [(p, words, given[p] // words if words else 0, given[p] % words if words else 0)
+             for p, (words, _) in supply.items()],
+            "pattern string, words long, copies long, rest long",
+        )
+        aim = spark.createDataFrame(
+            [(s, sizes[s], aims[s]) for s in ranked],
+            "named string, source_size long, target double",
+        )
+        bytes_ = 0  # no more rows than MAX_PATTERNS allows
+    plan, aim = maybe_broadcast(plan, bytes_), maybe_broadcast(aim, bytes_)
     # The bucket in which a pattern's last words are taken, and the words before it.
     buckets = sized.groupBy("pattern", "bucket").agg(F.sum("size").alias("n")).join(plan, "pattern")
     upto = F.sum("n").over(
@@ -207,7 +280,9 @@ def mix_sources(
         .groupBy("pattern")
         .agg(F.min("bucket").alias("edge"), F.min_by(F.expr("upto - n"), "bucket").alias("before"))
     )
-    placed = sized.join(plan, "pattern", "left").join(F.broadcast(edge), "pattern", "left")
+    placed = sized.join(plan, "pattern", "left").join(
+        maybe_broadcast(edge, bytes_), "pattern", "left"
+    )
     placed = placed.withColumn("cut", F.col("bucket") == F.col("edge"))
     inside = placed.where("cut")
     order = Window.partitionBy("pattern").orderBy("order", "doc_id", "size")
