@@ -64,3 +64,22 @@ def test_the_query_scores_words(spark, sf_dir):
             backoff(pairs(spark.read.parquet(f"{sf_dir}/documents.parquet")))}
     assert len(got) == len(want)
     assert all(n == want[i][0] and s == pytest.approx(want[i][1]) for i, n, s in got)
+
+
+def test_repeated_rows_spread_over_buckets(spark, monkeypatch):
+    """Rows of one text, of one id or none, are no larger a bucket than others."""
+    monkeypatch.setattr(module, "BUCKET_BYTES", 20_000)
+    monkeypatch.setattr(module, "PART_BYTES", 20_000)
+    text = "the same words again and again " * 20
+    docs = [(None, text)] * 200 + [(1, text)] * 200 + [(2, "other words"), (None, None)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").coalesce(2).cache()
+    # A piece of small batches, as chunks are cut within one.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        agree(frame)
+        packed = frame.mapInArrow(module._pack, module.PACKED).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len({r.bucket for r in packed}) == len(packed) > 10
+    assert all(r.bytes <= 20_000 for r in packed)
+    assert sum(len(r.doc_id) for r in packed) == len(docs)
