@@ -13,7 +13,9 @@ from tidemark.llm.queries import ORACLE, QUERIES
 def test_query_matches_sql(spark, sf_dir, name):
     got = QUERIES[name](spark, sf_dir).toPandas()
     want = connect(sf_dir).execute(ORACLE[name]).df()
-    assert difference(got, want) is None
+    # A whole number with nulls has one type on DuckDB and another in pandas.
+    whole = {c: "Int64" for c in got if got[c].dtype.kind == "f" and want[c].dtype.kind == "i"}
+    assert difference(got.astype(whole), want) is None
 
 
 def test_pipeline_stages(spark, sf_dir):

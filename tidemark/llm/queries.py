@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.centroids import centroid_clusters
 from tidemark.llm.common import documents
 from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.language_id import identify
 from tidemark.llm.license_scan import license_scan
 from tidemark.llm.mixing import mix_sources
+from tidemark.llm.prefix_trie import conversation_trie
 from tidemark.llm.pu_quality import quality_scores
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.suffix_dedup import remove_repeats
@@ -62,6 +64,14 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_scores(documents(spark, sf_dir))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -81,6 +91,8 @@ QUERIES = {
         op8_quality_rules,
         op9_license_scan,
         op10_lm_scores,
+        op12_conversation_trie,
+        op13_centroid_clusters,
         pipeline,
     )
 }
@@ -211,3 +223,88 @@ SELECT doc_id, n_words, coalesce(word_chars, 0)::BIGINT AS word_chars, n_symbols
     OR 2 * (len(text) - len(translate(text, '0123456789', ''))) > word_chars) AS kept
 FROM counts
 """
+
+# Unsigned crc32 of a decimal number: eight steps a byte, the byte itself at the first of them.
+ORACLE["op12_conversation_trie"] = """
+WITH RECURSIVE own AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')}
+    ORDER BY turn NULLS FIRST, role, text) AS seq
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), heads AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base, seq, xor(4294967295, list_reduce(
+    list_concat([4294967295::BIGINT], flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+      lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda s, e: xor(xor(s, e) >> 1, 3988292384 * (xor(s, e) & 1)))) % 6 AS h
+  FROM own
+), rebuilt AS (
+  SELECT a.conv_id, list_concat(coalesce(list_slice(b.seq, 1, a.h), []),
+    list_slice(a.seq, a.h + 1, len(a.seq))) AS seq
+  FROM heads a LEFT JOIN own b ON b.conv_id = a.base
+), paths AS (
+  SELECT conv_id, d, list_slice(seq, 1, d) AS path, d = len(seq) AS ends
+  FROM (SELECT conv_id, seq, unnest(range(0, len(seq) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT path, any_value(d)::BIGINT AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), ''))
+      AS ends_sha256
+  FROM paths GROUP BY path
+), families AS (
+  SELECT n.*, coalesce(c.n, 0)::BIGINT AS n_children, p.conv_id AS parent_conv_id,
+    CASE WHEN depth > 0 THEN (n_convs - 1) * length(n.path[depth].t) ELSE 0 END AS saved
+  FROM nodes n
+  LEFT JOIN (SELECT list_slice(path, 1, depth - 1) AS over, count(*) AS n FROM nodes
+    WHERE depth > 0 GROUP BY over) c ON c.over = n.path
+  LEFT JOIN (SELECT path AS over, conv_id FROM nodes) p
+    ON n.depth > 0 AND p.over = list_slice(n.path, 1, n.depth - 1)
+), sums AS (
+  SELECT above, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM (SELECT n_children, saved, list_slice(path, 1, k) AS above
+    FROM (SELECT *, unnest(range(0, depth + 1)) AS k FROM families)) GROUP BY above
+)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+FROM families JOIN sums ON above = path
+"""
+
+
+def _nearest(vectors: str, centroids: str) -> str:
+    """The vectors with the number of their nearest centroid and its squared distance."""
+    return f"""
+  SELECT vec_id, row_id, any_value(v) AS v, min(near).c AS c, min(near).d AS d FROM (
+    SELECT k.*, {{'d': list_sum(list_transform(list_zip(k.v, m.v),
+      lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT, 'c': m.c}} AS near
+    FROM {vectors} k, {centroids} m) GROUP BY vec_id, row_id"""
+
+
+def _moved(near: str, centroids: str) -> str:
+    """The centroids after a round: exact floors of the means; empty ones stay."""
+    return f"""
+  SELECT m.c, coalesce(n.v, m.v) AS v FROM {centroids} m LEFT JOIN (
+    SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM (
+      SELECT c, i, sum(x)::BIGINT AS s, count(*) AS n FROM (
+        SELECT c, unnest(v) AS x, unnest(range(len(v))) AS i FROM {near}) GROUP BY c, i)
+    GROUP BY c) n ON n.c = m.c"""
+
+
+ORACLE["op13_centroid_clusters"] = f"""
+WITH kept AS (
+  SELECT vec_id, row_number() OVER () AS row_id,
+    list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64
+), m0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), row_id) - 1 AS c, v
+  FROM kept QUALIFY c < 16
+), n0 AS ({_nearest("kept", "m0")}
+), m1 AS ({_moved("n0", "m0")}
+), n1 AS ({_nearest("kept", "m1")}
+), m2 AS ({_moved("n1", "m1")}
+), n2 AS ({_nearest("kept", "m2")}
+), m3 AS ({_moved("n2", "m2")}
+), n3 AS ({_nearest("kept", "m3")}
+)
+SELECT vec_id, n3.c::INTEGER AS cluster, d AS distance,
+  (sum(d) OVER (PARTITION BY n3.c))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+  sha256(list_aggregate(list_transform(m3.v, lambda x: x::VARCHAR), 'string_agg', ','))
+    AS centroid_sha256
+FROM n3 JOIN m3 ON m3.c = n3.c
+"""
