@@ -12,6 +12,7 @@ from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.language_id import identify
 from tidemark.llm.license_scan import license_scan
 from tidemark.llm.mixing import mix_sources
+from tidemark.llm.pii import personal_data
 from tidemark.llm.prefix_trie import conversation_trie
 from tidemark.llm.pu_quality import quality_scores
 from tidemark.llm.quality_rules import quality_rules
@@ -64,6 +65,10 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_scores(documents(spark, sf_dir))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(documents(spark, sf_dir))
+
+
 def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
@@ -91,6 +96,7 @@ QUERIES = {
         op8_quality_rules,
         op9_license_scan,
         op10_lm_scores,
+        op11_personal_data,
         op12_conversation_trie,
         op13_centroid_clusters,
         pipeline,
