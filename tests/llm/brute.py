@@ -84,8 +84,8 @@ def contamination(rows, items):
             for k in range(len(w) - n + 1):
                 found = windows.get(tuple(w[k : k + n]))
                 if found:
-                    named |= found if i is not None else set()
-                    hit |= set(range(k, k + n)) if i is not None else set()
+                    named |= found
+                    hit |= set(range(k, k + n))
         digest = hashlib.sha256(",".join(sorted(named)).encode()).hexdigest()
         out.append((i, len(w), len(hit), len(named), digest, bool(hit) and 20 * len(hit) >= len(w)))
     return out

@@ -1,16 +1,45 @@
-"""What the operators share: scratch tables, checked broadcasts and connected components."""
+"""What the operators share: scratch tables, checked broadcasts, tasks that keep memory low, and
+connected components."""
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A side is broadcast only when it is known to hold no more bytes than this.
 BROADCAST_BYTES = 64 << 20
 
+# Rows go to Python in batches of about so many bytes, however wide they are.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of the session by bytes: 10,000 rows of text can be any size, and
+    a batch is held by the JVM and by Python, for each task, before and after its work."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def trimmed(work: Callable) -> Callable:
+    """`work` on batches, with the memory it freed given back to the system when a task ends;
+    Python workers live on from one stage to the next."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library only
+            if trim:
+                trim(0)
+
+    return run
+
 
 class Workspace:
     """A new folder under the cluster's shared checkpoint folder, for tables that cut lineage.
@@ -25,6 +54,7 @@ class Workspace:
             if not spark.sparkContext.master.startswith("local["):
                 raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
             base = tempfile.mkdtemp(prefix="tidemark-llm-")
+        small_batches(spark)
         self.spark = spark
         self.root = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
@@ -48,14 +78,34 @@ def maybe_broadcast(frame: DataFrame, size: int, limit: int = BROADCAST_BYTES) -
     return F.broadcast(frame) if size <= limit else frame
 
 
-def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Documents whose doc_id is not among the distinct long `doc_id`s of `rejected`.
+def without(docs: DataFrame, rejected: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Documents whose `key` is not among the distinct long `doc_id`s of `rejected`.
 
     `rejected` is counted first, so it should be a settled table.
     """
     bad = rejected.select(F.col("doc_id").alias("__rejected"))
     bad = maybe_broadcast(bad, 48 * bad.count())
-    return docs.join(bad, F.col("doc_id") == F.col("__rejected"), "left_anti")
+    return docs.join(bad, F.col(key) == F.col("__rejected"), "left_anti")
+
+
+def row_keys(ws: Workspace, docs: DataFrame) -> DataFrame:
+    """`docs` with a long `key` by which a row can be judged alone, in the order of doc_id.
+
+    Where every doc_id is there and unique it is the key. Otherwise each distinct pair of doc_id
+    and text gets a place in the order of doc_id (null last) and of the texts' fingerprints, so
+    rows that repeat a doc_id differ unless they are equal in text too. Only ids and fingerprints
+    are sorted; texts are moved once, and only in that case.
+    """
+    counts = docs.groupBy("doc_id").count()
+    if counts.where("doc_id is null or count > 1").isEmpty():
+        return docs.withColumn("key", F.col("doc_id").cast("long"))
+    mark = F.xxhash64("text", F.col("text").isNull())
+    pairs = docs.select(F.col("doc_id").alias("__id"), mark.alias("__mark")).distinct()
+    order = [F.asc_nulls_last("__id"), F.asc("__mark")]
+    placed = pairs.orderBy(*order).withColumn("key", F.monotonically_increasing_id())
+    placed = ws.save(placed, "keys")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (mark == F.col("__mark"))
+    return docs.join(placed, same).drop("__id", "__mark")
 
 
 def components(ws: Workspace, edges: DataFrame, name: str) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Workspace, maybe_broadcast
+from tidemark.llm.common import Workspace, maybe_broadcast, trimmed
 from tidemark.llm.text_arrays import (
     ALNUM,
     LOWER,
@@ -182,9 +182,9 @@ def decontaminate(
     consecutive words of an item; an item of fewer words, but not none, is one window. A document
     is contaminated if at least one word in twenty is hit.
 
-    One row per input row. A null text has no words; a null doc_id stays null and its row has no
-    candidates. Items with a null or wordless text match nothing; a null item_id counts as the
-    empty string. Rows that repeat a doc_id share candidates and are judged by their own text.
+    One row per input row. A null text has no words; a null doc_id stays null and its row is
+    judged like any other. Items with a null or wordless text match nothing; a null item_id counts
+    as the empty string. Rows that repeat a doc_id share candidates and are judged by their own text.
     """
     spark = docs.sparkSession
     ws = ws or Workspace(spark, "decontaminate")
@@ -196,26 +196,37 @@ def decontaminate(
     )
     lengths = [WINDOW, *sorted(r.n for r in short.collect())]  # at most 12 more
     item_marks = items.mapInArrow(_fingerprints([], True), "id string, mark long").distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    marks = texts.where("doc_id is not null").mapInArrow(
-        _fingerprints(lengths, False), "id long, mark long"
+    # Candidates go by doc_id; those of rows without one by a fingerprint of the text.
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumns(
+        {
+            "odd": F.col("doc_id").isNull(),
+            "key": F.coalesce(F.col("doc_id"), F.xxhash64("text")),
+        }
     )
+    marks = [
+        texts.where(F.col("odd") == odd)
+        .select("key", "text")
+        .mapInArrow(trimmed(_fingerprints(lengths, False)), "id long, mark long")
+        .select(F.lit(odd).alias("odd"), F.col("id").alias("key"), "mark")
+        for odd in (False, True)
+    ]
     met = (
-        marks.withColumnRenamed("id", "doc_id")
+        marks[0]
+        .unionByName(marks[1])
         .join(item_marks.withColumnRenamed("id", "item"), "mark")
-        .select("doc_id", "item")
+        .select("odd", "key", "item")
         .distinct()
     )
     found = met.join(items.select(F.col("id").alias("item"), "text"), "item")
-    found = found.groupBy("doc_id").agg(
+    found = found.groupBy("odd", "key").agg(
         F.collect_set(F.struct("item", "text")).alias("items")
     )
     found = ws.save(found, "candidates")
     size = found.agg(
         F.sum(F.expr("aggregate(items, 100L, (n, x) -> n + 60 + length(x.text))"))
     ).first()[0]
-    asked = texts.join(maybe_broadcast(found, size or 0), "doc_id", "left")
-    return asked.select("doc_id", "text", "items").mapInArrow(_extend, RESULT)
+    asked = texts.join(maybe_broadcast(found, size or 0), ["odd", "key"], "left")
+    return asked.select("doc_id", "text", "items").mapInArrow(trimmed(_extend), RESULT)
 
 
 def _item_lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Workspace, components, maybe_broadcast
+from tidemark.llm.common import Workspace, components, maybe_broadcast, trimmed
 from tidemark.llm.text_arrays import (
     LOWER,
     SPACED,
@@ -255,7 +255,7 @@ def frequent_shingles(docs: DataFrame, n_docs: int, width: int) -> np.ndarray:
     """Shingles of several documents of a sample, at most MAX_FREQUENT, the most frequent first."""
     share = min(1.0, SAMPLE_DOCS / max(1, n_docs))
     drawn = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 40)) < int(share * (1 << 40))
-    grams = docs.where(drawn).select("text").mapInArrow(_shingles(width), "gram long")
+    grams = docs.where(drawn).select("text").mapInArrow(trimmed(_shingles(width)), "gram long")
     often = grams.groupBy("gram").count().where(F.col("count") >= FREQUENT)
     rows = often.orderBy(F.desc("count"), "gram").limit(MAX_FREQUENT).select("gram").toArrow()
     return np.sort(np.asarray(rows.column(0).combine_chunks()).view(np.uint64))
@@ -428,7 +428,7 @@ def _verify(ws, placed: DataFrame, docs: DataFrame, params, name: str) -> DataFr
     joined = texts.join(maybe_broadcast(placed, 64 * placed.count()), "doc_id")
     rows = joined.select("cc", "cell", "doc_id", "text")
     rows = rows.repartition("cc", "cell").sortWithinPartitions("cc", "cell", "doc_id")
-    found = rows.mapInArrow(_verifier(width, num, den), "a long, b long")
+    found = rows.mapInArrow(trimmed(_verifier(width, num, den)), "a long, b long")
     return ws.save(found, f"{name}-links")
 
 
@@ -468,7 +468,7 @@ def _refine(ws: Workspace, classes: DataFrame, docs: DataFrame, params) -> DataF
         texts = texts.select("doc_id", "text", "cc")
         frequent = frequent_shingles(texts, size.n, width)
         sign = _sketcher(plan_bands(size.n, num, den), frequent, *params, family)
-        sketch = ws.save(texts.mapInArrow(sign, SKETCH), f"sketch-{family}")
+        sketch = ws.save(texts.mapInArrow(trimmed(sign), SKETCH), f"sketch-{family}")
         found = members.join(
             _candidates(ws, sketch, f"met-{family}"), F.col("doc_id") == F.col("v"), "left"
         ).select(F.col("doc_id").alias("rep"), F.coalesce("root", "doc_id").alias("finer"))
@@ -500,7 +500,7 @@ def jaccard_components(
     bands = plan_bands(n_docs, num, den)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     frequent = frequent_shingles(texts, n_docs, width)
-    sketch = ws.save(texts.mapInArrow(_sketcher(bands, frequent, *params), SKETCH), "sketch")
+    sketch = ws.save(texts.mapInArrow(trimmed(_sketcher(bands, frequent, *params)), SKETCH), "sketch")
 
     candidates = _candidates(ws, sketch, "met").withColumnRenamed("root", "cc")
     candidates = candidates.withColumnRenamed("v", "doc_id")

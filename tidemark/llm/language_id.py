@@ -168,7 +168,7 @@ def held_out():
     return F.coalesce(fold == 1, F.lit(False))
 
 
-def identify(docs: DataFrame) -> DataFrame:
+def identify(docs: DataFrame, asked: DataFrame | None = None) -> DataFrame:
     """Language of each text: columns `doc_id`, `held_out`, `lang_pred`, `score`.
 
     Profiles are learned from the texts and non-null `lang` of documents that are not held out
@@ -176,10 +176,13 @@ def identify(docs: DataFrame) -> DataFrame:
     score 0, is a null text, one without letters, or any text when nothing could be learned. The
     score is 0 when the two nearest languages are equally far and 1 when the nearest fits exactly.
 
-    One row per input row; a null doc_id stays null and is not held out; repeated rows count as
-    often as they occur.
+    `asked` are the rows that are predicted, by default the rows that are learned from. One row
+    per row of it; a null doc_id stays null and is not held out; repeated rows count as often as
+    they occur.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = (docs if asked is None else asked).select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text"
+    )
     labelled = docs.select("doc_id", "text", "lang").where(~held_out())
     found = texts.mapInArrow(_predict(learn(labelled)), RESULT)
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
