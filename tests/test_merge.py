@@ -48,11 +48,34 @@ def test_newest_attempt_wins(spark):
     assert rows(got) == [(1, "y", 2)]
 
 
-def test_upsert_of_a_few_rows_does_not_shuffle_the_target(spark, tmp_path):
-    path = str(tmp_path / "target")
-    frame(spark, (1, "old", 1)).write.parquet(path)
-    plan = plan_of(merge.upsert(spark.read.parquet(path), frame(spark, (1, "n", 2)), ["id"]))
-    assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan
+def test_upsert_into_buckets_reads_each_side_once(spark, tmp_path):
+    """The target lies arranged by its key: it is scanned once and not shuffled."""
+    target = spark.range(5000).selectExpr("id", "'old' a", "id b")
+    held = sinks.write_buckets(target, str(tmp_path / "target"), ["id"], 8)
+    incoming = str(tmp_path / "incoming")
+    spark.range(4990, 5010).selectExpr("id", "'new' a", "-id b").write.parquet(incoming)
+    state = merge.upsert(held, spark.read.parquet(incoming), ["id"])
+    plan = plan_of(state)
+    assert plan.count("FileScan") == 2 and plan.count("Bucketed: true") == 1
+    assert plan.count("Exchange") == 1 and "FullOuter" in plan
+    assert state.where("a = 'old'").count() == 4990
+    assert rows(state.where("id >= 4999"))[0] == (4999, "new", -4999)
+    assert state.where("a = 'new'").count() == 20
+
+
+def test_buckets_are_read_from_their_files_alone(spark, tmp_path):
+    path = str(tmp_path / "held")
+    held = sinks.write_buckets(frame(spark, (1, "x", 2), (2, None, None)), path, ["id"], 4)
+    spark.sql(f"DROP TABLE {sinks.scratch_name(path)}")
+    again = sinks.read_buckets(spark, path, held.schema, ["id"], 4)
+    assert rows(again) == [(1, "x", 2), (2, None, None)]
+
+
+def test_upsert_keeps_rows_without_a_key(spark):
+    target = frame(spark, (None, "old", 1), (1, "old", 1))
+    incoming = frame(spark, (None, "new", 2), (1, "new", 2))
+    got = rows(merge.upsert(target, incoming, ["id"]))
+    assert sorted(got, key=repr) == [(1, "new", 2), (None, "new", 2), (None, "old", 1)]
 
 
 def test_flags(spark):

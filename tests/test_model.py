@@ -12,6 +12,7 @@ from tidemark import schemas
 from tidemark.operators import checks as ck
 from tidemark.plans.model import Raw, build, model_checks
 from tidemark.plans.refresh import refresh
+from tidemark.sources.versions import Store
 
 START = at("2026-09-01T06:00:00")
 HOURS = 24 * 20
@@ -129,7 +130,7 @@ def test_refresh_equals_a_full_build(spark, raw, tmp_path, split):
     full = build(spark, raw, LAST, str(tmp_path / "full"), CALENDAR)
     for name in ("fct_player_counts", "fct_player_trends_daily"):
         whole = getattr(full, name)
-        held = spark.read.schema(whole.schema).parquet(f"{root}/{name}").select(*whole.columns)
+        held = Store(spark, root).read(name, whole.schema).select(*whole.columns)
         assert rows(held) == rows(whole), name
 
 
@@ -149,7 +150,7 @@ def test_refresh_after_an_outage_of_whole_days(spark, raw, tmp_path, gap):
     full = build(spark, Raw(landed, *others), LAST, str(tmp_path / "full"), CALENDAR)
     for name in ("fct_player_counts", "fct_player_trends_daily"):
         whole = getattr(full, name)
-        held = spark.read.schema(whole.schema).parquet(f"{root}/{name}").select(*whole.columns)
+        held = Store(spark, root).read(name, whole.schema).select(*whole.columns)
         assert rows(held) == rows(whole), name
 
 

@@ -136,6 +136,22 @@ def ledger_not_dense(ledger: DataFrame) -> DataFrame:
     ).filter("not (actual_rows <=> expected_rows) or flagged_rows <> 1")
 
 
+def recently_short(ledger: DataFrame, as_of: datetime | Column, hours: int = 24) -> DataFrame:
+    """Hours that ran short within the `hours` before `as_of`: a warning while it can be looked
+    into, where the ledger keeps the hour for good."""
+    end = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
+    since = end - F.make_dt_interval(hours=F.lit(hours))
+    recent = (F.col("logical_hour") > since) & (F.col("logical_hour") <= end)
+    return ledger.filter((F.col("status") == "ran_short") & recent).select(
+        "logical_hour", "status", "failed_count", "loaded_count"
+    )
+
+
+def unrecorded_days(days: DataFrame) -> DataFrame:
+    """Days of `ledger.catalog_days` without a record."""
+    return days.filter("not is_recorded").select("date_day")
+
+
 def ranks_with_holes(board: DataFrame) -> DataFrame:
     """One row per rank column whose highest rank is not its number of distinct ranks.
 

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.sources.spines import hours_between
+from tidemark.sources.spines import days_of, hours_between
 
 
 def _length(ids: str) -> Column:
@@ -62,15 +62,29 @@ def hour_status() -> Column:
     )
 
 
+def hour_counts(observations: DataFrame) -> DataFrame:
+    """(logical_hour, snapshot_rows) of deduplicated observations: all the ledger needs of them.
+
+    Counts of whole hours merge by replacement, so a kept table of them follows the hours that a
+    load touched and never reads the others again.
+    """
+    return observations.groupBy("logical_hour").agg(F.count(F.lit(1)).alias("snapshot_rows"))
+
+
 def hour_ledger(runs: DataFrame, observations: DataFrame, as_of: datetime | Column) -> DataFrame:
+    """The ledger of hours, from `normalize_runs` and deduplicated observations."""
+    return ledger_of_counts(runs, hour_counts(observations), as_of)
+
+
+def ledger_of_counts(
+    runs: DataFrame, counted: DataFrame, as_of: datetime | Column
+) -> DataFrame:
     """One row per hour from the first observation to `as_of`, each with a status.
 
-    `runs` comes from `normalize_runs` and `observations` are deduplicated. Observations are
-    counted per hour first, so everything after the first aggregate has at most one row per
-    hour. Runs dated before the first observation fall outside. The high-water mark is the
-    latest complete hour; with none it is NULL on every row.
+    `runs` comes from `normalize_runs` and `counted` from `hour_counts`, so there is at most one
+    row per hour of each. Runs dated before the first observation fall outside. The high-water
+    mark is the latest complete hour; with none it is NULL on every row.
     """
-    counted = observations.groupBy("logical_hour").agg(F.count(F.lit(1)).alias("snapshot_rows"))
     spine = hours_between(counted.agg(F.min("logical_hour")), as_of, "logical_hour")
     classified = (
         spine.join(counted, "logical_hour", "left")
@@ -108,3 +122,24 @@ def missing_hours(ledger: DataFrame) -> DataFrame:
 def high_water_mark(ledger: DataFrame) -> DataFrame:
     """The latest complete hour, as one row, or none."""
     return ledger.filter("is_high_water_mark").select("logical_hour")
+
+
+def catalog_days(runs: DataFrame, as_of: datetime | Column) -> DataFrame:
+    """One row per day from the first catalog run to `as_of`, with the day's last record.
+
+    Columns `date_day`, `is_recorded`, `run_id`, `recorded_at`, `app_list_count`, `chart_count`,
+    `newly_tracked_count` and `attempts`. A day on which no run left a record is there with
+    `is_recorded` false: nothing else would notice it. `runs` has the columns of the raw table.
+    """
+    kept = F.struct("run_id", "recorded_at", "app_list_count", "chart_count", "newly_tracked_count")
+    by_day = runs.groupBy(F.to_date("logical_date").alias("date_day")).agg(
+        F.max_by(kept, F.struct("recorded_at", "run_id")).alias("run"),
+        F.count(F.lit(1)).alias("attempts"),
+    )
+    spine = days_of(by_day.agg(F.min("date_day")), as_of, "date_day")
+    return spine.join(by_day, "date_day", "left").select(
+        "date_day",
+        F.col("run").isNotNull().alias("is_recorded"),
+        "run.*",
+        F.coalesce("attempts", F.lit(0)).alias("attempts"),
+    )

@@ -1,8 +1,8 @@
 """Key-aware loads as DataFrame rewrites, since Parquet tables have no keys and no MERGE.
 
-Every function returns the rows to write or the new state. Reading the target costs no shuffle
-of it while the incoming side is small enough for the planner to broadcast; otherwise both
-sides shuffle once on the key, which is unique on each side and so cannot be skewed.
+Every function returns the rows to write or the new state. Keys are unique on each side, so a
+join on them cannot be skewed. Inserts and flags read the target without a shuffle of it while
+the incoming side is small enough for the planner to broadcast; an upsert reads both sides once.
 """
 
 from __future__ import annotations
@@ -41,31 +41,36 @@ def upsert(
     keep: Sequence[str] = (),
     first_non_null: Sequence[str] = (),
 ) -> DataFrame:
-    """The target after an upsert. `incoming` has at most one row per key.
+    """The target after an upsert, in one pass over each side. `incoming` has at most one row per
+    key.
 
     For a key on both sides: columns in `keep` stay as they were, columns in `first_non_null`
-    are replaced only where they were NULL, all others take the incoming value.
+    are replaced only where they were NULL, all others take the incoming value. Rows with a NULL
+    in their key match nothing and are kept from both sides.
+
+    It is one full outer join, so both sides are arranged by the key. A target that `buckets`
+    laid out by its key is so already: it is read in place and only the incoming side moves.
     """
     key = list(key)
     columns = target.columns
-    incoming = incoming.select(*columns)
     values = [c for c in columns if c not in key]
-    new = incoming.select(*key, F.struct(*values).alias("new"))
+    # The struct of a side is NULL exactly where the side has no row.
+    there = F.lit(True).alias("there")
+    old = target.select(*key, F.struct(there, *values).alias("old"))
+    new = incoming.select(*key, F.struct(there, *values).alias("new"))
 
     def merged(column: str) -> Column:
-        old, fresh = F.col(column), F.col(f"new.{column}")
+        was, fresh = F.col(f"old.`{column}`"), F.col(f"new.`{column}`")
         if column in keep:
-            return old
-        if column in first_non_null:
-            return F.coalesce(old, fresh)
-        return F.when(F.col("new").isNotNull(), fresh).otherwise(old)
-
-    updated = target.join(new, key, "left").select(
-        *key, *[merged(c).alias(c) for c in values]
-    )
-    known = target.select(*key).join(incoming.select(*key), key, "left_semi")
-    inserted = incoming.join(known, key, "left_anti")
-    return updated.select(*columns).unionByName(inserted)
+            chosen = F.when(F.col("old").isNotNull(), was).otherwise(fresh)
+        elif column in first_non_null:
+            chosen = F.coalesce(was, fresh)
+        else:
+            chosen = F.when(F.col("new").isNotNull(), fresh).otherwise(was)
+        return chosen.alias(column)
+
+    both = old.join(new, key, "full_outer")
+    return both.select(*key, *[merged(c) for c in values]).select(*columns)
 
 
 def flag_changes(

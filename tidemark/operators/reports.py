@@ -17,12 +17,14 @@ def leaderboard(
     fact: DataFrame,
     trends: DataFrame,
     settle: Callable[[DataFrame], DataFrame] | None = None,
+    by_day: bool = False,
 ) -> DataFrame:
     """Active entities with an observation, ranked by their own latest value and 7-day mean.
 
-    The trend row is the one for the day of each entity's latest hour. That day is compared
-    beside the entity key and not as a second key, so trends keep the partitioning by entity
-    which their windows already gave them.
+    The trend row is the one for the day of each entity's latest hour. With `by_day`, trends are
+    a table in folders by day, and only the days that are some entity's current one are read.
+    Otherwise that day is compared beside the entity key and not as a second key, so trends keep
+    the partitioning by entity which their windows already gave them.
 
     Ranking reads the joined rows, one per entity, several times. `settle` may write them out
     and return what was written, so that the history behind them is worked through once.
@@ -36,8 +38,15 @@ def leaderboard(
         "app_id", "app_name", "release_date", "genre_names", "is_free", "price_final_usd",
         "tracked_source",
     )
-    same_day = F.datediff(F.to_date("current_hour"), "date_day") == 0
-    current = latest.join(games, "app_id").join(trends, "app_id").filter(same_day)
+    current = latest.join(games, "app_id")
+    if by_day:
+        current = current.withColumn("date_day", F.to_date("current_hour"))
+        if settle is not None:
+            current = settle(current)
+        current = current.join(on_days_of(trends, current), ["app_id", "date_day"])
+    else:
+        same_day = F.datediff(F.to_date("current_hour"), "date_day") == 0
+        current = current.join(trends, "app_id").filter(same_day)
     if settle is not None:
         current = settle(current)
     ranked = with_dense_ranks(
@@ -66,6 +75,17 @@ def leaderboard(
     )
 
 
+def on_days_of(trends: DataFrame, current: DataFrame) -> DataFrame:
+    """Rows of `trends` on the days that occur in `current`; other folders are not read.
+
+    The days are a value per calendar day, so they are broadcast whatever the rows, and the scan
+    is pruned by them when the query runs.
+    """
+    entities = current.groupBy("date_day").agg(F.count(F.lit(1)).alias("entities"))
+    days = entities.filter("entities > 0").select("date_day")
+    return trends.join(F.broadcast(days), "date_day", "left_semi")
+
+
 def board_table(board: DataFrame) -> DataFrame:
     """The board as displayed: names for people, the mean without decimals, the hour as text."""
     # The headings.

@@ -11,13 +11,15 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.operators import checks as ck
 from tidemark.operators.daily import dense_daily, trends
-from tidemark.operators.ledger import hour_ledger, normalize_catalog_runs, normalize_runs
+from tidemark.operators.ledger import ledger_of_counts, normalize_catalog_runs, normalize_runs
 from tidemark.operators.metadata import extract_metadata
 from tidemark.operators.observations import LINEAGE, fact_native, normalize_observations
 from tidemark.operators.registry import dim_entity, listed_ids, normalize_registry
 from tidemark.operators.reports import leaderboard
-from tidemark.sources.sinks import settled, write_days
+from tidemark.plans.refresh import FACT, HOURS, TRENDS, counts_of_days
+from tidemark.sources.sinks import settled
 from tidemark.sources.spines import CALENDAR_END, CALENDAR_START, dim_date
+from tidemark.sources.versions import Store
 
 
 @dataclass(frozen=True)
@@ -63,10 +65,12 @@ def build(
     calendar: tuple[date, date] = (CALENDAR_START, CALENDAR_END),
     n: int = schemas.KNOWN_UNOBSERVABLE_HOURS,
 ) -> Model:
-    """Compose the model. With `root`, the two facts are written there by day, the dimension and
-    the leaderboard beside them, and all are read back: the raw history is worked through once.
+    """Compose the model. With `root`, the two facts are written there by day, the dimension, the
+    leaderboard and the counts per hour beside them, and all are read back: the raw history is
+    worked through once. All are new versions, which become current together when the last of
+    them is written; until then, and if the build dies, readers see the versions before.
 
-    The hour ledger stays a view: its end moves with `as_of`.
+    The hour ledger stays a view, over the counts: its end moves with `as_of`.
     """
     runs = normalize_runs(raw.snapshot_runs)
     unobservable = raw.unobservable
@@ -75,32 +79,29 @@ def build(
     registry = normalize_registry(raw.tracked_universe)
     metadata = extract_metadata(raw.app_metadata)
 
-    def settle_small(frame: DataFrame, name: str) -> DataFrame:
-        if root is None:
-            return frame
-        frame.write.mode("overwrite").parquet(f"{root}/{name}")
-        return spark.read.schema(frame.schema).parquet(f"{root}/{name}")
+    versions = Store(spark, root).build() if root else None
 
-    dim = settle_small(dim_entity(registry, metadata, runs, unobservable, n), "dim_game")
+    def settle(frame: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        return versions.write(name, frame, by) if versions else frame
 
-    def settle(frame: DataFrame, name: str) -> DataFrame:
-        if root is None:
-            return frame
-        write_days(frame, f"{root}/{name}", whole=True)
-        return spark.read.schema(frame.schema).parquet(f"{root}/{name}").select(*frame.columns)
+    dim = settle(dim_entity(registry, metadata, runs, unobservable, n), "dim_game")
 
     fact = settle(
-        fact_native(normalize_observations(raw.player_counts, carry=())), "fct_player_counts"
+        fact_native(normalize_observations(raw.player_counts, carry=())), FACT, "date_day"
     )
+    counted = settle(counts_of_days(fact), HOURS)
     # A written fact knows its last day from its folders; otherwise a raw column is the cheapest.
     last_day = None if root else raw.player_counts.agg(F.to_date(F.max("logical_hour")))
     daily = dense_daily(fact, last_day)
-    trended = settle(trends(daily), "fct_player_trends_daily")
-    if root is not None:
+    trended = settle(trends(daily), TRENDS, "date_day")
+    if versions:
         # The daily fact is the first columns of the trends, so it need not be built twice.
         daily = trended.select(*daily.columns)
-    rows_once = (lambda frame: settled(frame, "board")) if root else None
-    board = settle_small(leaderboard(dim, fact, trended, rows_once), "game_leaderboard")
+    rows_once = (lambda frame: settled(frame, "board")) if versions else None
+    board = leaderboard(dim, fact, trended, rows_once, by_day=versions is not None)
+    board = settle(board, "game_leaderboard")
+    if versions:
+        versions.publish()
     return Model(
         stg_player_counts=normalize_observations(raw.player_counts, LINEAGE),
         stg_tracked_universe=registry,
@@ -112,7 +113,7 @@ def build(
         fct_player_counts=fact,
         fct_player_counts_daily=daily,
         fct_player_trends_daily=trended,
-        fct_snapshot_hours=hour_ledger(runs, fact, as_of),
+        fct_snapshot_hours=ledger_of_counts(runs, counted, as_of),
         game_leaderboard=board,
     )
 

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from tidemark import schemas
 from tidemark.functions.documents import text_at, value_at
 from tidemark.functions.text import grouped, signed_percent
-from tidemark.operators import audit, checks, ledger, merge, registry, reports
+from tidemark.operators import anomaly, audit, checks, ledger, merge, registry, reports
 from tidemark.operators.daily import daily_rollup, dense_daily, trends
 from tidemark.operators.metadata import extract_metadata, unwrap_details
 from tidemark.operators.observations import (
@@ -28,10 +28,24 @@ from tidemark.operators.ranking import top_k, with_dense_ranks
 from tidemark.plans import driver_tables as given
 from tidemark.plans import model
 from tidemark.plans.oracle import OUTAGES, compose
-from tidemark.plans.refresh import FACT, TRENDS, refresh
+from tidemark.plans.refresh import (
+    FACT,
+    HOURS,
+    TRENDS,
+    counts_of_days,
+    refresh,
+    refresh_hour_counts,
+)
 from tidemark.session import prepare, scratch_dir
 from tidemark.sources import landing, spines, tables
-from tidemark.sources.sinks import insert_player_counts, settled, write_days, write_version
+from tidemark.sources.sinks import (
+    insert_player_counts,
+    settled,
+    write_buckets,
+    write_days,
+    write_version,
+)
+from tidemark.sources.versions import Store
 from tidemark.streaming import observations as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -392,6 +406,40 @@ def hour_ledger(spark, sf):
     return given.ledger(spark, sf)
 
 
+LEDGER_GAPS = (
+    "tracked_count", "observed_count", "unobservable_count", "failed_count", "loaded_count",
+    "snapshot_rows", "latency_p50_ms", "latency_max_ms",
+)
+
+
+@query(
+    "ledger_incremental",
+    compose(f"SELECT {LEDGER_COLUMNS} FROM ledger", "ledger"),
+    gaps=LEDGER_GAPS,
+    flags=["is_high_water_mark"],
+)
+def ledger_incremental(spark, sf):
+    """The ledger over counts that were kept up to date by loads: history up to the middle day but
+    for one hour, then all later days, then the late hour, whose load reads its own day only."""
+    root = scratch_dir(spark, "hours")
+    store = Store(spark, root)
+    fact = settled(fact_native(given.side_observations(spark, sf)), "side")
+    first, last = given.event_days(spark, sf)
+    middle, late = first + (last - first) // 2, first + (last - first) // 4
+    day = F.col("date_day")
+    held_back = (day == F.lit(late)) & (F.col("hour_of_day") == 5)
+    write_days(fact.filter((day < F.lit(middle)) & ~held_back), f"{root}/{FACT}")
+    build = store.build()
+    build.write(HOURS, counts_of_days(store.read(FACT)))
+    build.publish()
+    later = [middle + timedelta(days=d) for d in range((last - middle).days + 1)]
+    for days in (later, [late]):
+        write_days(fact.filter(day.isin(*days)), f"{root}/{FACT}")
+        counted = refresh_hour_counts(store, days)
+    runs = ledger.normalize_runs(given.runs_raw(spark, sf))
+    return ledger.ledger_of_counts(runs, counted, given.day_after(spark, sf))
+
+
 @query(
     "missing_hours",
     compose(
@@ -586,6 +634,23 @@ def leaderboard(spark, sf):
     return board(spark, sf)
 
 
+@query(
+    "leaderboard_by_day", compose(f"SELECT {BOARD_COLUMNS} FROM board", "board"), flags=["is_free"]
+)
+def leaderboard_by_day(spark, sf):
+    """The board on trends kept in folders by day, of which it reads the current ones."""
+    root, trended = scratch_dir(spark, "by-day"), given.trend(spark, sf)
+    write_days(trended, f"{root}/{TRENDS}")
+    held = spark.read.schema(trended.schema).parquet(f"{root}/{TRENDS}")
+    return reports.leaderboard(
+        given.board_dim(spark, sf),
+        given.fact(spark, sf),
+        held,
+        lambda current: settled(current, "board"),
+        by_day=True,
+    )
+
+
 @query(
     "board_table",
     compose(
@@ -1181,6 +1246,22 @@ def upsert_replace(spark, sf):
     return merge.upsert(target, newest, ["o_orderkey"])
 
 
+@query(
+    "upsert_in_buckets",
+    f"SELECT * FROM ({ORACLE['upsert_replace']})",
+    gaps=["counter"],
+)
+def upsert_in_buckets(spark, sf):
+    """The upsert of two loads, one after the other, into a target laid out by its key."""
+    target, incoming = order_sides(spark, sf)
+    key, root = ["o_orderkey"], scratch_dir(spark, "buckets")
+    held = write_buckets(target, f"{root}/orders-0", key, 8)
+    for number, share in enumerate((0, 1), 1):
+        load = incoming.filter(F.col("o_orderkey") % 2 == share)
+        held = write_buckets(merge.upsert(held, load, key), f"{root}/orders-{number}", key, 8)
+    return held
+
+
 @query(
     "upsert_first_non_null",
     """SELECT o_orderkey,
@@ -1767,6 +1848,116 @@ def checks_freshness(spark, sf):
     return checks.stale(given.table(spark, sf, "events"), "ts", datetime(2024, 2, 2), 26)
 
 
+ANOMALIES = f"""WITH hours AS (
+    SELECT date_trunc('hour', ts) AS h, count(DISTINCT user_id) AS n,
+      CAST(epoch(date_trunc('hour', ts)) // 3600 AS BIGINT) AS k
+    FROM events GROUP BY 1, 3),
+  counted AS (
+    SELECT h, n * CASE WHEN k % 89 = 7 THEN 4 ELSE 1 END AS n FROM hours WHERE k % 97 <> 13),
+  dense AS (
+    SELECT s.h, coalesce(n, 0) AS n FROM (
+      SELECT unnest(generate_series((SELECT min(h) FROM counted),
+        (SELECT date_trunc('hour', max(ts)) FROM events), INTERVAL 1 HOUR)) AS h) s
+    LEFT JOIN counted USING (h)),
+  past AS (
+    SELECT h, n, coalesce(list(n) OVER (PARTITION BY isodow(h), extract(hour FROM h) ORDER BY h
+      ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING), []) AS w FROM dense),
+  middle AS (SELECT *, CAST(list_aggregate(w, 'median') AS DOUBLE) AS m FROM past),
+  spread AS (
+    SELECT *, CAST(list_aggregate(list_transform(w, lambda x: abs(x - m)), 'median') AS DOUBLE) AS d
+    FROM middle WHERE len(w) >= 3),
+  judged AS (
+    SELECT *, greatest(d * {3.0 * anomaly.SIGMA!r}::DOUBLE, m * 0.1::DOUBLE, 1.0::DOUBLE) AS allowed
+    FROM spread)
+  SELECT CAST(h AS VARCHAR) AS logical_hour, n AS snapshot_rows, CAST(len(w) AS BIGINT) AS weeks_seen,
+    m AS expected, d AS spread, CASE WHEN n < m THEN 'drop' ELSE 'spike' END AS kind
+  FROM judged WHERE n < m - allowed OR n > m + allowed"""
+
+
+@query("checks_row_anomaly", ANOMALIES)
+def checks_row_anomaly(spark, sf):
+    """Hours whose rows are far from those of the same hour in the weeks before. Of the given
+    observations every 97th hour is lost and every 89th comes fourfold."""
+    rows = normalize_observations(given.observations(spark, sf), carry=())
+    hour = F.floor(F.unix_timestamp("logical_hour") / 3600)
+    copies = F.when(hour % 89 == 7, F.sequence(F.lit(0), F.lit(3))).otherwise(F.array(F.lit(0)))
+    seeded = rows.filter(hour % 97 != 13).withColumn("copy", F.explode(copies))
+    last = given.table(spark, sf, "events").agg(F.max("ts")).scalar()
+    return anomaly.row_count_anomalies(ledger.hour_counts(seeded), last)
+
+
+@query(
+    "checks_recently_short",
+    compose(
+        """SELECT CAST(logical_hour AS VARCHAR) AS logical_hour, status,
+          CAST(failed_count AS BIGINT) AS failed_count, CAST(loaded_count AS BIGINT) AS loaded_count
+        FROM ledger WHERE status = 'ran_short'
+          AND logical_hour > (SELECT max(ts) FROM events) - INTERVAL 48 HOUR
+          AND logical_hour <= (SELECT max(ts) FROM events)""",
+        "ledger",
+    ),
+)
+def checks_recently_short(spark, sf):
+    last = given.table(spark, sf, "events").agg(F.max("ts")).scalar()
+    return checks.recently_short(given.ledger(spark, sf), last, 48)
+
+
+def refresh_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Urgent open orders as records of catalog runs: days with several, and days without any."""
+    urgent = given.table(spark, sf, "orders").filter(
+        "o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'"
+    )
+    return urgent.select(
+        F.col("o_orderkey").cast("string").alias("run_id"),
+        F.col("o_orderdate").alias("logical_date"),
+        (F.col("o_orderdate") + F.expr("interval 1 minute") * (F.col("o_custkey") % 600)).alias(
+            "recorded_at"
+        ),
+        F.col("o_custkey").cast("int").alias("app_list_count"),
+        F.lit(100).alias("chart_count"),
+        (F.col("o_orderkey") % 7).cast("int").alias("newly_tracked_count"),
+    )
+
+
+REFRESHED = """refreshed AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS run_id, CAST(o_orderdate AS DATE) AS d,
+    o_orderdate + INTERVAL 1 MINUTE * (o_custkey % 600) AS recorded_at,
+    o_custkey AS app_list_count, o_orderkey % 7 AS newly_tracked_count
+  FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'),
+recorded AS (
+  SELECT *, count(*) OVER (PARTITION BY d) AS attempts, row_number() OVER (
+    PARTITION BY d ORDER BY recorded_at DESC, run_id DESC) AS rn FROM refreshed),
+days AS (
+  SELECT CAST(unnest(generate_series((SELECT min(d) FROM refreshed),
+    (SELECT CAST(max(o_orderdate) AS DATE) FROM orders), INTERVAL 1 DAY)) AS DATE) AS d)"""
+
+
+@query(
+    "catalog_days",
+    f"""WITH {REFRESHED}
+    SELECT CAST(days.d AS VARCHAR) AS date_day, run_id IS NOT NULL AS is_recorded, run_id,
+      CAST(recorded_at AS VARCHAR) AS recorded_at, app_list_count,
+      CASE WHEN run_id IS NOT NULL THEN 100 END AS chart_count, newly_tracked_count,
+      coalesce(attempts, 0) AS attempts
+    FROM days LEFT JOIN recorded ON recorded.d = days.d AND rn = 1""",
+    gaps=["app_list_count", "chart_count", "newly_tracked_count"],
+)
+def catalog_days(spark, sf):
+    """Every day up to the last order with the last catalog record of the day, if there is one."""
+    last = given.table(spark, sf, "orders").agg(F.max("o_orderdate")).scalar()
+    return ledger.catalog_days(refresh_runs(spark, sf), last)
+
+
+@query(
+    "checks_unrecorded_days",
+    f"""WITH {REFRESHED}
+    SELECT CAST(d AS VARCHAR) AS date_day FROM days WHERE d NOT IN (SELECT d FROM refreshed)""",
+)
+def checks_unrecorded_days(spark, sf):
+    last = given.table(spark, sf, "orders").agg(F.max("o_orderdate")).scalar()
+    return checks.unrecorded_days(ledger.catalog_days(refresh_runs(spark, sf), last))
+
+
 CHECK_NAMES = """dim_game.app_id.unique dim_game.app_id.not_null dim_date.date_day.unique
   dim_date.date_day.not_null fct_snapshot_hours.logical_hour.unique
   fct_snapshot_hours.logical_hour.not_null game_leaderboard.app_id.unique

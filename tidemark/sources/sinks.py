@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Collection, Sequence
 from datetime import date
-from pyspark.sql import DataFrame
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.merge import absent_rows
 from tidemark.session import scratch_dir
@@ -60,6 +63,44 @@ def write_version(state: DataFrame, root: str, version: str) -> str:
     return path
 
 
+def write_buckets(
+    state: DataFrame, path: str, key: Sequence[str], buckets: int
+) -> DataFrame:
+    """Write a state in `buckets` files of rows with the same hash of their key, sorted by it, and
+    return it as `read_buckets` does.
+
+    Rows are dealt out by that hash first, so a bucket is one file and an upsert of the next load
+    finds the target arranged. Choose `buckets` so that one fits a task with ease.
+    """
+    spark = state.sparkSession
+    name = f"{scratch_name(path)}_write"
+    dealt = state.repartition(buckets, *[F.col(c) for c in key])
+    writer = dealt.write.mode("error").bucketBy(buckets, *key).sortBy(*key)
+    writer.option("path", path).saveAsTable(name)
+    spark.sql(f"DROP TABLE {name}")  # the table is external: its files stay
+    return read_buckets(spark, path, state.schema, key, buckets)
+
+
+def read_buckets(
+    spark: SparkSession, path: str, schema: T.StructType, key: Sequence[str], buckets: int
+) -> DataFrame:
+    """A bucketed state from its files alone, whichever session wrote them."""
+    name = scratch_name(path)
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        keys = ", ".join(f"`{c}`" for c in key)
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({keys}) "
+            f"SORTED BY ({keys}) INTO {buckets} BUCKETS LOCATION '{path}'"
+        )
+    return spark.table(name)
+
+
+def scratch_name(path: str) -> str:
+    """A table name of its own for a path."""
+    return f"tidemark_{hashlib.sha256(path.encode()).hexdigest()[:24]}"
+
+
 def write_days(fact: DataFrame, path: str, day: str = "date_day", whole: bool = False) -> None:
     """Write a fact partitioned by day, replacing only the days that occur in it.
 

@@ -28,6 +28,13 @@ def hours_between(first: DataFrame, last: datetime | Column, name: str) -> DataF
     return bounds.select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 hour"))).alias(name))
 
 
+def days_of(first: DataFrame, last: datetime | Column, name: str) -> DataFrame:
+    """Every day from the single value in `first` to the day of `last`; else as `hours_between`."""
+    end = F.to_date(last if isinstance(last, Column) else F.lit(last).cast("timestamp"))
+    bounds = first.toDF("lo").select("lo", end.alias("hi")).filter("lo <= hi")
+    return bounds.select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias(name))
+
+
 def dim_date(
     spark: SparkSession, start: date = CALENDAR_START, end: date = CALENDAR_END
 ) -> DataFrame:
