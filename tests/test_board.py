@@ -8,6 +8,7 @@ from datetime import timedelta
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tests.support import at, plan_of, rows
 from tidemark.operators import checks, registry, reports
@@ -76,8 +77,9 @@ def test_summary_of_an_empty_board(spark):
 def test_ranks_use_no_single_ordered_task(spark):
     df = spark.range(100).selectExpr("id % 7 as v")
     plan = plan_of(dense_ranks(df, "v", "r"))
-    window = [line for line in plan.split("\n") if "row_number()" in line]
-    assert window and all("slice" in line for line in window)
+    # The one window runs over the pieces' counts; values are sorted within their pieces only.
+    window = [line for line in plan.split("\n") if "Window [" in line]
+    assert window and all("piece" in line and "row_number" not in line for line in window)
 
 
 @settings(max_examples=8, deadline=None)
@@ -121,14 +123,23 @@ def test_profile_uses_only_full_days(spark):
 
 
 def test_a_narrow_range_is_ranked_in_pieces(spark):
-    """A million values within a thousandth of their size: the plan cuts their slice."""
+    """A million values within a thousandth of their size."""
     n = 1_000_000
     df = spark.range(0, n, 1, 8).selectExpr("1000000000 + id as v")
     got = dense_ranks(df, "v", "r")
     wrong = got.filter(f"r <> 1000000000 + {n} - v").count()
     assert (got.count(), wrong) == (n, 0)
-    sizes = pieces(df, "v").groupBy("slice", "piece").count()
-    assert sizes.agg({"count": "max"}).first()[0] < n / 5
+
+
+def test_crowded_values_share_no_task(spark):
+    """A million values in one sliver of a wide range: no task has three times the median."""
+    n = 1_000_000
+    crowd = spark.range(0, n, 1, 8).selectExpr("0.5 + id / 1e15 as v")
+    df = crowd.unionByName(spark.range(0, 1000).selectExpr("id * 1e12 as v"))
+    sizes = pieces(df, "v").groupBy((F.col("place") / 2**33).cast("bigint")).count()
+    sizes = sorted(r["count"] for r in sizes.collect())
+    assert len(sizes) >= 8 and sizes[-1] <= 3 * sizes[len(sizes) // 2]
+    assert dense_ranks(df, "v", "r").agg({"r": "max"}).first()[0] == df.distinct().count()
 
 
 def test_an_unknown_status_stops_the_grid(spark):

@@ -179,3 +179,23 @@ def test_killed_load_is_finished_by_running_it_again(spark, tmp_path):
     held = merge.upsert(merge.upsert(created, before, ["run_id"]), after, ["run_id"])
     assert rows(held, *columns) == [("r1", 106, 105, [gone], 105), ("r2", None, None, None, 0)]
     assert rows(normalize_runs(held), "run_id", "failed_count") == [("r1", 0), ("r2", None)]
+
+
+def test_a_large_day_lands_from_many_tasks(spark, tmp_path):
+    """Whatever the caller names: the day's documents are counted, and small days stay whole."""
+    days = spark.range(100_000).selectExpr(
+        "if(id < 99990, date'2026-09-10', date'2026-09-11') dt", "id app_id", "'x' envelope"
+    )
+    landing.write_documents(days, str(tmp_path), landing.APP_DETAILS, ["dt"])
+    files = {d: len(list((tmp_path / landing.APP_DETAILS / f"dt={d}").glob("part-*.json")))
+             for d in ("2026-09-10", "2026-09-11")}
+    assert files["2026-09-10"] >= 8 and files["2026-09-11"] == 1
+    held = spark.read.json(f"{tmp_path}/{landing.APP_DETAILS}")
+    assert held.agg({"app_id": "sum"}).first()[0] == sum(range(100_000))
+
+
+def test_documents_that_cannot_be_hashed_and_days_without_name(spark, tmp_path):
+    rows_ = spark.createDataFrame([(None, {"a": 1}), (None, {"a": 2})], "dt date, m map<string,int>")
+    landing.write_documents(rows_, str(tmp_path), landing.APP_DETAILS, ["dt"])
+    assert spark.read.json(f"{tmp_path}/{landing.APP_DETAILS}").count() == 2
+    landing.write_documents(rows_.limit(0), str(tmp_path / "e"), landing.APP_DETAILS, ["dt"])

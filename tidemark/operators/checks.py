@@ -15,17 +15,35 @@ from tidemark.schemas import HOUR_STATUSES
 
 
 class Check(NamedTuple):
-    """Violating rows under a name. A check on single rows also holds its table and predicate."""
+    """Violating rows under a name. Checks of the three common kinds also say what they look at,
+    so that many of them can be counted in one pass: a predicate on single rows of a table, a key
+    of it that must not repeat, or a column whose values a parent's column must hold."""
 
     name: str
     violations: DataFrame
     severity: str = "error"
     rule: tuple[DataFrame, str] | None = None
+    key: tuple[DataFrame, tuple[str, ...]] | None = None
+    reference: tuple[DataFrame, str, DataFrame, str] | None = None
 
 
 def row_check(name: str, table: DataFrame, predicate: str, severity: str = "error") -> Check:
     """A check that looks at one row at a time; the predicate is true on a violation."""
-    return Check(name, table.filter(predicate), severity, (table, predicate))
+    return Check(name, table.filter(predicate), severity, rule=(table, predicate))
+
+
+def key_check(name: str, table: DataFrame, *key: str) -> Check:
+    """No key may occur twice."""
+    return Check(name, duplicates(table, *key), key=(table, key))
+
+
+def reference_check(
+    name: str, child: DataFrame, column: str, parent: DataFrame, key: str
+) -> Check:
+    """Every value of the child's column is in the parent's."""
+    return Check(
+        name, orphans(child, column, parent, key), reference=(child, column, parent, key)
+    )
 
 
 # ---- families ----
@@ -184,26 +202,104 @@ def unflagged_unobservable(
 def summarize(checks: Iterable[Check]) -> DataFrame:
     """(check, severity, violations) for a list of checks.
 
-    Checks on single rows of one table are counted together, in one pass over it.
+    Rows of a table are looked at once for all its rules. Keys of all tables are counted in one
+    aggregate, and references to one parent are folded and matched together. Checks that ask the
+    same of the same table are counted once.
     """
-    by_table: dict[int, list[Check]] = {}
-    alone: list[Check] = []
+    rules: dict[int, list[Check]] = {}
+    keys: dict[tuple, list[Check]] = {}
+    parents: dict[tuple, dict[tuple, list[Check]]] = {}
+    counted: list[DataFrame] = []
     for check in checks:
         if check.rule:
-            by_table.setdefault(id(check.rule[0]), []).append(check)
+            rules.setdefault(id(check.rule[0]), []).append(check)
+        elif check.key and _has_common_shape(*check.key):
+            table, key = check.key
+            keys.setdefault((id(table), key), []).append(check)
+        elif check.reference:
+            child, column, parent, key = check.reference
+            asked = parents.setdefault((id(parent), key), {})
+            asked.setdefault((id(child), column), []).append(check)
         else:
-            alone.append(check)
-
-    def line(check: Check, violations: Column) -> Column:
-        return F.struct(
-            F.lit(check.name).alias("check"),
-            F.lit(check.severity).alias("severity"),
-            violations.alias("violations"),
-        )
-
-    counted = [check.violations.agg(line(check, F.count(F.lit(1))).alias("l")) for check in alone]
-    for group in by_table.values():
+            counted.append(check.violations.agg(_line(check, F.count(F.lit(1))).alias("l")))
+    for group in rules.values():
         table = group[0].rule[0]
-        lines = [line(check, F.count_if(F.expr(check.rule[1]))) for check in group]
+        lines = [_line(check, F.count_if(F.expr(check.rule[1]))) for check in group]
         counted.append(table.agg(F.array(*lines).alias("ls")).select(F.explode("ls").alias("l")))
+    if keys:
+        counted.append(_named(list(keys.values()), _repeated(list(keys.values()))))
+    for asked in parents.values():
+        counted.append(_named(list(asked.values()), _unknown(list(asked.values()))))
     return reduce(DataFrame.unionByName, counted).select("l.*")
+
+
+def _line(check: Check, violations: Column) -> Column:
+    return F.struct(
+        F.lit(check.name).alias("check"),
+        F.lit(check.severity).alias("severity"),
+        violations.alias("violations"),
+    )
+
+
+def _named(groups: list[list[Check]], counts: DataFrame) -> DataFrame:
+    """Lines of all checks from (number, violations) of the groups that have any; one row of
+    numbers stands for all, so a group without violations has its line too."""
+    found = counts.agg(F.map_from_entries(F.collect_list(F.struct("number", "violations"))).alias("m"))
+    lines = [
+        _line(check, F.coalesce(F.try_element_at("m", F.lit(k)), F.lit(0).cast("bigint")))
+        for k, group in enumerate(groups)
+        for check in group
+    ]
+    return found.select(F.explode(F.array(*lines)).alias("l"))
+
+
+NUMBERS = ("tinyint", "smallint", "int", "bigint", "date", "timestamp")
+
+
+def _has_common_shape(table: DataFrame, key: tuple[str, ...]) -> bool:
+    """Up to two numbers and two texts; other keys are counted each for themselves."""
+    kinds = [dict(table.dtypes)[c] for c in key]
+    texts = kinds.count("string")
+    return texts <= 2 and len(kinds) - texts <= 2 and set(kinds) <= {*NUMBERS, "string"}
+
+
+def _repeated(groups: list[list[Check]]) -> DataFrame:
+    """(number, violations): keys that occur more than once, all tables in one aggregate.
+
+    Keys are brought to one shape: whole numbers, times and days as numbers, texts as they are.
+    """
+    rows = []
+    for k, group in enumerate(groups):
+        table, key = group[0].key
+        present = reduce(Column.__and__, [F.col(c).isNotNull() for c in key])
+        kinds = dict(table.dtypes)
+        numbers = [_as_number(c, kinds[c]) for c in key if kinds[c] != "string"]
+        texts = [F.col(c) for c in key if kinds[c] == "string"]
+        numbers += [F.lit(None).cast("bigint")] * (2 - len(numbers))
+        texts += [F.lit(None).cast("string")] * (2 - len(texts))
+        shape = [x.alias(n) for x, n in zip([*numbers, *texts], ("i", "j", "s", "t"))]
+        rows.append(table.filter(present).select(F.lit(k).alias("number"), *shape))
+    seen = reduce(DataFrame.unionAll, rows).groupBy("number", "i", "j", "s", "t").count()
+    return seen.filter("count > 1").groupBy("number").agg(F.count(F.lit(1)).alias("violations"))
+
+
+def _as_number(column: str, kind: str) -> Column:
+    if kind == "timestamp":
+        return F.unix_micros(column)
+    return F.unix_date(column).cast("bigint") if kind == "date" else F.col(column).cast("bigint")
+
+
+def _unknown(groups: list[list[Check]]) -> DataFrame:
+    """(number, violations): rows whose reference one parent lacks, references folded first."""
+    _, _, parent, key = groups[0][0].reference
+    rows = [
+        group[0].reference[0].select(
+            F.lit(k).alias("number"), F.col(group[0].reference[1]).alias("reference")
+        )
+        for k, group in enumerate(groups)
+    ]
+    folded = reduce(DataFrame.unionAll, rows).filter("reference is not null")
+    folded = folded.groupBy("number", "reference").agg(F.count(F.lit(1)).alias("n"))
+    known = parent.select(F.col(key).alias("reference"))
+    lost = folded.join(known, "reference", "left_anti")
+    return lost.groupBy("number").agg(F.sum("n").alias("violations"))

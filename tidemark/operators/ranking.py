@@ -7,70 +7,47 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Slices per doubling of the value. A slice then spans about 1 % of its values, and the number
-# of slices is bounded by the width of the value type, never by the rows.
-SLICES_PER_DOUBLING = 64
+from tidemark.sources.sinks import settled
 
-# A slice with more distinct values than this is cut into pieces of equal width.
+# Distinct values that one task puts in order.
 PIECE_ROWS = 100_000
 
 
-def _slice(value: Column) -> Column:
-    """An order-preserving slice number: equal values share one, larger ones never sink.
+def pieces(df: DataFrame, value: str) -> DataFrame:
+    """Every distinct non-null value with `place`: above 33 bits the number of the piece of the
+    value range it lies in, from the largest values on, and below them its place in the piece.
 
-    Infinite values lie outside all others, and NaN, the largest value there is, beside them.
+    Pieces are cut where a sample of the distinct values says that they hold equally many, so
+    values that crowd anywhere are spread as evenly as others. Both steps are written: what a task
+    is given must not change when another is repeated.
     """
-    size = value.cast("double")
-    edge = 2048 * SLICES_PER_DOUBLING
-    height = F.floor(F.log2(F.abs(size) + 1.0) * SLICES_PER_DOUBLING)
-    return (
-        F.when(F.isnan(size) | (size == float("inf")), edge)
-        .when(size == float("-inf"), -edge - 1)
-        .when(size < 0, -height - 1)
-        .otherwise(height)
-    )
-
-
-def pieces(df: DataFrame, value: str) -> DataFrame:
-    """Every distinct non-null value with its slice and the piece of that slice, both in order."""
-    values = df.select(value).filter(F.col(value).isNotNull()).distinct()
-    sliced = values.withColumn("slice", _slice(F.col(value)))
-    size = F.col(value).cast("double")
-    spans = sliced.groupBy("slice").agg(
-        F.min(size).alias("least"),
-        F.max(size).alias("most"),
-        F.ceil(F.count(F.lit(1)) / PIECE_ROWS).alias("cuts"),
-    )
-    share = (size - F.col("least")) / (F.col("most") - F.col("least"))
-    wide = (F.col("cuts") > 1) & (F.col("most") > F.col("least"))
-    piece = F.when(wide, F.floor(share * F.col("cuts"))).otherwise(0)
-    return sliced.join(spans, "slice").select(value, "slice", piece.alias("piece"))
+    values = settled(df.select(value).filter(F.col(value).isNotNull()).distinct(), "values")
+    cuts = -(-values.count() // PIECE_ROWS) or 1
+    order = F.col(value).desc()
+    # Numbers of rows in the order of a sorted partition, above them the partition's number.
+    placed = values.repartitionByRange(cuts, order).sortWithinPartitions(order)
+    return settled(placed.withColumn("place", F.monotonically_increasing_id()), "places")
 
 
 def dense_ranks(df: DataFrame, value: str, name: str) -> DataFrame:
     """(value, rank) for every distinct non-null value, 1 for the largest, no holes.
 
     A window ordered over the whole table would sort it in one task. Here equal values are
-    folded first, each piece of the value range is ranked by itself, and the number of values
-    in the pieces above is added. A slice of the range that holds many values is cut further,
-    between its least and its largest value. Pieces depend on the values alone, so the plan is
-    the same on every attempt and nothing is sampled.
+    folded first, each piece of the value range is put in order by itself, and the number of
+    values in the pieces above is added.
     """
-    cut = pieces(df, value)
-    within = Window.partitionBy("slice", "piece").orderBy(F.col(value).desc())
+    placed = pieces(df, value)
+    piece = F.shiftright("place", 33)
     # One row per piece, so one task may order them.
-    above = Window.orderBy(F.col("slice").desc(), F.col("piece").desc()).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    above = Window.orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        cut.groupBy("slice", "piece")
+        placed.groupBy(piece.alias("piece"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .select("slice", "piece", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("offset"))
+        .select("piece", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("offset"))
     )
-    return (
-        cut.withColumn("place", F.row_number().over(within))
-        .join(offsets, ["slice", "piece"])
-        .select(value, (F.col("place") + F.col("offset")).cast("int").alias(name))
+    within = F.col("place").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return placed.join(offsets, piece == F.col("piece")).select(
+        value, (within + F.col("offset")).cast("int").alias(name)
     )
 
 

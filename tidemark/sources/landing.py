@@ -23,6 +23,9 @@ APP_DETAILS = "raw/app-details"
 # Fixed value: times in documents keep their microseconds and their offset.
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
+# Documents of one interval that one task writes.
+DOCUMENTS_PER_TASK = 5_000
+
 
 def _day(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd")
@@ -98,6 +101,41 @@ def read_details(spark: SparkSession, root: str) -> DataFrame:
     return read_documents(spark, root, APP_DETAILS, schemas.APP_DETAILS)
 
 
+def _hashable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _hashable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_hashable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
+def spread(documents: DataFrame, interval: Sequence[str], parts: Sequence[str] = ()) -> DataFrame:
+    """Documents dealt out to tasks by interval, a large interval over as many tasks as its number
+    of documents asks for.
+
+    The documents of each interval are counted first, which reads the interval's columns only.
+    Within an interval a document goes by its `parts` and a hash of its contents, so a task that
+    is run again gets the same documents.
+    """
+    spark = documents.sparkSession
+    counts = documents.groupBy(*interval).agg(F.count(F.lit(1)).alias("__documents"))
+    total, groups = counts.agg(F.sum("__documents"), F.count(F.lit(1))).first()
+    tasks = max(1, -(-(total or 0) // DOCUMENTS_PER_TASK))
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    large = counts.filter(F.col("__documents") > DOCUMENTS_PER_TASK).select(
+        *[F.col(c).alias(f"__{c}") for c in interval],
+        F.ceil(F.col("__documents") / DOCUMENTS_PER_TASK).alias("__tasks"),
+    )
+    fields = [f.name for f in documents.schema.fields if _hashable(f.dataType)]
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in interval]
+    # Few intervals are large: the others are not in this table.
+    salted = documents.join(large, same, "left").withColumn(
+        "__salt", F.pmod(F.xxhash64(*fields), F.coalesce("__tasks", F.lit(1)))
+    )
+    dealt = salted.repartition(max(tasks, min(groups, usual), 1), *interval, *parts, "__salt")
+    return dealt.select(*documents.columns)
+
+
 def write_documents(
     documents: DataFrame,
     root: str,
@@ -109,14 +147,13 @@ def write_documents(
 
     An interval that is written again is replaced, the others stay, so the caller names it: a
     kind that lands hourly must have the hour among its columns, or one hour would replace the
-    rest of its day. Documents are spread over tasks by interval and by `parts`, which divides an
-    interval that has very many of them.
+    rest of its day. Documents are spread over tasks by `spread`: an interval with very many is
+    no one task's, whether or not the caller names `parts` that divide it.
     The output committer publishes a task's files when the task succeeds, so a lost executor
     leaves nothing behind.
     """
-    partitions = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        documents.repartition(partitions, *interval, *parts)
+        spread(documents, interval, parts)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("timestampFormat", TIME_FORMAT)
