@@ -116,3 +116,59 @@ def test_repeated_delivery_is_dropped(spark, tmp_path):
         streaming.append_files(once, f"{tmp_path}/out", f"{tmp_path}/checkpoint")
     )
     assert spark.read.parquet(f"{tmp_path}/out").count() == 4
+
+
+def observed(spark, path, *batches):
+    """A stream of rows (app_id, minute, value), one file per batch and in that order."""
+    for batch in batches:
+        made = [(a, START + timedelta(minutes=m), v) for a, m, v in batch]
+        frame = spark.createDataFrame(made, "app_id bigint, logical_hour timestamp, player_count int")
+        frame.coalesce(1).write.mode("append").parquet(path)
+    reader = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1)
+    return reader.parquet(path)
+
+
+def corrected(spark, tmp_path, *batches):
+    stream = streaming.corrected_hours(observed(spark, f"{tmp_path}/in", *batches))
+    streaming.run_to_end(
+        streaming.write_changes(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+    )
+    return spark.read.parquet(f"{tmp_path}/out")
+
+
+def test_a_closed_hour_is_corrected_by_an_earlier_row(spark, tmp_path):
+    changes = corrected(
+        spark, tmp_path,
+        [(1, 20, 5), (2, 30, 8)],
+        [(1, 70, 6)],  # the first hour is over,
+        [(2, 75, 1)],  # and known to be over from the next load on
+        [(1, 10, 4), (2, 40, 9)],  # late: the one is earlier, the other is not
+        [(1, 100, 7)],
+    )
+    first = changes.filter("logical_hour = timestamp'2026-09-10 00:00:00'")
+    assert rows(first, "app_id", "player_count", "corrects") == [
+        (1, 4, True), (1, 5, False), (2, 8, False),
+    ]
+    held = streaming.read_changes(spark, f"{tmp_path}/out", "app_id", "logical_hour")
+    assert rows(held.filter("hour(logical_hour) = 0"), "app_id", "player_count") == [(1, 4), (2, 8)]
+
+
+def test_any_order_up_to_two_hours_late_equals_a_batch(spark, tmp_path):
+    import random
+
+    draw = random.Random(3)
+    made = [(draw.randrange(4), m, draw.randrange(100)) for m in range(0, 600, 3)]
+    arrivals = sorted(made, key=lambda r: r[1] + draw.randrange(119))
+    batches = [arrivals[k : k + 25] for k in range(0, len(arrivals), 25)]
+    corrected(spark, tmp_path, *batches)
+    held = streaming.read_changes(spark, f"{tmp_path}/out", "app_id", "logical_hour")
+    first = {}
+    for a, m, v in made:
+        first[a, m // 60] = min(first.get((a, m // 60), (m, v)), (m, v))
+    newest = max(m for _, m, _ in made)
+    want = sorted(
+        ((a, START + timedelta(hours=h), v) for (a, h), (_, v) in first.items()
+         if (h + 1) * 60 <= newest),
+        key=repr,
+    )
+    assert rows(held, "app_id", "logical_hour", "player_count") == want

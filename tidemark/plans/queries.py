@@ -1624,6 +1624,37 @@ def stream_latest(spark, sf):
     return streaming.read_changes(spark, f"{root}/out", "app_id").select("app_id", "player_count")
 
 
+@query(
+    "stream_corrected",
+    compose(
+        """SELECT app_id, CAST(logical_hour AS VARCHAR) AS logical_hour, player_count
+        FROM obs_staged
+        WHERE logical_hour + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events)""",
+        "obs_staged",
+    ),
+)
+def stream_corrected(spark, sf):
+    """Observations that arrive up to two hours late, in eight loads: every hour that the stream
+    has passed, as last corrected."""
+    root, slices = scratch_dir(spark, "corrected"), 8
+    events = given.table(spark, sf, "events")
+    delay = F.make_dt_interval(mins=(F.col("event_id") * 53 % 119).cast("int"))
+    arrived = events.withColumn("arrived", F.unix_micros(F.col("ts") + delay))
+    span = arrived.agg(F.min("arrived").alias("low"), F.max("arrived").alias("high")).first()
+    width = ((span.high or 0) - (span.low or 0)) // slices + 1
+    part = F.floor((F.col("arrived") - F.lit(span.low or 0)) / F.lit(width))
+    arrived = settled(arrived.withColumn("part", part), "arrived")
+    for k in range(slices):  # one file after the other, as loads come
+        load = arrived.filter(F.col("part") == k).drop("part", "arrived")
+        load.coalesce(1).write.mode("append").parquet(f"{root}/landed")
+    schema = given.SCHEMAS["events"].replace("timestamp_ntz", "timestamp")
+    landed = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+    stream = streaming.corrected_hours(given.to_observations(landed.parquet(f"{root}/landed")))
+    streaming.run_to_end(streaming.write_changes(stream, f"{root}/out", f"{root}/checkpoint"))
+    held = streaming.read_changes(spark, f"{root}/out", "app_id", "logical_hour")
+    return held.select("app_id", "logical_hour", "player_count")
+
+
 @query(
     "stream_load",
     """SELECT app_id, CAST(date_trunc('hour', quarter) AS VARCHAR) AS logical_hour, player_count

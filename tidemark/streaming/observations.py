@@ -7,12 +7,12 @@ which is what an hourly schedule needs.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from tidemark import schemas
 from tidemark.operators.audit import bundle_rows
@@ -20,6 +20,10 @@ from tidemark.operators.observations import within_staleness
 from tidemark.sources.landing import PLAYER_COUNTS
 from tidemark.sources.sinks import insert_player_counts
 
+HOUR_MS = 3_600_000
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # How long after its hour an observation may still begin, and so how long state is kept.
 STALENESS = "2 hours"
 
@@ -60,6 +64,84 @@ def first_in_hour(observations: DataFrame, watermark: str = STALENESS) -> DataFr
     )
 
 
+class CorrectedHours(StatefulProcessor):
+    """Earliest observation of one entity and hour: emitted when the stream has gone past the
+    hour, and again whenever a row that is still accepted turns out to be earlier.
+
+    Two timers per hour. At the first, event time has left the hour, and what is known is emitted.
+    At the second the watermark has left it too: no row can be accepted any more and the state
+    goes. Rows in between are the late ones, and cost a correction only if they are earlier.
+    Times are whole numbers here, hours in milliseconds and observations in microseconds.
+    """
+
+    def __init__(self, patience_ms: int):
+        self.patience_ms = patience_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.best = handle.getValueState("best", "at long, player_count long, emitted boolean")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        known = self.best.get() if self.best.exists() else None
+        at, value, emitted = known or (None, None, False)
+        first = min((r.at, r.player_count) for r in rows)
+        if known and (at, value) <= first:
+            return
+        self.best.update((*first, emitted))
+        if known is None:
+            hour_end = key[1] + HOUR_MS
+            now = timerValues.getCurrentWatermarkInMs()
+            for expiry in (hour_end - self.patience_ms, hour_end):
+                self.handle.registerTimer(max(expiry, now + 1))
+        if emitted:
+            yield self._row(key, first[1], True)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if not self.best.exists():
+            return
+        at, value, emitted = self.best.get()
+        if not emitted:
+            self.best.update((at, value, True))
+            yield self._row(key, value, False)
+        if timerValues.getCurrentWatermarkInMs() >= key[1] + HOUR_MS:
+            self.best.clear()
+
+    def close(self) -> None:
+        pass
+
+    @staticmethod
+    def _row(key, value: int, corrects: bool) -> Row:
+        return Row(app_id=key[0], hour=key[1], player_count=value, corrects=corrects)
+
+
+def corrected_hours(observations: DataFrame, patience_hours: int = 2) -> DataFrame:
+    """Earliest observation per entity and hour, early and then corrected, for update mode.
+
+    Where `first_in_hour` holds an hour back until it can no longer change, this emits it as soon
+    as the stream has passed it, and emits a row that `corrects` it for every earlier observation
+    that comes up to `patience_hours` behind the newest. The last row of an entity and hour is
+    what a batch over all accepted rows gives, in whatever order they came. Equal times are
+    decided by the smaller count. State is one row per entity and open hour, in RocksDB.
+    """
+    spark = observations.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    rows = observations.withWatermark("logical_hour", f"{patience_hours} hours").select(
+        "app_id",
+        F.unix_millis(F.date_trunc("hour", "logical_hour")).alias("hour"),
+        F.unix_micros("logical_hour").alias("at"),
+        F.col("player_count").cast("bigint").alias("player_count"),
+        "logical_hour",
+    )
+    emitted = rows.groupBy("app_id", "hour").transformWithState(
+        CorrectedHours(patience_hours * HOUR_MS),
+        "app_id bigint, hour bigint, player_count bigint, corrects boolean",
+        "update",
+        "eventTime",
+    )
+    hour = F.timestamp_millis("hour").alias("logical_hour")
+    return emitted.select("app_id", hour, "player_count", "corrects")
+
+
 def first_delivery(observations: DataFrame, watermark: str = STALENESS) -> DataFrame:
     """Drop repeated deliveries of the same (entity, time) while the watermark remembers them."""
     return observations.withWatermark("logical_hour", watermark).dropDuplicatesWithinWatermark(
@@ -131,11 +213,11 @@ def write_changes(stream: DataFrame, path: str, checkpoint: str) -> StreamingQue
     )
 
 
-def read_changes(spark: SparkSession, path: str, key: str) -> DataFrame:
+def read_changes(spark: SparkSession, path: str, *key: str) -> DataFrame:
     """The current row of each key, from the changes written so far."""
     changes = spark.read.parquet(path)
-    values = [c for c in changes.columns if c not in (key, "batch")]
-    return changes.groupBy(key).agg(*[F.max_by(c, "batch").alias(c) for c in values])
+    values = [c for c in changes.columns if c not in (*key, "batch")]
+    return changes.groupBy(*key).agg(*[F.max_by(c, "batch").alias(c) for c in values])
 
 
 def run_to_end(query: StreamingQuery) -> None:
