@@ -109,35 +109,3 @@ def places(text, phrases):
         p = phrase.split()
         found += [(k, label) for k in range(len(w) - len(p) + 1) if w[k : k + len(p)] == p]
     return len(w), sorted(found)
-
-
-def backoff(rows, order=5, alpha=0.4, least=2):
-    """Log scores by document under byte grams, counted in dictionaries."""
-    grams = Counter()
-    texts = []
-    for i, t in rows:
-        b = bytes(32 if c < 32 else c for c in (t or "").encode().lower())
-        texts.append((i, b))
-        b = bytes(order - 1) + b
-        for k in range(len(b) - order + 1):
-            grams[b[k : k + order]] += 1
-    tails, contexts = Counter(), Counter()
-    for g, n in grams.items():
-        for k in range(1, order + 1):
-            tails[g[-k:]] += n
-            contexts[(k, g[-k:-1])] += n
-    total = sum(grams.values())
-    out = []
-    for i, b in texts:
-        padded, score = bytes(order - 1) + b, 0.0
-        for at in range(len(b)):
-            g = padded[at : at + order]
-            for k in range(order, 0, -1):
-                if tails[g[-k:]] >= least:
-                    score += np.log(tails[g[-k:]] / contexts[(k, g[-k:-1])])
-                    score += (order - k) * np.log(alpha)
-                    break
-            else:
-                score += order * np.log(alpha) - np.log(total)
-        out.append((i, len(b), score))
-    return out

@@ -13,7 +13,6 @@ from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.language_id import identify
 from tidemark.llm.license_scan import BASE_PHRASES, license_scan
-from tidemark.llm.lm_scores import lm_scores
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.pu_quality import quality_scores
 from tidemark.llm.quality_rules import quality_rules
@@ -161,15 +160,6 @@ def test_tokens(odd, small):
         same(token_counts(frame, path).collect(), want)
 
 
-def test_backoff(odd, small):
-    for frame in (odd, small.limit(40).cache()):
-        got = sorted(((r.doc_id, r.n_bytes, round(r.log_score, 4)) for r in
-                      lm_scores(frame).collect()), key=key)
-        want = sorted(((i, n, round(s, 4)) for i, n, s in brute.backoff(pairs(frame))), key=key)
-        assert [x[:2] for x in got] == [x[:2] for x in want]
-        assert all(abs(a[2] - b[2]) < 1e-3 for a, b in zip(got, want))
-
-
 def test_languages(odd, small):
     got = {r.doc_id: r for r in identify(small).collect()}
     truth = {r.doc_id: r.lang for r in small.select("doc_id", "lang").collect()}
@@ -230,7 +220,7 @@ def test_mix(odd, small):
 @pytest.mark.parametrize(
     "run",
     [
-        jaccard_components, remove_repeats, identify, quality_rules, license_scan, lm_scores,
+        jaccard_components, remove_repeats, identify, quality_rules, license_scan,
         mix_sources,
     ],
     ids=lambda f: f.__name__,

@@ -32,6 +32,25 @@ def letter_table() -> np.ndarray:
     return np.fromiter((chr(c).isalpha() for c in range(1 << 16)), bool, 1 << 16)
 
 
+def blocks(text: str) -> Iterator[str]:
+    """A text in blocks that end between words, so that its n-grams do not depend on them."""
+    low = 0
+    while True:
+        high = low + BLOCK
+        if high >= len(text):
+            yield text[low:]
+            return
+        end = high
+        while end > low and text[end - 1].isalpha():
+            end -= 1
+        if end == low:  # one word: to its end
+            end = high
+            while end < len(text) and text[end].isalpha():
+                end += 1
+        yield text[low:end]
+        low = end
+
+
 def grams(text: str, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-grams of a text's words, with a blank at either end of a word, and counts.
 
@@ -39,8 +58,8 @@ def grams(text: str, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     folded into it by their low bits.
     """
     found, counts = [], []
-    for low in range(0, max(1, len(text)), BLOCK):
-        part = text[low : low + BLOCK].lower()
+    for part in blocks(text):
+        part = part.lower()
         code = np.frombuffer(part.encode("utf-32-le", "replace"), np.uint32)
         high = code >> 16 > 0
         if high.any():

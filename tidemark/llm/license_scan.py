@@ -38,7 +38,7 @@ MORE_PHRASES = {
     "public domain": "public-domain",
     "all rights reserved": "proprietary",
 }
-# Identifiers in tags, by their beginning, and their labels.
+# Identifiers in tags, up to their version or clause, and their labels.
 IDENTIFIERS = {
     "mit": "mit",
     "apache": "apache",
@@ -70,10 +70,16 @@ RESULT = (
 )
 
 
+IDENTIFIER = re.compile(
+    "(%s)(?=v?[0-9]|[-+.]|$)" % "|".join(sorted(IDENTIFIERS, key=len, reverse=True))
+)
+
+
 def identifier_label(name: str) -> str:
-    """The label of an identifier, by its longest known beginning."""
-    known = [x for x in IDENTIFIERS if name.startswith(x)]
-    return IDENTIFIERS[max(known, key=len)] if known else name.rstrip("+.-")
+    """The label of an identifier, whose name ends at a hyphen, a plus, a dot or its version; one
+    that is not known is its own label."""
+    known = IDENTIFIER.match(name)
+    return IDENTIFIERS[known[1]] if known else name.rstrip("+.-")
 
 
 def to_postfix(tokens: Iterable[str]) -> list[str]:
@@ -212,6 +218,7 @@ def license_scan(docs: DataFrame) -> DataFrame:
     `last_word` (their smallest and largest start, null without any), `base_labels`, `labels`
     (with those of further phrases and of identifier expressions; both distinct, sorted and
     comma-joined) and `score`: how freely the text may be used by what it says, 1 without notice.
+    Notices are found, not understood: "not under the mit license" names that license too.
 
     Words are runs of letters, digits and bytes over 7F, with A-Z lower-cased; a phrase's words
     stand consecutively, whatever separates them. One row per input row, a null text being empty;

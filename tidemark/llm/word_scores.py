@@ -228,8 +228,8 @@ def _sum_up(texts: pa.Table, found: pa.Table) -> pa.Table:
             share = here[seen] / np.maximum(before, here)[seen]
             value[seen] = np.log(share) + (longest[seen] - k) * math.log(BACKOFF)
             before = np.r_[np.zeros(1, np.uint64), here[:-1]]
-        sums = np.r_[0.0, np.cumsum(value)]
-        out = sums[first[1:]] - sums[first[:-1]]
+        some = words > 0  # each sum by itself, so that it does not depend on the bucket
+        out[some] = np.add.reduceat(value, first[:-1][some])
     return pa.table(
         {
             "doc_id": row["doc_id"].values,
