@@ -114,7 +114,9 @@ def components(ws: Workspace, edges: DataFrame, name: str) -> DataFrame:
     `edges` has long columns `a`, `b`. Each round links every vertex's larger neighbours, then
     its smaller ones, to the smallest neighbour known, until each component is a star around its
     smallest vertex. Only minima are aggregated, so a centre with any number of neighbours
-    reaches the shuffle as one row per task; rounds grow with the logarithm of a component.
+    reaches that shuffle as one row per task. Minima are written before rows are joined with them,
+    so both sides of a join are plain shuffles, and adaptive execution splits the neighbours of a
+    crowded centre over tasks. Rounds grow with the logarithm of a component.
     """
     small, big = F.least("a", "b"), F.greatest("a", "b")
     state = edges.where("a <> b").select(big.alias("u"), small.alias("v")).distinct()
@@ -123,12 +125,13 @@ def components(ws: Workspace, edges: DataFrame, name: str) -> DataFrame:
     turn = 0
     while True:
         turn += 1
+        step = f"{name}-{turn}"
         both = state.unionByName(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m"))
-        low = low.select("u", F.least("u", "m").alias("m"))
+        low = ws.save(low.select("u", F.least("u", "m").alias("m")), f"{step}-low")
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = ws.save(large.where("u <> v").distinct(), f"{step}-large")
+        least = ws.save(large.groupBy("u").agg(F.min("v").alias("m")), f"{step}-least")
         out = (
             large.join(least, "u")
             .where("v <> m")
@@ -136,11 +139,12 @@ def components(ws: Workspace, edges: DataFrame, name: str) -> DataFrame:
             .unionByName(least.select("u", F.col("m").alias("v")))
             .distinct()
         )
-        following = ws.save(out, f"{name}-{turn}")
+        following = ws.save(out, step)
         now = following.agg(
             F.count("*"), F.sum(F.xxhash64("u", "v").bitwiseAND(F.lit((1 << 40) - 1)))
         ).first()
-        ws.drop(f"{name}-{turn - 1}")
+        for old in (f"{name}-{turn - 1}", f"{step}-low", f"{step}-large", f"{step}-least"):
+            ws.drop(old)
         state = following
         if now == mark:
             break
