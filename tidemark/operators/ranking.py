@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import together
 from tidemark.sources.sinks import settled
 
 # Distinct values that one task puts in order.
@@ -25,8 +27,11 @@ def pieces(df: DataFrame, value: str) -> DataFrame:
     cuts = -(-values.count() // PIECE_ROWS) or 1
     order = F.col(value).desc()
     # Numbers of rows in the order of a sorted partition, above them the partition's number.
+    number = F.monotonically_increasing_id()
+    if cuts == 1:  # one piece needs no cut, and is the same whenever it is sorted
+        return values.coalesce(1).sortWithinPartitions(order).withColumn("place", number)
     placed = values.repartitionByRange(cuts, order).sortWithinPartitions(order)
-    return settled(placed.withColumn("place", F.monotonically_increasing_id()), "places")
+    return settled(placed.withColumn("place", number), "places")
 
 
 def dense_ranks(df: DataFrame, value: str, name: str) -> DataFrame:
@@ -57,9 +62,10 @@ def with_dense_ranks(df: DataFrame, ranks: Mapping[str, str]) -> DataFrame:
     Ties share a rank, nulls have none. Many rows may share one value. The ranks are unique on
     it, so adaptive execution can split the crowded partition and repeat its single rank row.
     """
+    found = together(*(partial(dense_ranks, df, value, name) for value, name in ranks.items()))
     ranked = df
-    for value, name in ranks.items():
-        ranked = ranked.join(dense_ranks(df, value, name), value, "left")
+    for value, places in zip(ranks, found):
+        ranked = ranked.join(places, value, "left")
     return ranked
 
 

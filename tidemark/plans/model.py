@@ -17,6 +17,7 @@ from tidemark.operators.observations import LINEAGE, fact_native, normalize_obse
 from tidemark.operators.registry import dim_entity, listed_ids, normalize_registry
 from tidemark.operators.reports import leaderboard
 from tidemark.plans.refresh import FACT, HOURS, TRENDS, counts_of_days
+from tidemark.session import together
 from tidemark.sources.sinks import settled
 from tidemark.sources.spines import CALENDAR_END, CALENDAR_START, dim_date
 from tidemark.sources.versions import Store
@@ -84,19 +85,21 @@ def build(
     def settle(frame: DataFrame, name: str, by: str | None = None) -> DataFrame:
         return versions.write(name, frame, by) if versions else frame
 
-    dim = settle(dim_entity(registry, metadata, runs, unobservable, n), "dim_game")
-
-    fact = settle(
-        fact_native(normalize_observations(raw.player_counts, carry=())), FACT, "date_day"
-    )
-    counted = settle(counts_of_days(fact), HOURS)
-    # A written fact knows its last day from its folders; otherwise a raw column is the cheapest.
-    last_day = None if root else raw.player_counts.agg(F.to_date(F.max("logical_hour")))
-    daily = dense_daily(fact, last_day)
-    trended = settle(trends(daily), TRENDS, "date_day")
-    if versions:
+    def facts() -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+        hourly = fact_native(normalize_observations(raw.player_counts, carry=()))
+        fact = settle(hourly, FACT, "date_day")
+        # A written fact knows its last day from its folders; otherwise a raw column is cheapest.
+        last_day = None if root else raw.player_counts.agg(F.to_date(F.max("logical_hour")))
+        daily = dense_daily(fact, last_day)
+        counted, trended = together(
+            lambda: settle(counts_of_days(fact), HOURS),
+            lambda: settle(trends(daily), TRENDS, "date_day"),
+        )
         # The daily fact is the first columns of the trends, so it need not be built twice.
-        daily = trended.select(*daily.columns)
+        return fact, counted, trended.select(*daily.columns) if versions else daily, trended
+
+    entities = dim_entity(registry, metadata, runs, unobservable, n)
+    dim, (fact, counted, daily, trended) = together(lambda: settle(entities, "dim_game"), facts)
     rows_once = (lambda frame: settled(frame, "board")) if versions else None
     board = leaderboard(dim, fact, trended, rows_once, by_day=versions is not None)
     board = settle(board, "game_leaderboard")

@@ -36,7 +36,7 @@ from tidemark.plans.refresh import (
     refresh,
     refresh_hour_counts,
 )
-from tidemark.session import prepare, scratch_dir
+from tidemark.session import prepare, scratch_dir, together
 from tidemark.sources import landing, spines, tables
 from tidemark.sources.sinks import (
     insert_player_counts,
@@ -2080,7 +2080,12 @@ CHECK_NAMES = """dim_game.app_id.unique dim_game.app_id.not_null dim_date.date_d
 )
 def model_checks_query(spark, sf):
     """The whole model built from the given tables, written, and every check on it."""
-    calendar = given.event_days(spark, sf)
-    raw = replace(given.raw_tables(spark, sf), catalog_runs=settled(catalog_record(spark, sf), "catalog"))
-    built = model.build(spark, raw, given.AS_OF, scratch_dir(spark, "model"), calendar)
+    calendar, raw = given.event_days(spark, sf), given.raw_tables(spark, sf)
+    root = scratch_dir(spark, "model")
+    built, catalog = together(
+        lambda: model.build(spark, raw, given.AS_OF, root, calendar),
+        lambda: settled(catalog_record(spark, sf), "catalog"),
+    )
+    raw = replace(raw, catalog_runs=catalog)
+    built = replace(built, stg_catalog_runs=ledger.normalize_catalog_runs(catalog))
     return checks.summarize(model.model_checks(built, raw, given.AS_OF))

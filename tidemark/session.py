@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Results depend on these two: hours and days are UTC, and arithmetic errors raise.
@@ -62,3 +65,15 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
         root = tempfile.mkdtemp(prefix="tidemark-")
     return f"{root.rstrip('/')}/tidemark-{label}-{uuid.uuid4().hex}"
+
+
+def together(*tasks: Callable) -> list:
+    """Results of tasks that run at the same time, each with its own jobs.
+
+    For writes that do not read each other: the cluster works on one while another waits for its
+    last task, or for the driver to plan it.
+    """
+    inherit = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        started = [pool.submit(inherit(task)) for task in tasks]
+        return [task.result() for task in started]
