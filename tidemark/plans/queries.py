@@ -25,8 +25,8 @@ from tidemark.operators.observations import (
     within_staleness,
 )
 from tidemark.operators.ranking import top_k, with_dense_ranks
+from tidemark.plans import check_states, model
 from tidemark.plans import driver_tables as given
-from tidemark.plans import model
 from tidemark.plans.oracle import OUTAGES, compose
 from tidemark.plans.refresh import (
     FACT,
@@ -2089,3 +2089,46 @@ def model_checks_query(spark, sf):
     raw = replace(raw, catalog_runs=catalog)
     built = replace(built, stg_catalog_runs=ledger.normalize_catalog_runs(catalog))
     return checks.summarize(model.model_checks(built, raw, given.AS_OF))
+
+
+def current_model(
+    spark: SparkSession, raw: model.Raw, built: model.Model, store: Store, as_of: datetime
+) -> model.Model:
+    """A model whose facts were refreshed since it was built, as the store has them now."""
+    fact = store.read(FACT, built.fct_player_counts.schema)
+    trended = store.read(TRENDS, built.fct_player_trends_daily.schema)
+    runs = built.stg_snapshot_runs
+    board = reports.leaderboard(
+        built.dim_game, fact, trended, lambda rows: settled(rows, "board"), by_day=True
+    )
+    return replace(
+        built,
+        fct_player_counts=fact,
+        fct_player_counts_daily=trended.select(*built.fct_player_counts_daily.columns),
+        fct_player_trends_daily=trended,
+        fct_snapshot_hours=ledger.ledger_of_counts(runs, store.read(HOURS), as_of),
+        game_leaderboard=settled(board, "board"),
+    )
+
+
+@query(
+    "model_checks_incremental",
+    f"SELECT * FROM ({ORACLE['model_checks']}) WHERE \"check\" NOT LIKE 'stg_catalog_runs%'",
+)
+def model_checks_incremental(spark, sf):
+    """The model built and checked up to the day before the last, refreshed with the last day, and
+    checked again by what that day has, beside the states of all others."""
+    raw = given.raw_tables(spark, sf)
+    first, last = given.event_days(spark, sf)
+    landed = raw.player_counts.withColumn("dt", F.to_date("logical_hour"))
+    root = scratch_dir(spark, "model")
+    store = Store(spark, root)
+    early = replace(raw, player_counts=landed.filter(F.col("dt") < F.lit(last)))
+    built = model.build(spark, early, given.AS_OF, root, (first, last))
+    check_states.refresh_states(
+        store, check_states.split(model.model_checks(built, early, given.AS_OF))[0]
+    )
+    refresh(spark, landed, root, last)
+    now = current_model(spark, raw, built, store, given.AS_OF)
+    found = check_states.incremental_checks(now, raw, given.AS_OF, store, [last])
+    return found.filter("check not like 'stg_catalog_runs%'")
