@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import Workspace, maybe_broadcast
+
 PROFILE = 300  # n-grams of a profile, for languages and documents
 TRAIN_DOCS = 5000  # documents per language that profiles are learned from, about
 ORDERS = (1, 2, 3)
@@ -118,8 +120,10 @@ def learn(labelled: DataFrame) -> dict[str, list[int]]:
     known = labelled.where("lang is not null and text is not null")
     sizes = known.groupBy("lang").agg(F.count("*").alias("docs"))
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) / float(1 << 40)
-    part = F.broadcast(sizes.select("lang", (F.lit(TRAIN_DOCS) / F.col("docs")).alias("part")))
-    drawn = known.join(part, "lang").where(draw < F.col("part"))
+    sizes = Workspace(labelled.sparkSession, "languages").save(sizes, "sizes")
+    size = sizes.agg(F.sum(F.octet_length("lang") + 48)).first()[0] or 0
+    part = sizes.select("lang", (F.lit(TRAIN_DOCS) / F.col("docs")).alias("part"))
+    drawn = known.join(maybe_broadcast(part, size), "lang").where(draw < F.col("part"))
     counts = drawn.select(F.col("lang").cast("string").alias("lang"), "text").mapInArrow(
         _count, "lang string, gram long, n long"
     )

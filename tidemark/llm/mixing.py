@@ -193,6 +193,13 @@ def _in_tables(ws: Workspace, sized: DataFrame, weights: dict | None) -> DataFra
     )
 
 
+def draw_order(seed: int):
+    """The order in which documents are drawn: by id, those without one by their texts. A null
+    leaves a hash as it is."""
+    anonymous = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
+    return F.xxhash64(F.col("doc_id").cast("long"), anonymous, F.lit(seed))
+
+
 def mix_sources(
     docs: DataFrame,
     sources: str | None = None,
@@ -223,8 +230,8 @@ def mix_sources(
         F.expr(WORD_COUNT).cast("long").alias("size"),
         F.to_json(members).alias("pattern"),
         members[0].alias("source"),
+        draw_order(seed).alias("order"),
     )
-    sized = sized.withColumn("order", F.xxhash64("doc_id", F.lit(seed)))
     sized = ws.save(sized, "sized")
     # About as many buckets as one bucket has rows, so that neither outgrows a task.
     bits = max(BUCKETS, math.ceil(math.log2(sized.count() + 1) / 2))
@@ -267,7 +274,7 @@ def mix_sources(
             [(s, sizes[s], aims[s]) for s in ranked],
             "named string, source_size long, target double",
         )
-        bytes_ = 0  # no more rows than MAX_PATTERNS allows
+        bytes_ = sum(64 + len(p.encode()) for p in supply)
     plan, aim = maybe_broadcast(plan, bytes_), maybe_broadcast(aim, bytes_)
     # The bucket in which a pattern's last words are taken, and the words before it.
     buckets = sized.groupBy("pattern", "bucket").agg(F.sum("size").alias("n")).join(plan, "pattern")
