@@ -139,3 +139,14 @@ def test_the_board_reads_only_current_days(spark, raw, tmp_path):  # noqa: F811
     assert {r.date_day for r in pruned.select("date_day").distinct().collect()} == days
     plain = reports.leaderboard(built.dim_game, fact, trends)
     assert rows(plain) == rows(built.game_leaderboard)
+
+
+def test_the_frontier_reads_the_last_day(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    write_days(facts(spark, range(24 * 6)), path)
+    held = spark.read.parquet(path)
+    hours = spark.createDataFrame([(START, True)], "logical_hour timestamp, has_observations boolean")
+    got = reports.freshness(held, hours, by_day=True)
+    scans = [x for x in plan_of(got).split("\n") if "FileScan" in x and "logical_hour" in x]
+    assert any("PartitionFilters: [isnotnull(date_day" in x and "ubquery" in x for x in scans)
+    assert rows(got) == rows(reports.freshness(held, hours))

@@ -179,6 +179,21 @@ def audit_snapshot_runs(
     )
 
 
+def details_latency(details: DataFrame) -> DataFrame:
+    """Latencies of a catalog run's storefront answers, per run: what the hourly record has, and
+    the catalog's record lacks.
+
+    Columns `logical_date`, `answers`, `latency_p50_ms` (exact, halves rounded to even) and
+    `latency_max_ms`, both NULL where no answer says. The median's state is one counter per
+    distinct millisecond value, so it merges before the shuffle.
+    """
+    return details.groupBy("logical_date").agg(
+        F.count(F.lit(1)).alias("answers"),
+        F.bround(F.median("latency_ms"), 0).cast("int").alias("latency_p50_ms"),
+        F.max("latency_ms").alias("latency_max_ms"),
+    )
+
+
 def audit_catalog_run(
     runs: DataFrame,
     universe: DataFrame | None,

@@ -246,9 +246,15 @@ def latency_per_hour(ledger: DataFrame) -> DataFrame:
     return ledger.select("logical_hour", "latency_p50_ms", "latency_max_ms").orderBy("logical_hour")
 
 
-def freshness(fact: DataFrame, ledger: DataFrame) -> DataFrame:
-    """How far the marts were built, beside how far hours were observed."""
+def freshness(fact: DataFrame, ledger: DataFrame, by_day: bool = False) -> DataFrame:
+    """How far the marts were built, beside how far hours were observed.
+
+    With `by_day` the fact is a table in folders by day: its last day is known from their names,
+    and only that folder's hours are read.
+    """
     seen = ledger.filter("has_observations").agg(F.max("logical_hour")).scalar()
+    if by_day:
+        fact = fact.filter(F.col("date_day") == fact.agg(F.max("date_day")).scalar())
     return fact.agg(F.max("logical_hour").alias("built_through")).select(
         seen.alias("observed_through"), "built_through"
     )

@@ -842,6 +842,15 @@ def freshness_frontier(spark, sf):
     return reports.freshness(given.fact(spark, sf), given.ledger(spark, sf))
 
 
+@query("freshness_by_day", ORACLE["freshness_frontier"])
+def freshness_by_day(spark, sf):
+    """The frontier of a fact kept in folders by day."""
+    root, fact = scratch_dir(spark, "frontier"), given.fact(spark, sf)
+    write_days(fact, f"{root}/{FACT}")
+    held = spark.read.schema(fact.schema).parquet(f"{root}/{FACT}")
+    return reports.freshness(held, given.ledger(spark, sf), by_day=True)
+
+
 @query(
     "adhoc_sql",
     compose(
@@ -1530,6 +1539,26 @@ def admit_from_landing(spark, sf):
     return registry.admit(seed(spark), charted, names).admitted
 
 
+@query(
+    "catalog_latency",
+    """SELECT CAST(d AS VARCHAR) AS logical_date, count(*) AS answers,
+      CAST(round_even(median(ms), 0) AS BIGINT) AS latency_p50_ms, max(ms) AS latency_max_ms
+    FROM (SELECT o_orderdate AS d,
+        CASE WHEN o_orderstatus <> 'F' THEN o_orderkey * 37 % 900000 END AS ms FROM orders)
+    GROUP BY d""",
+    gaps=["latency_p50_ms", "latency_max_ms"],
+)
+def catalog_latency(spark, sf):
+    """Orders as the answers of their day's catalog run; finished ones say no latency."""
+    answers = given.table(spark, sf, "orders").select(
+        F.col("o_orderdate").alias("logical_date"),
+        F.when(
+            F.col("o_orderstatus") != "F", (F.col("o_orderkey") * 37 % 900_000).cast("int")
+        ).alias("latency_ms"),
+    )
+    return audit.details_latency(answers)
+
+
 @query(
     "details_from_landing",
     compose(
