@@ -172,3 +172,35 @@ def test_any_order_up_to_two_hours_late_equals_a_batch(spark, tmp_path):
         key=repr,
     )
     assert rows(held, "app_id", "logical_hour", "player_count") == want
+
+
+def test_a_late_row_of_a_passed_hour_needs_no_later_load(spark, tmp_path):
+    changes = corrected(spark, tmp_path, [(1, 200, 5)], [(2, 100, 3)])
+    assert rows(changes, "app_id", "logical_hour", "player_count", "corrects") == [
+        (2, START + timedelta(hours=1), 3, False)
+    ]
+
+
+def test_missing_ids_and_counts_are_kept(spark, tmp_path):
+    big = 2**53 + 1  # no double holds it
+    corrected(
+        spark, tmp_path,
+        [(None, 20, 5), (0, 30, 4), (big, 10, None)],
+        [(None, 10, 6), (big, 10, 7), (1, 130, 1)],
+        [(None, 5, None), (1, 140, 2)],
+    )
+    changes = spark.read.parquet(f"{tmp_path}/out")
+    assert rows(changes, "app_id", "player_count", "corrects") == [
+        (0, 4, False), (big, 7, False), (None, None, False),
+    ]
+
+
+def test_state_is_called_per_share_and_hour_and_not_per_entity(spark, tmp_path):
+    load = [(i, 20 + i % 90, i) for i in range(2_000)]
+    stream = streaming.corrected_hours(observed(spark, f"{tmp_path}/in", load))
+    query = streaming.write_changes(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+    streaming.run_to_end(query)
+    kept = max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress)
+    assert 0 < kept < 2_000
+    held = streaming.read_changes(spark, f"{tmp_path}/out", "app_id", "logical_hour")
+    assert held.count() == sum(i % 90 < 40 for i in range(2_000))

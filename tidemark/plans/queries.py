@@ -1674,14 +1674,16 @@ def stream_corrected(spark, sf):
     span = arrived.agg(F.min("arrived").alias("low"), F.max("arrived").alias("high")).first()
     width = ((span.high or 0) - (span.low or 0)) // slices + 1
     part = F.floor((F.col("arrived") - F.lit(span.low or 0)) / F.lit(width))
-    arrived = settled(arrived.withColumn("part", part), "arrived")
-    for k in range(slices):  # one file after the other, as loads come
-        load = arrived.filter(F.col("part") == k).drop("part", "arrived")
-        load.coalesce(1).write.mode("append").parquet(f"{root}/landed")
+    arrived = arrived.withColumn("part", part)
+    arrived.drop("arrived").write.partitionBy("part").parquet(f"{root}/arrived")
     schema = given.SCHEMAS["events"].replace("timestamp_ntz", "timestamp")
-    landed = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-    stream = streaming.corrected_hours(given.to_observations(landed.parquet(f"{root}/landed")))
-    streaming.run_to_end(streaming.write_changes(stream, f"{root}/out", f"{root}/checkpoint"))
+    arrived = spark.read.schema(f"{schema}, part bigint").parquet(f"{root}/arrived")
+    for k in range(slices):  # one load after the other; the stream goes on from its checkpoint
+        load = arrived.filter(F.col("part") == k).drop("part")
+        load.write.mode("append").parquet(f"{root}/landed")
+        landed = spark.readStream.schema(schema).parquet(f"{root}/landed")
+        stream = streaming.corrected_hours(given.to_observations(landed))
+        streaming.run_to_end(streaming.write_changes(stream, f"{root}/out", f"{root}/checkpoint"))
     held = streaming.read_changes(spark, f"{root}/out", "app_id", "logical_hour")
     return held.select("app_id", "logical_hour", "player_count")
 

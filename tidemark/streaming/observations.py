@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, Row, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -64,9 +66,28 @@ def first_in_hour(observations: DataFrame, watermark: str = STALENESS) -> DataFr
     )
 
 
+# One open hour of a share of the entities: a row per entity, as it is kept in the state.
+OPEN = np.dtype(
+    [("app_id", "i8"), ("no_id", "?"), ("at", "i8"), ("player_count", "i8"), ("no_count", "?"),
+     ("fresh", "?"), ("emitted", "?")]
+)
+
+
+def _earliest(rows: np.ndarray) -> np.ndarray:
+    """The earliest row of each entity, `emitted` if any of its rows is. Equal times are decided
+    by the smaller count, and a fresh row does not replace one that is equal."""
+    order = ("fresh", "player_count", "no_count", "at", "app_id", "no_id")
+    rows = rows[np.lexsort([rows[c] for c in order])]
+    changes = (rows["app_id"][1:] != rows["app_id"][:-1]) | (rows["no_id"][1:] != rows["no_id"][:-1])
+    starts = np.flatnonzero(np.concatenate([[True], changes]))
+    best = rows[starts]
+    best["emitted"] = np.logical_or.reduceat(rows["emitted"], starts)
+    return best
+
+
 class CorrectedHours(StatefulProcessor):
-    """Earliest observation of one entity and hour: emitted when the stream has gone past the
-    hour, and again whenever a row that is still accepted turns out to be earlier.
+    """Earliest observations of one hour and a share of the entities: emitted when the stream has
+    gone past the hour, and again whenever a row that is still accepted turns out to be earlier.
 
     Two timers per hour. At the first, event time has left the hour, and what is known is emitted.
     At the second the watermark has left it too: no row can be accepted any more and the state
@@ -79,42 +100,59 @@ class CorrectedHours(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.best = handle.getValueState("best", "at long, player_count long, emitted boolean")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        known = self.best.get() if self.best.exists() else None
-        at, value, emitted = known or (None, None, False)
-        first = min((r.at, r.player_count) for r in rows)
-        if known and (at, value) <= first:
-            return
-        self.best.update((*first, emitted))
-        if known is None:
-            hour_end = key[1] + HOUR_MS
-            now = timerValues.getCurrentWatermarkInMs()
+        self.best = handle.getValueState("best", "rows binary")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        known = self._held()
+        found = known
+        for chunk in rows:
+            fresh = np.zeros(len(chunk), OPEN)
+            for column in ("app_id", "no_id", "at", "player_count", "no_count"):
+                fresh[column] = chunk[column].to_numpy()
+            fresh["fresh"] = True
+            found = _earliest(np.concatenate([found, fresh]))
+        hour_end, now = int(key[1]) + HOUR_MS, timerValues.getCurrentWatermarkInMs()
+        if not len(known):
             for expiry in (hour_end - self.patience_ms, hour_end):
                 self.handle.registerTimer(max(expiry, now + 1))
-        if emitted:
-            yield self._row(key, first[1], True)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if not self.best.exists():
+        corrects = found["emitted"] & found["fresh"]
+        out = corrects | (~found["emitted"] & (now >= hour_end - self.patience_ms))
+        changed = out | found["fresh"]
+        found["fresh"], found["emitted"] = False, found["emitted"] | out
+        if changed.any():
+            self.best.update((found.tobytes(),))
+        if out.any():
+            yield self._rows(key, found[out], corrects[out])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        found = self._held()
+        if not len(found):
             return
-        at, value, emitted = self.best.get()
-        if not emitted:
-            self.best.update((at, value, True))
-            yield self._row(key, value, False)
-        if timerValues.getCurrentWatermarkInMs() >= key[1] + HOUR_MS:
+        out = ~found["emitted"]
+        if timerValues.getCurrentWatermarkInMs() >= int(key[1]) + HOUR_MS:
             self.best.clear()
+        elif out.any():
+            found["emitted"] = True
+            self.best.update((found.tobytes(),))
+        if out.any():
+            yield self._rows(key, found[out], np.zeros(int(out.sum()), bool))
 
     def close(self) -> None:
         pass
 
+    def _held(self) -> np.ndarray:
+        held = self.best.get()[0] if self.best.exists() else b""
+        return np.frombuffer(held, OPEN).copy()
+
     @staticmethod
-    def _row(key, value: int, corrects: bool) -> Row:
-        return Row(app_id=key[0], hour=key[1], player_count=value, corrects=corrects)
+    def _rows(key, found: np.ndarray, corrects: np.ndarray) -> pd.DataFrame:
+        kept = {c: found[c] for c in ("app_id", "no_id", "player_count", "no_count")}
+        return pd.DataFrame({**kept, "hour": int(key[1]), "corrects": corrects})
 
 
-def corrected_hours(observations: DataFrame, patience_hours: int = 2) -> DataFrame:
+def corrected_hours(
+    observations: DataFrame, patience_hours: int = 2, shares: int = 64
+) -> DataFrame:
     """Earliest observation per entity and hour, early and then corrected, for update mode.
 
     Where `first_in_hour` holds an hour back until it can no longer change, this emits it as soon
@@ -122,24 +160,41 @@ def corrected_hours(observations: DataFrame, patience_hours: int = 2) -> DataFra
     that comes up to `patience_hours` behind the newest. The last row of an entity and hour is
     what a batch over all accepted rows gives, in whatever order they came. Equal times are
     decided by the smaller count. State is one row per entity and open hour, in RocksDB.
+
+    Entities are dealt to `shares`, and the state is called once per share and hour with arrays of
+    rows: a call costs milliseconds, so calls must not grow with the entities. `shares` is part of
+    the state's key and must stay the same over the life of a checkpoint.
     """
     spark = observations.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     rows = observations.withWatermark("logical_hour", f"{patience_hours} hours").select(
-        "app_id",
+        F.pmod(F.xxhash64("app_id"), F.lit(shares)).alias("share"),
         F.unix_millis(F.date_trunc("hour", "logical_hour")).alias("hour"),
+        *_without_nulls("app_id", "no_id"),
         F.unix_micros("logical_hour").alias("at"),
-        F.col("player_count").cast("bigint").alias("player_count"),
+        *_without_nulls("player_count", "no_count"),
         "logical_hour",
     )
-    emitted = rows.groupBy("app_id", "hour").transformWithState(
+    emitted = rows.filter("logical_hour is not null").groupBy("share", "hour")
+    emitted = emitted.transformWithStateInPandas(
         CorrectedHours(patience_hours * HOUR_MS),
-        "app_id bigint, hour bigint, player_count bigint, corrects boolean",
+        "app_id bigint, no_id boolean, player_count bigint, no_count boolean, hour bigint, "
+        "corrects boolean",
         "update",
         "eventTime",
     )
-    hour = F.timestamp_millis("hour").alias("logical_hour")
-    return emitted.select("app_id", hour, "player_count", "corrects")
+    return emitted.select(
+        F.when(~F.col("no_id"), F.col("app_id")).alias("app_id"),
+        F.timestamp_millis("hour").alias("logical_hour"),
+        F.when(~F.col("no_count"), F.col("player_count")).alias("player_count"),
+        "corrects",
+    )
+
+
+def _without_nulls(column: str, flag: str) -> list[Column]:
+    """A whole number and whether it is missing: numbers with gaps are no whole numbers in pandas."""
+    value = F.col(column).cast("bigint")
+    return [F.coalesce(value, F.lit(0)).alias(column), value.isNull().alias(flag)]
 
 
 def first_delivery(observations: DataFrame, watermark: str = STALENESS) -> DataFrame:
