@@ -6,9 +6,11 @@ import json
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.support import day
 from tidemark.operators.metadata import extract_metadata
+from tidemark.plans import driver_tables as given
 
 
 def extract(spark, **data):
@@ -78,3 +80,9 @@ def test_present_fields(spark):
     assert (got["price_initial_usd"], got["price_final_usd"]) == (
         Decimal("59.99"), Decimal("49.99"),
     )
+
+
+def test_documents_of_one_small_file_are_built_by_many_tasks(spark, sf_dir):
+    assert given.table(spark, sf_dir, "part").rdd.getNumPartitions() == 1
+    built = given.details_raw(spark, sf_dir).groupBy(F.spark_partition_id()).count()
+    assert built.count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
