@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.support import at, day, plan_of, rows
-from tidemark.operators.daily import daily_rollup, dense_daily, trends
+from tidemark.operators.daily import daily_rollup, dense_daily, fill_gaps, stretches, trends
 from tidemark.operators.observations import (
     classify_responses,
     fact_native,
@@ -16,6 +17,7 @@ from tidemark.operators.observations import (
     normalize_observations,
     within_staleness,
 )
+from tidemark.plans.queries import QUERIES
 
 FACT = "app_id bigint, date_day date, player_count int"
 
@@ -179,3 +181,45 @@ def test_missing_count_is_an_error_and_not_zero(spark):
     malformed = spark.createDataFrame([(1, 200, None)], schema)
     with pytest.raises(Exception, match="no player_count"):
         classify_responses(malformed).collect()
+
+
+def gappy(spark):
+    """Entities with rows on some days of forty: close together, far apart, equal and zero."""
+    import random
+
+    draw = random.Random(5)
+    days = [str(date(2026, 9, 1) + timedelta(days=n)) for n in range(40)]
+    made = [
+        (i, d, draw.choice((0, 3, -4, draw.randrange(100))))
+        for i in range(1, 7)
+        for d in draw.sample(days, 40 // i)
+        for _ in range(draw.randrange(1, 3))
+    ]
+    return fact(spark, *made)
+
+
+@pytest.mark.parametrize("days", [1, 3, 7])
+def test_trends_of_stretches_are_those_of_the_grid(spark, days):
+    f = gappy(spark)
+    grid, folded = trends(dense_daily(f), days), trends(dense_daily(f, folded=True), days)
+    assert folded.dtypes == grid.dtypes
+    assert rows(folded) == rows(grid) and grid.count() > 200
+
+
+def test_stretches_carry_what_is_known(spark):
+    rollup = daily_rollup(gappy(spark)).withColumns(
+        {
+            "known_record": F.when(F.dayofmonth("date_day") % 5 == 0, 60),
+            "known_record_day": F.when(F.dayofmonth("date_day") % 5 == 0, F.lit(day("2026-08-20"))),
+        }
+    )
+    unseen = F.when(F.dayofmonth("date_day") % 4 != 1, F.col("avg_player_count"))
+    rollup = rollup.withColumn("avg_player_count", unseen)
+    last = spark.createDataFrame([(day("2026-10-30"),)], "d date")
+    grid, folded = trends(fill_gaps(rollup, last)), trends(stretches(rollup, last))
+    assert rows(folded) == rows(grid)
+
+
+def test_windows_run_over_rows_and_not_over_the_grid(spark, sf_dir):
+    plan = plan_of(QUERIES["dense_orders_by_day"](spark, sf_dir))
+    assert plan.index("Generate") < plan.index("Window")

@@ -76,7 +76,8 @@ def daily(spark: SparkSession, sf_dir: str, entity: str = "user_id") -> DataFram
 
 
 def trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trends(daily(spark, sf_dir))
+    stretched = dense_daily(fact(spark, sf_dir), last_day(spark, sf_dir), folded=True)
+    return trends(stretched)
 
 
 def registry_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -93,7 +93,7 @@ def build(
         daily = dense_daily(fact, last_day)
         counted, trended = together(
             lambda: settle(counts_of_days(fact), HOURS),
-            lambda: settle(trends(daily), TRENDS, "date_day"),
+            lambda: settle(trends(dense_daily(fact, last_day, folded=True)), TRENDS, "date_day"),
         )
         # The daily fact is the first columns of the trends, so it need not be built twice.
         return fact, counted, trended.select(*daily.columns) if versions else daily, trended

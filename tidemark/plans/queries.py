@@ -198,7 +198,7 @@ def refresh_after_outage(spark, sf):
         ).withColumn("dt", F.to_date("logical_hour"))
         early = landed.filter(F.col("dt") < F.lit(back))
         fact = fact_native(normalize_observations(early, carry=()))
-        trend = trends(dense_daily(fact))
+        trend = trends(dense_daily(fact, folded=True))
         write_days(fact, f"{root}/{FACT}")
         write_days(trend, f"{root}/{TRENDS}")
         refresh(spark, landed, root, back + timedelta(days=gap))
@@ -290,7 +290,7 @@ def order_days(spark, sf):
 )
 def dense_orders_by_day(spark, sf):
     """Trends over the grid of all customers and days, years long and mostly gaps, per day."""
-    trended = trends(dense_daily(order_days(spark, sf)))
+    trended = trends(dense_daily(order_days(spark, sf), folded=True))
     return trended.groupBy("date_day").agg(
         F.count(F.lit(1)).alias("entities"),
         F.count_if(F.col("observed_hours") == 0).alias("gaps"),

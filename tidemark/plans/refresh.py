@@ -13,7 +13,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.daily import daily_rollup, fill_gaps, trends
+from tidemark.operators.daily import daily_rollup, stretches, trends
 from tidemark.operators.ledger import hour_counts
 from tidemark.operators.observations import fact_native, normalize_observations
 from tidemark.sources.sinks import write_days
@@ -88,7 +88,7 @@ def refresh(
     )
     known = before.unionByName(daily_rollup(changed), allowMissingColumns=True)
     last_day = fact.agg(F.max("date_day"))
-    rebuilt = trends(fill_gaps(known, last_day), days).filter(F.col("date_day") >= F.lit(start))
+    rebuilt = trends(stretches(known, last_day), days).filter(F.col("date_day") >= F.lit(start))
     # The days written are not among the days read, and a dynamic overwrite replaces files only
     # when the whole job has succeeded.
     write_days(rebuilt, trend_path)
