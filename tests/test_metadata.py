@@ -86,3 +86,11 @@ def test_documents_of_one_small_file_are_built_by_many_tasks(spark, sf_dir):
     assert given.table(spark, sf_dir, "part").rdd.getNumPartitions() == 1
     built = given.details_raw(spark, sf_dir).groupBy(F.spark_partition_id()).count()
     assert built.count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_documents_of_the_checked_model_are_read_by_many_tasks(spark, sf_dir):
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stored = given.raw_tables(spark, sf_dir).app_metadata
+    typed = extract_metadata(stored)
+    for frame in (stored, typed):
+        assert frame.groupBy(F.spark_partition_id()).count().count() == partitions
