@@ -8,9 +8,10 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tests.support import day
+from tests.support import day, plan_of, rows
 from tidemark.operators.metadata import extract_metadata
 from tidemark.plans import driver_tables as given
+from tidemark.plans import queries
 
 
 def extract(spark, **data):
@@ -94,3 +95,22 @@ def test_documents_of_the_checked_model_are_read_by_many_tasks(spark, sf_dir):
     typed = extract_metadata(stored)
     for frame in (stored, typed):
         assert frame.groupBy(F.spark_partition_id()).count().count() == partitions
+
+
+def test_documents_of_the_checked_model_are_opened_once(spark, sf_dir, monkeypatch):
+    calls, build = [], given.details_raw
+
+    def counted(*args):
+        calls.append(args)
+        return build(*args)
+
+    lazy = given.raw_tables(spark, sf_dir).app_metadata
+    monkeypatch.setattr(given, "details_raw", counted)
+    built, raw, _ = queries.checked_model(spark, sf_dir)
+    assert len(calls) == 1
+    assert "from_json" in plan_of(lazy)
+    for frame in (raw.app_metadata, built.stg_app_metadata):
+        assert "from_json" not in plan_of(frame)
+    text = ("app_id", "cast(data as string)", "first_loaded_at", "updated_at")
+    assert rows(raw.app_metadata.selectExpr(*text)) == rows(lazy.selectExpr(*text))
+    assert rows(built.stg_app_metadata) == rows(extract_metadata(lazy))

@@ -19,6 +19,7 @@ from tidemark.operators.registry import dim_entity, normalize_registry
 from tidemark.plans.model import Raw
 from tidemark.schemas import CATALOG_RUNS
 from tidemark.sources.landing import player_counts_key
+from tidemark.sources.sinks import settled
 from tidemark.sources.tables import read_parquet_utc
 
 # Schemas are declared and not read from footers, which would be a job per table and query.
@@ -146,6 +147,14 @@ def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_metadata(unwrap_details(details_raw(spark, sf_dir)).filter("success"))
 
 
+def landed_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(app_id, success, data) of all envelopes, opened once and written as variants.
+
+    For jobs that read them several times: opening a document takes far longer than reading it.
+    """
+    return settled(unwrap_details(details_raw(spark, sf_dir)), "details")
+
+
 # Two sides of an hour: these events are what a run says of itself, all others what it observed.
 RUN_EVENTS = ("purchase", "error")
 
@@ -277,10 +286,12 @@ def board_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> Raw:
-    """The five raw tables of the model."""
+def raw_tables(spark: SparkSession, sf_dir: str, details: DataFrame | None = None) -> Raw:
+    """The five raw tables of the model. `details` are the opened envelopes, where they are kept."""
     now = F.lit(AS_OF).cast("timestamp")
-    stored = unwrap_details(details_raw(spark, sf_dir)).filter("success")
+    if details is None:
+        details = unwrap_details(details_raw(spark, sf_dir))
+    stored = details.filter("success")
     run = spark.createDataFrame([("scheduled-1",)], "run_id string")
     lists = [c for c in CATALOG_RUNS.fields if c.name not in ("run_id", "recorded_at")]
     return Raw(

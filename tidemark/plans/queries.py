@@ -1100,7 +1100,9 @@ def part_chart(spark: SparkSession, sf: str) -> DataFrame:
     return top_k(totals, 100, F.desc("total"), F.asc("app_id")).select("app_id")
 
 
-def described(spark: SparkSession, sf: str) -> registry.MetadataStep:
+def described(
+    spark: SparkSession, sf: str, details: DataFrame | None = None
+) -> registry.MetadataStep:
     """Parts: the smaller ones have older metadata, one brand has no details any more."""
     parts = given.table(spark, sf, "part").withColumnRenamed("p_partkey", "app_id")
     earlier = F.lit(datetime(2024, 1, 1)).cast("timestamp")
@@ -1117,7 +1119,8 @@ def described(spark: SparkSession, sf: str) -> registry.MetadataStep:
         earlier.alias("tracked_from"),
         (F.col("p_type") != "PROMO").alias("is_active"),
     )
-    details = unwrap_details(given.details_raw(spark, sf))
+    if details is None:
+        details = unwrap_details(given.details_raw(spark, sf))
     return registry.metadata_step(stored, members, details, part_chart(spark, sf), given.AS_OF)
 
 
@@ -1176,8 +1179,12 @@ def catalog_audit(spark, sf):
     )
 
 
-def catalog_record(spark: SparkSession, sf: str) -> DataFrame:
-    """The audit record of one catalog run over the given tables."""
+def catalog_record(
+    spark: SparkSession, sf: str, details: DataFrame | None = None
+) -> DataFrame:
+    """The audit record of one catalog run over the given tables; it reads the details thrice."""
+    if details is None:
+        details = given.landed_details(spark, sf)
     run = spark.range(1).select(
         F.lit("scheduled-1").alias("run_id"),
         F.lit(given.AS_OF).cast("timestamp").alias("logical_date"),
@@ -1185,7 +1192,7 @@ def catalog_record(spark: SparkSession, sf: str) -> DataFrame:
         landing.most_played_key(F.lit(given.AS_OF)).alias("most_played_key"),
     )
     return audit.audit_catalog_run(
-        run, stepped(spark, sf).audit, described(spark, sf).audit, given.AS_OF
+        run, stepped(spark, sf).audit, described(spark, sf, details).audit, given.AS_OF
     )
 
 
@@ -2116,11 +2123,15 @@ def model_checks_query(spark, sf):
 
 def checked_model(spark: SparkSession, sf: str) -> tuple[model.Model, model.Raw, datetime]:
     """The model of the given tables with the record of a catalog run, at the last day's end."""
-    calendar, raw = given.event_days(spark, sf), given.raw_tables(spark, sf)
+    # The model, its checks and the catalog run all read the documents.
+    calendar, details = together(
+        lambda: given.event_days(spark, sf), lambda: given.landed_details(spark, sf)
+    )
+    raw = given.raw_tables(spark, sf, details)
     root, as_of = scratch_dir(spark, "model"), last_hour(calendar[1])
     built, catalog = together(
         lambda: model.build(spark, raw, as_of, root, calendar),
-        lambda: settled(catalog_record(spark, sf), "catalog"),
+        lambda: settled(catalog_record(spark, sf, details), "catalog"),
     )
     built = replace(built, stg_catalog_runs=ledger.normalize_catalog_runs(catalog))
     return built, replace(raw, catalog_runs=catalog), as_of
@@ -2243,51 +2254,10 @@ def current_model(
 def model_checks_incremental(spark, sf):
     """The model built and checked up to the day before the last, refreshed with the last day, and
     checked again by what that day has, beside the states of all others."""
-    raw = given.raw_tables(spark, sf)
-    first, last = given.event_days(spark, sf)
-    landed = raw.player_counts.withColumn("dt", F.to_date("logical_hour"))
-    root, as_of = scratch_dir(spark, "model"), last_hour(last)
-    store = Store(spark, root)
-    early = replace(raw, player_counts=landed.filter(F.col("dt") < F.lit(last)))
-    built = model.build(spark, early, as_of, root, (first, last))
-    check_states.refresh_states(
-        store, check_states.split(model.model_checks(built, early, as_of))[0]
+    (first, last), details = together(
+        lambda: given.event_days(spark, sf), lambda: given.landed_details(spark, sf)
     )
-    refresh(spark, landed, root, last)
-    now = current_model(spark, raw, built, store, as_of)
-    found = check_states.incremental_checks(now, raw, as_of, store, [last])
-    return found.filter("check not like 'stg_catalog_runs%'")
-
-
-def current_model(
-    spark: SparkSession, raw: model.Raw, built: model.Model, store: Store, as_of: datetime
-) -> model.Model:
-    """A model whose facts were refreshed since it was built, as the store has them now."""
-    fact = store.read(FACT, built.fct_player_counts.schema)
-    trended = store.read(TRENDS, built.fct_player_trends_daily.schema)
-    runs = built.stg_snapshot_runs
-    board = reports.leaderboard(
-        built.dim_game, fact, trended, lambda rows: settled(rows, "board"), by_day=True
-    )
-    return replace(
-        built,
-        fct_player_counts=fact,
-        fct_player_counts_daily=trended.select(*built.fct_player_counts_daily.columns),
-        fct_player_trends_daily=trended,
-        fct_snapshot_hours=ledger.ledger_of_counts(runs, store.read(HOURS), as_of),
-        game_leaderboard=settled(board, "board"),
-    )
-
-
-@query(
-    "model_checks_incremental",
-    f"SELECT * FROM ({ORACLE['model_checks']}) WHERE \"check\" NOT LIKE 'stg_catalog_runs%'",
-)
-def model_checks_incremental(spark, sf):
-    """The model built and checked up to the day before the last, refreshed with the last day, and
-    checked again by what that day has, beside the states of all others."""
-    raw = given.raw_tables(spark, sf)
-    first, last = given.event_days(spark, sf)
+    raw = given.raw_tables(spark, sf, details)
     landed = raw.player_counts.withColumn("dt", F.to_date("logical_hour"))
     root, as_of = scratch_dir(spark, "model"), last_hour(last)
     store = Store(spark, root)
