@@ -8,14 +8,18 @@ from a cost model. Of the other segments a document indexes the first D + 1 that
 empty, and not made of shingles alone that a sample shows to be frequent. Whether a segment is
 worth it depends on its content only, so of two similar documents the one that gets by with fewer
 segments has one among them that both index. A document with too few such segments indexes all.
-Documents that meet under any signature are candidates, and candidates are verified exactly.
+Documents that meet under any signature are compared by parity sketches, which show for certain
+that two sets are too far apart; what is left are candidates, and candidates are verified exactly.
 
 Scale. A document sends about one signature per nine shingles (at 0.9) and no shingle at all.
-Equal signatures within an Arrow batch are folded before the shuffle, so a signature that a third
-of all rows carries is one row per batch. Candidates are stars around the smallest id, never pairs
-within a group. Verification moves each candidate's text once, into cells of bounded size; it
-counts overlaps inside the cell and emits a spanning forest of the links, not the links. Components
-of several cells are first cut by signatures under other hash families.
+Equal sets within an Arrow batch are folded before the shuffle, and so is a signature that many of
+its rows carry: one that a third of all rows has is one row per batch. How many unlike documents
+meet under some signature grows with the table, so meetings alone would chain ever more of it into
+one component. They are compared first: each group's smallest id with the others, then the members
+of a group that are still apart. Groups of more than WIDE sets stay as they meet. Verification
+moves each candidate's text once, into cells of bounded size; it counts overlaps inside the cell
+and emits a spanning forest of the links, not the links. Components of several cells are first cut
+by signatures under other hash families.
 """
 
 from __future__ import annotations
@@ -53,9 +57,17 @@ SAMPLE_DOCS = 10_000  # documents that frequent shingles are looked for in, abou
 FREQUENT = 3  # of them that a frequent shingle is in
 MAX_FREQUENT = 200_000  # frequent shingles that are kept; any set of them gives the same result
 CELL_SHINGLES = 400_000  # of a verification cell
+MANY = 64  # unlike rows of a batch from which on a signature they share is folded
+WIDE = 2_000  # sets from which on a group is not compared
+COMPARED = 1 << 18  # words of parity sketches that are compared at once
+PARITIES = 1 << 16  # bits of a parity sketch, at most; a short one lets more pairs pass
 FAMILIES = 4  # hash families that components of several cells are cut by, at most, with the first
 
-SKETCH = "doc_id long, n_shingles long, h1 long, h2 long, sigs array<long>, near array<long>"
+# The lowest bit of a signature tells whether its row speaks for others of its batch (`near`).
+SKETCH = (
+    "doc_id long, n_shingles long, h1 long, h2 long, sigs array<long>, near array<long>, "
+    "parity array<long>"
+)
 
 
 class Band(NamedTuple):
@@ -269,6 +281,35 @@ def recode(flat: np.ndarray, counts: np.ndarray, family: int) -> np.ndarray:
     return value[np.lexsort((value, np.repeat(np.arange(len(counts)), counts)))]
 
 
+def parities(flat: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parity sketches of sets, and the words of each: bit k is the parity of how many shingles
+    hash to k. The bits are two to four times the shingles, a power of two."""
+    bits = 1 << np.ceil(np.log2(np.maximum(2 * counts, 64))).astype(np.int64)
+    bits = np.where(counts > 0, np.minimum(bits, PARITIES), 0)
+    at = np.repeat(np.cumsum(bits) - bits, counts)
+    place = mix(flat ^ constant(9)) & np.repeat(np.maximum(bits, 1) - 1, counts).astype(np.uint64)
+    odd = np.bincount(at + place.astype(np.int64), minlength=int(bits.sum())) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64), bits // 64
+
+
+def folded(sketches: np.ndarray, words: int) -> np.ndarray:
+    """Rows of parity sketches as they would be with fewer words."""
+    while sketches.shape[1] > words:
+        half = sketches.shape[1] // 2
+        sketches = sketches[:, :half] ^ sketches[:, half:]
+    return sketches
+
+
+def may_link(a, b, sizes_a, sizes_b, num: int, den: int) -> np.ndarray:
+    """Whether sets can link by their parity sketches, row by row: two sets differ by as many
+    shingles at least as their sketches by bits, and den * I >= num * U is
+    (den - num) * (|A| + |B|) >= (den + num) * |A xor B|."""
+    words = min(a.shape[1], b.shape[1])
+    apart = np.bitwise_count(folded(a, words) ^ folded(b, words)).sum(axis=1, dtype=np.int64)
+    apart = np.maximum(apart, np.abs(sizes_a - sizes_b))
+    return (den - num) * (sizes_a + sizes_b) >= (den + num) * apart
+
+
 def _sketcher(
     bands: list[Band], frequent: np.ndarray, width: int, num: int, den: int, family: int = 0
 ):
@@ -283,10 +324,11 @@ def _sketcher(
             ids = batch.column(0)
             known = np.asarray(ids.is_valid())
             doc = np.asarray(ids.fill_null(0))
-            group = np.asarray(batch.column(2)).astype(np.uint64) if family else None
+            cc = np.asarray(batch.column(2)).astype(np.uint64) if family else None
             data, offsets = utf8(batch.column(1))
             sizes, h1, h2 = (np.zeros(len(ids), t) for t in (np.int64, np.uint64, np.uint64))
             sigs, rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            odd, words = [np.zeros(0, np.uint64)], np.zeros(len(ids), np.int64)
             for low, high in chunks(offsets):
                 at = offsets[low : high + 1] - offsets[low]
                 flat, counts = shingle_sets(data[offsets[low] : offsets[high]], at, width)
@@ -295,20 +337,30 @@ def _sketcher(
                 for out, salt in ((h1, 7), (h2, 8)):
                     total = np.r_[np.zeros(1, np.uint64), np.cumsum(mix(flat ^ constant(salt)))]
                     out[low:high] = mix(total[ends] - total[ends - counts])
+                parity, words[low:high] = parities(flat, counts)
+                odd.append(parity)
                 counts = np.where(known[low:high], counts, 0)
                 if not known[low:high].all():
                     flat, _ = shingle_sets(*_blanked(data, offsets, known, low, high), width)
                 found, of = signer.sign(recode(flat, counts, family), counts)
                 if family:
-                    found = mix(found ^ mix(group[of + low]))
+                    found = mix(found ^ mix(cc[of + low]))
                 sigs.append(found)
                 rows.append(of + low)
-            sig, row = np.concatenate(sigs), np.concatenate(rows)
-            # Rows that share a signature within the batch: the smallest id speaks for them.
-            order = np.lexsort((doc[row], sig))
+            sig, row = np.concatenate(sigs) & ~np.uint64(1), np.concatenate(rows)
+            # Of rows with equal sets the smallest id speaks, and of many that share a signature.
+            order = np.lexsort((doc[row], h1[row], sig))
             sig, row = sig[order], row[order]
-            new = np.r_[True, sig[1:] != sig[:-1]] if len(sig) else np.zeros(0, bool)
-            head = row[np.flatnonzero(new)][np.cumsum(new) - 1] if len(sig) else row
+            own = np.ones(len(sig), bool)
+            own[1:] = (sig[1:] != sig[:-1]) | (h1[row[1:]] != h1[row[:-1]])
+            sig, row = sig[own], row[own]
+            new = np.ones(len(sig), bool)
+            new[1:] = sig[1:] != sig[:-1]
+            group = np.cumsum(new) - 1
+            many = (np.bincount(group) >= MANY)[group] if len(sig) else new
+            head = row[new][group]
+            new |= ~many
+            sig |= many.astype(np.uint64)
             pairs = np.stack([row[~new], doc[head[~new]]])
             pairs = pairs[:, doc[pairs[0]] != pairs[1]]
             pairs = np.unique(pairs, axis=1) if pairs.size else pairs
@@ -321,8 +373,9 @@ def _sketcher(
                     longs(h2),
                     long_lists(sig[new][keep], row[new][keep], len(ids)),
                     long_lists(pairs[1], pairs[0], len(ids)),
+                    long_lists(np.concatenate(odd), np.repeat(np.arange(len(ids)), words), len(ids)),
                 ],
-                names=["doc_id", "n_shingles", "h1", "h2", "sigs", "near"],
+                names=["doc_id", "n_shingles", "h1", "h2", "sigs", "near", "parity"],
             )
 
     return run
@@ -432,12 +485,152 @@ def _verify(ws, placed: DataFrame, docs: DataFrame, params, name: str) -> DataFr
     return ws.save(found, f"{name}-links")
 
 
-def _candidates(ws: Workspace, sketch: DataFrame, name: str) -> DataFrame:
-    """Components `root` of documents `v` that meet under any signature."""
-    by_sig = sketch.select("doc_id", F.explode("sigs").alias("sig"))
-    by_sig = by_sig.withColumn("a", F.min("doc_id").over(Window.partitionBy("sig")))
-    met = by_sig.where("a <> doc_id").select("a", F.col("doc_id").alias("b"))
-    met = met.unionByName(sketch.select(F.explode("near").alias("a"), F.col("doc_id").alias("b")))
+def _rows(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of lists, and where those of each row begin."""
+    offsets = np.asarray(lists.offsets).astype(np.int64)
+    flat = np.asarray(lists.values)[offsets[0] : offsets[-1]].view(np.uint64)
+    return flat, offsets - offsets[0]
+
+
+def _stacked(flat: np.ndarray, begin: np.ndarray, words: int) -> np.ndarray:
+    return flat[begin[:, None] + np.arange(words)]
+
+
+def _pair_filter(num: int, den: int):
+    """Of pairs with their sizes and parity sketches those that may link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes_a, sizes_b = np.asarray(batch.column(2)), np.asarray(batch.column(3))
+            (a, at_a), (b, at_b) = _rows(batch.column(4)), _rows(batch.column(5))
+            words = np.stack([np.diff(at_a), np.diff(at_b)], axis=1)
+            keep = np.zeros(batch.num_rows, bool)
+            for x, y in np.unique(words, axis=0):
+                i = np.flatnonzero((words == (x, y)).all(axis=1))
+                keep[i] = may_link(
+                    _stacked(a, at_a[i], x), _stacked(b, at_b[i], y), sizes_a[i], sizes_b[i], num, den
+                )
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.asarray(batch.column(k))[keep]) for k in range(2)], names=["a", "b"]
+            )
+
+    return run
+
+
+def joinable(root, size, flat, begin, num: int, den: int) -> list[tuple[int, int]]:
+    """Pairs of a group's rows that may link and join rows of unlike `root`, a forest of them."""
+    label = np.unique(root, return_inverse=True)[1]
+    words = np.diff(begin)
+    kinds = [
+        (w, rows, _stacked(flat, begin[rows], w))
+        for w in np.unique(words).tolist() for rows in [np.flatnonzero(words == w)]
+    ]
+    out = []
+    for k, (w, rows, sketches) in enumerate(kinds):
+        for other, later, theirs in kinds[k:]:
+            theirs = folded(theirs, w)
+            step = max(1, COMPARED // (len(later) * w))
+            for low in range(0, len(rows), step):
+                i, j = np.nonzero(label[rows[low : low + step], None] != label[later])
+                if other == w:
+                    i, j = i[j > i + low], j[j > i + low]
+                if not len(i):
+                    continue
+                mine, yours = rows[low + i], later[j]
+                hits = may_link(
+                    sketches[low + i], theirs[j], size[mine], size[yours], num, den
+                )
+                for x, y in zip(mine[hits].tolist(), yours[hits].tolist()):
+                    if label[x] != label[y]:
+                        out.append((x, y))
+                        label[label == label[y]] = label[x]
+    return out
+
+
+def _group_filter(num: int, den: int):
+    """From rows sorted by group: pairs that may link and are not of one root."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros((0, 2), np.int64)]
+        for cell in cells(batches):
+            doc, root, size = (np.asarray(cell.column(k)) for k in range(2, 5))
+            flat, begin = _rows(cell.column(5).combine_chunks())
+            found = joinable(root, size, flat, begin, num, den)
+            if found:
+                held.append(doc[np.array(found)])
+        found = np.concatenate(held)
+        yield pa.RecordBatch.from_arrays([longs(found[:, 0]), longs(found[:, 1])], names=["a", "b"])
+
+    return run
+
+
+def _groups(ws: Workspace, sketch: DataFrame, name: str) -> DataFrame:
+    """Distinct lists `docs` of documents that meet under a signature, one for each set. A `wide`
+    group is lists of two: its smallest id and another."""
+    by_sig = sketch.select("doc_id", "h1", F.explode("sigs").alias("sig")).select(
+        "doc_id", "h1", F.expr("sig & ~1L").alias("key"), F.expr("sig & 1L").alias("many")
+    )
+    group = Window.partitionBy("key")
+    by_sig = by_sig.withColumns({"low": F.min("h1").over(group), "high": F.max("h1").over(group)})
+    sets = by_sig.where("low <> high").groupBy("key", "h1").agg(
+        F.min("doc_id").alias("doc"), F.max("many").alias("many")
+    )
+    wide = (F.max("many").over(group) > 0) | (F.count("*").over(group) > WIDE)
+    sets = sets.withColumns({"wide": wide, "a": F.min("doc").over(group)})
+    sets = sets.withColumn("part", F.when(F.col("wide"), F.col("h1")).otherwise(F.lit(0)))
+    lists = sets.groupBy("key", "wide", "part").agg(
+        F.min("a").alias("a"), F.sort_array(F.collect_list("doc")).alias("docs")
+    )
+    docs = F.when(F.col("wide"), F.array("a", F.col("docs")[0])).otherwise(F.col("docs"))
+    return ws.save(lists.select("wide", docs.alias("docs")).distinct(), f"{name}-groups")
+
+
+def _candidates(ws: Workspace, sketch: DataFrame, num: int, den: int, name: str) -> DataFrame:
+    """Components `root` of documents `v` that meet under any signature and may link.
+
+    The smallest id of a group is compared with the others. Groups in which that leaves several
+    roots are compared pair by pair, so of two documents that meet and link none is lost.
+    """
+    groups = _groups(ws, sketch, name)
+    parity = sketch.select(F.col("doc_id").alias("doc"), "n_shingles", "parity")
+    ids = sketch.where("doc_id is not null").groupBy("doc_id").count()
+    if not ids.where("count > 1").isEmpty():
+        parity = parity.distinct()
+    narrow = groups.where("not wide")
+    stars = narrow.select(
+        F.col("docs")[0].alias("a"), F.explode(F.expr("slice(docs, 2, size(docs))")).alias("b")
+    )
+    stars = ws.save(stars.where("a <> b").distinct(), f"{name}-stars")
+    both = stars
+    for side in ("a", "b"):
+        both = both.join(parity.select(
+            F.col("doc").alias(side), F.col("n_shingles").alias(f"n_{side}"),
+            F.col("parity").alias(f"parity_{side}"),
+        ), side)
+    both = both.select("a", "b", "n_a", "n_b", "parity_a", "parity_b")
+    alike = ws.save(both.mapInArrow(trimmed(_pair_filter(num, den)), "a long, b long"), f"{name}-alike")
+    # Documents of one root are joined already; others may be as well.
+    roots = alike.groupBy(F.col("b").alias("doc")).agg(F.min("a").alias("root"))
+
+    of = Window.partitionBy("g")
+    members = narrow.where("size(docs) > 2").select(
+        F.xxhash64("docs").alias("g"), F.explode("docs").alias("doc")
+    )
+    members = members.join(roots, "doc", "left")
+    members = members.withColumn("root", F.coalesce("root", "doc"))
+    members = members.withColumns({"low": F.min("root").over(of), "high": F.max("root").over(of)})
+    members = ws.save(members.where("low <> high").select("g", "doc", "root"), f"{name}-apart")
+    rows = members.join(parity, "doc").select(
+        "g", F.lit(0).cast("long").alias("cell"), "doc", "root", "n_shingles", "parity"
+    )
+    rows = rows.repartition("g").sortWithinPartitions("g", "doc")
+    more = rows.mapInArrow(trimmed(_group_filter(num, den)), "a long, b long")
+    more = more.unionByName(
+        groups.where("wide").select(F.col("docs")[0].alias("a"), F.col("docs")[1].alias("b"))
+    ).unionByName(sketch.select(F.explode("near").alias("a"), F.col("doc_id").alias("b")))
+    met = ws.save(alike.unionByName(more.where("a <> b")), f"{name}-edges")
+    for old in ("groups", "stars", "alike", "apart"):
+        ws.drop(f"{name}-{old}")
     return components(ws, met, name)
 
 
@@ -470,7 +663,7 @@ def _refine(ws: Workspace, classes: DataFrame, docs: DataFrame, params) -> DataF
         sign = _sketcher(plan_bands(size.n, num, den), frequent, *params, family)
         sketch = ws.save(texts.mapInArrow(trimmed(sign), SKETCH), f"sketch-{family}")
         found = members.join(
-            _candidates(ws, sketch, f"met-{family}"), F.col("doc_id") == F.col("v"), "left"
+            _candidates(ws, sketch, num, den, f"met-{family}"), F.col("doc_id") == F.col("v"), "left"
         ).select(F.col("doc_id").alias("rep"), F.coalesce("root", "doc_id").alias("finer"))
         classes = classes.join(found, "rep", "left").select(
             F.coalesce("finer", "cc").alias("cc"), "rep", "n_shingles"
@@ -502,17 +695,14 @@ def jaccard_components(
     frequent = frequent_shingles(texts, n_docs, width)
     sketch = ws.save(texts.mapInArrow(trimmed(_sketcher(bands, frequent, *params)), SKETCH), "sketch")
 
-    candidates = _candidates(ws, sketch, "met").withColumnRenamed("root", "cc")
-    candidates = candidates.withColumnRenamed("v", "doc_id")
-
     # Equal sets are one class; its smallest id stands for it.
-    sets = sketch.select("doc_id", "n_shingles", "h1", "h2").join(candidates, "doc_id")
-    sets = ws.save(sets, "sets")
-    key = ["cc", "h1", "h2", "n_shingles"]
-    classes = sets.groupBy(*key).agg(F.min("doc_id").alias("rep"))
-    classes = ws.save(classes, "classes")
+    key = ["h1", "h2", "n_shingles"]
+    sets = sketch.where("doc_id is not null and n_shingles > 0").select("doc_id", *key)
+    classes = ws.save(sets.groupBy(*key).agg(F.min("doc_id").alias("rep")), "classes")
     copies = sets.join(classes, key).where("rep <> doc_id")
-    copies = copies.select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+    copies = ws.save(copies.select(F.col("rep").alias("a"), F.col("doc_id").alias("b")), "equal")
+    met = _candidates(ws, sketch, num, den, "met").select(F.col("v").alias("rep"), F.col("root").alias("cc"))
+    classes = ws.save(classes.join(met, "rep"), "met-classes")
 
     classes = _refine(ws, classes.select("cc", "rep", "n_shingles"), docs, params)
     load = classes.groupBy("cc").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("load"))
